@@ -54,3 +54,233 @@ def q_mart_host_performance(spark, sf_dir):
 @register("mart_review_trends", O.over_marts("SELECT * FROM mart_review_trends"))
 def q_mart_review_trends(spark, sf_dir):
     return _drop_ts(_layers(spark, sf_dir).mart_review_trends)
+
+
+# ── scalar functions on raw records ─────────────────────────────────────────
+from pyspark.sql import functions as F  # noqa: E402
+
+from lakeforge import functions as LF  # noqa: E402
+from lakeforge import schemas as S  # noqa: E402
+from lakeforge.operators.clean import REVIEW_DEDUP_ORDER, review_projection  # noqa: E402
+from lakeforge.operators.dedup import dedup_by_key  # noqa: E402
+from lakeforge.plans import bi, marts  # noqa: E402
+from lakeforge.plans import fixtures as FX  # noqa: E402
+from lakeforge.plans.layers import RUN_TS  # noqa: E402
+
+
+def _bl(ctes=("bronze_listings",)):
+    return O.ctes(*ctes)
+
+
+@register("lenient_casts", O.with_(_bl(), f"""SELECT listing_id AS listing_id_text,
+  {O.to_int("listing_id")} AS listing_id, {O.to_int("bedrooms")} AS bedrooms,
+  {O.to_int("accommodates")} AS accommodates, {O.to_double("price")} AS price,
+  {O.to_double("review_scores_rating")} AS review_scores_rating, bedrooms AS bedrooms_text, price AS price_text
+FROM bronze_listings"""))
+def q_lenient_casts(spark, sf_dir):
+    b = FX.bronze_listings(spark, sf_dir)
+    return b.select(F.col("listing_id").alias("listing_id_text"), LF.to_int("listing_id").alias("listing_id"),
+                    LF.to_int("bedrooms").alias("bedrooms"), LF.to_int("accommodates").alias("accommodates"),
+                    LF.to_double("price").alias("price"),
+                    LF.to_double("review_scores_rating").alias("review_scores_rating"),
+                    F.col("bedrooms").alias("bedrooms_text"), F.col("price").alias("price_text"))
+
+
+_FLAGS = S.LISTING_FLAG_COLUMNS
+
+
+@register("flag_normalize", O.with_(_bl(), "SELECT listing_id, " + ", ".join(
+    f"{c} AS {c}_text, {O.flag(c)} AS {c}" for c in _FLAGS) + " FROM bronze_listings"))
+def q_flag_normalize(spark, sf_dir):
+    b = FX.bronze_listings(spark, sf_dir)
+    cols = [F.col("listing_id")]
+    for c in _FLAGS:
+        cols += [F.col(c).alias(f"{c}_text"), LF.flag(c).alias(c)]
+    return b.select(*cols)
+
+
+@register("pct_parse", O.with_(_bl(), f"""SELECT listing_id, host_response_rate, host_acceptance_rate,
+  {O.pct_text("host_response_rate")} AS host_response_rate_pct,
+  {O.pct_text("host_acceptance_rate")} AS host_acceptance_rate_pct FROM bronze_listings"""))
+def q_pct_parse(spark, sf_dir):
+    b = FX.bronze_listings(spark, sf_dir)
+    return b.select("listing_id", "host_response_rate", "host_acceptance_rate",
+                    LF.pct_from_text("host_response_rate").alias("host_response_rate_pct"),
+                    LF.pct_from_text("host_acceptance_rate").alias("host_acceptance_rate_pct"))
+
+
+@register("amenity_count", O.with_(_bl(), f"""SELECT listing_id, amenities,
+  {O.list_len("amenities")} AS amenity_count FROM bronze_listings"""))
+def q_amenity_count(spark, sf_dir):
+    b = FX.bronze_listings(spark, sf_dir)
+    return b.select("listing_id", "amenities", LF.list_length("amenities").alias("amenity_count"))
+
+
+@register("city_normalize", O.with_(_bl(), f"""SELECT listing_id, city AS city_text,
+  {O.title("city")} AS city FROM bronze_listings"""))
+def q_city_normalize(spark, sf_dir):
+    b = FX.bronze_listings(spark, sf_dir)
+    return b.select("listing_id", F.col("city").alias("city_text"), LF.title_case("city").alias("city"))
+
+
+_DATE = "CAST(try_strptime(date, '%Y-%m-%d') AS DATE)"
+
+
+@register("review_date_parts", O.with_(O.ctes("bronze_reviews"), f"""SELECT review_id, date,
+  {_DATE} AS review_date, CAST(year({_DATE}) AS INTEGER) AS review_year,
+  CAST(month({_DATE}) AS INTEGER) AS review_month FROM bronze_reviews"""))
+def q_review_date_parts(spark, sf_dir):
+    b = FX.bronze_reviews(spark, sf_dir)
+    d = LF.to_date_lenient("date")
+    return b.select("review_id", "date", d.alias("review_date"), F.year(d).alias("review_year"),
+                    F.month(d).alias("review_month"))
+
+
+@register("month_start", O.with_(O.ctes("stg_reviews"), """SELECT review_year, review_month,
+  COUNT(*) AS review_count,
+  make_date(CAST(review_year AS BIGINT), CAST(review_month AS BIGINT), 1) AS month_start_date,
+  CAST(try_strptime(CAST(review_year AS VARCHAR) || '-' || lpad(CAST(review_month AS VARCHAR), 2, '0') || '-01',
+       '%Y-%m-%d') AS DATE) AS month_start_text
+FROM stg_reviews GROUP BY review_year, review_month"""))
+def q_month_start(spark, sf_dir):
+    r = _layers(spark, sf_dir).stg_reviews
+    return (r.groupBy("review_year", "review_month").agg(F.count(F.lit(1)).alias("review_count"))
+            .withColumns({"month_start_date": LF.month_start("review_year", "review_month"),
+                          "month_start_text": LF.month_start_text("review_year", "review_month")}))
+
+
+# ── dedup ───────────────────────────────────────────────────────────────────
+@register("dedup_listings", O.with_(_bl(), "SELECT * FROM bronze_listings QUALIFY row_number() OVER "
+          "(PARTITION BY listing_id ORDER BY " + ", ".join(
+              f"{c} ASC NULLS FIRST" for c in S.BRONZE_LISTING_COLUMNS if c != "listing_id") + ") = 1"))
+def q_dedup_listings(spark, sf_dir):
+    """Raw listings, one row per raw key under the all-columns order."""
+    return dedup_by_key(FX.bronze_listings(spark, sf_dir), ["listing_id"])
+
+
+@register("dedup_reviews", O.with_(O.ctes("bronze_reviews"), f"""SELECT * FROM (
+  SELECT {O.to_int("listing_id")} AS listing_id, {O.to_int("review_id")} AS review_id,
+         {O.to_int("reviewer_id")} AS reviewer_id, {_DATE} AS review_date,
+         CAST(year({_DATE}) AS INTEGER) AS review_year, CAST(month({_DATE}) AS INTEGER) AS review_month
+  FROM bronze_reviews) t
+QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY review_date DESC NULLS LAST,
+  listing_id ASC NULLS FIRST, reviewer_id ASC NULLS FIRST) = 1"""))
+def q_dedup_reviews(spark, sf_dir):
+    """Typed reviews, one row per review id (NULL ids form one group)."""
+    typed = FX.bronze_reviews(spark, sf_dir).select(*review_projection(FX.bronze_reviews(spark, sf_dir)))
+    return dedup_by_key(typed.drop("ingested_at"), ["review_id"], REVIEW_DEDUP_ORDER)
+
+
+# ── aggregates and windows (pieces of the marts) ───────────────────────────
+@register("review_counts", O.with_(O.ctes("stg_reviews", extra={"rc": O.REVIEW_COUNTS}), "SELECT * FROM rc"))
+def q_review_counts(spark, sf_dir):
+    return marts.review_counts(_layers(spark, sf_dir).stg_reviews)
+
+
+@register("multi_distinct", O.over_marts(
+    "SELECT review_year, review_month, city, room_type, review_count, active_listings, unique_reviewers "
+    "FROM monthly_reviews"))
+def q_multi_distinct(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    return marts.monthly_reviews(lay.stg_listings, lay.stg_reviews, lay.min_year).select(
+        "review_year", "review_month", "city", "room_type", "review_count", "active_listings", "unique_reviewers")
+
+
+@register("median_exact", O.over_marts("SELECT city, room_type, median_price FROM mart_city_pricing"))
+def q_median_exact(spark, sf_dir):
+    return _layers(spark, sf_dir, median="exact").mart_city_pricing.select("city", "room_type", "median_price")
+
+
+@register("median_approx")
+def q_median_approx(spark, sf_dir):
+    return _layers(spark, sf_dir, median="approx").mart_city_pricing.select("city", "room_type", "median_price")
+
+
+@register("conditional_pct", O.over_marts(
+    "SELECT city, room_type, superhost_pct, instant_bookable_pct FROM mart_city_pricing"))
+def q_conditional_pct(spark, sf_dir):
+    return _layers(spark, sf_dir).mart_city_pricing.select("city", "room_type", "superhost_pct",
+                                                           "instant_bookable_pct")
+
+
+@register("price_tier", O.over_marts("SELECT city, room_type, median_price, price_tier FROM mart_city_pricing"))
+def q_price_tier(spark, sf_dir):
+    return _layers(spark, sf_dir).mart_city_pricing.select("city", "room_type", "median_price", "price_tier")
+
+
+@register("host_tier", O.over_marts(
+    f"SELECT {O.HOST_KEYS}, avg_rating, host_tier FROM mart_host_performance"))
+def q_host_tier(spark, sf_dir):
+    return _layers(spark, sf_dir).mart_host_performance.select(*marts.HOST_KEYS, "avg_rating", "host_tier")
+
+
+@register("lag_prev_month", O.over_marts(
+    "SELECT city, room_type, review_year, review_month, review_count, prev_month_reviews FROM mart_review_trends"))
+def q_lag_prev_month(spark, sf_dir):
+    return _layers(spark, sf_dir).mart_review_trends.select(
+        "city", "room_type", "review_year", "review_month", "review_count", "prev_month_reviews")
+
+
+@register("mom_growth", O.over_marts(
+    "SELECT city, room_type, review_year, review_month, review_growth_pct FROM mart_review_trends"))
+def q_mom_growth(spark, sf_dir):
+    return _layers(spark, sf_dir).mart_review_trends.select(
+        "city", "room_type", "review_year", "review_month", "review_growth_pct")
+
+
+# ── BI datasets ─────────────────────────────────────────────────────────────
+@register("bi_city_pricing_list", O.over_marts(
+    "SELECT city, room_type, avg_price, median_price, total_listings FROM mart_city_pricing"))
+def q_bi_city_pricing_list(spark, sf_dir):
+    return bi.city_pricing_list(_layers(spark, sf_dir).mart_city_pricing)
+
+
+@register("bi_top_cities", O.over_marts(
+    f"SELECT city, avg_price, median_price, superhost_pct FROM mart_city_pricing "
+    f"WHERE room_type = '{FX.FIXTURE_TOP_ROOM_TYPE}' ORDER BY median_price DESC NULLS LAST, city LIMIT 5"))
+def q_bi_top_cities(spark, sf_dir):
+    return bi.top_cities(_layers(spark, sf_dir).mart_city_pricing, FX.FIXTURE_TOP_ROOM_TYPE, 5)
+
+
+@register("bi_city_price", O.over_marts(
+    f"SELECT city, {O.avg2('avg_price', 0)} AS avg_price FROM mart_city_pricing GROUP BY city"))
+def q_bi_city_price(spark, sf_dir):
+    return bi.city_price(_layers(spark, sf_dir).mart_city_pricing)
+
+
+@register("bi_host_tier_price", O.over_marts(
+    f"SELECT host_tier, {O.avg2('avg_listing_price', 0)} AS avg_price, COUNT(*) AS host_count "
+    "FROM mart_host_performance GROUP BY host_tier"))
+def q_bi_host_tier_price(spark, sf_dir):
+    return bi.host_tier_price(_layers(spark, sf_dir).mart_host_performance)
+
+
+@register("bi_reviews_by_year", O.over_marts(
+    "SELECT review_year, CAST(SUM(review_count) AS BIGINT) AS total_reviews FROM mart_review_trends "
+    "GROUP BY review_year"))
+def q_bi_reviews_by_year(spark, sf_dir):
+    return bi.reviews_by_year(_layers(spark, sf_dir).mart_review_trends)
+
+
+_AMENITY_BUCKET_SQL = ("CASE WHEN amenity_count < 5 THEN 'Few (<5)' WHEN amenity_count < 10 "
+                       "THEN 'Medium (5-10)' ELSE 'Many (10+)' END")
+
+
+@register("bi_amenity_vs_rating", O.with_(O.ctes("silver_listings"), f"""SELECT
+  {_AMENITY_BUCKET_SQL} AS amenity_bucket, {O.avg2("review_scores_rating", 2)} AS avg_rating,
+  COUNT(*) AS listing_count FROM silver_listings GROUP BY 1"""))
+def q_bi_amenity_vs_rating(spark, sf_dir):
+    return bi.amenity_vs_rating(_layers(spark, sf_dir).silver_listings)
+
+
+@register("bi_rating_vs_price", O.over_marts(
+    "SELECT city, room_type, avg_rating, avg_price FROM mart_city_pricing"))
+def q_bi_rating_vs_price(spark, sf_dir):
+    return bi.rating_vs_price(_layers(spark, sf_dir).mart_city_pricing)
+
+
+@register("bi_reviews_by_month", O.over_marts(
+    "SELECT month_start_date, CAST(SUM(review_count) AS BIGINT) AS review_count FROM mart_review_trends "
+    "GROUP BY month_start_date"))
+def q_bi_reviews_by_month(spark, sf_dir):
+    return bi.reviews_by_month(_layers(spark, sf_dir).mart_review_trends)
