@@ -284,3 +284,305 @@ def q_bi_rating_vs_price(spark, sf_dir):
     "GROUP BY month_start_date"))
 def q_bi_reviews_by_month(spark, sf_dir):
     return bi.reviews_by_month(_layers(spark, sf_dir).mart_review_trends)
+
+
+# ── sources, topic log, streaming landing ──────────────────────────────────
+from lakeforge.plans.pipeline import PipelineConfig, bronze_to_silver, ingest, land, new_run_root, run_pipeline  # noqa: E402,E501
+from lakeforge.plans.pipeline import silver_to_gold  # noqa: E402
+from lakeforge.sources import tables as TB  # noqa: E402
+from lakeforge.sources.bronze import read_bronze  # noqa: E402
+from lakeforge.sources.csv import read_csv_records, write_csv_records  # noqa: E402
+from lakeforge.sources.topics import ingest_counts, parse_messages, read_topic_log, to_topic_messages  # noqa: E402
+from lakeforge.operators import quality as Q  # noqa: E402
+from lakeforge.operators.dedup import latest_by_key  # noqa: E402
+
+
+def _fixture_csv_run(spark, sf_dir, **kw) -> PipelineConfig:
+    """Fresh run folder with the derived records written as CSV source files."""
+    root = new_run_root(spark, "queries")
+    cfg = PipelineConfig(root=root, listings_csv=f"{root}/csv/listings", reviews_csv=f"{root}/csv/reviews",
+                         run_ts=RUN_TS, min_year=FX.FIXTURE_YEAR_FLOOR, median="exact",
+                         cities=FX.FIXTURE_CITIES, room_types=FX.FIXTURE_ROOM_TYPES, **kw)
+    write_csv_records(FX.bronze_listings(spark, sf_dir), cfg.listings_csv)
+    write_csv_records(FX.bronze_reviews(spark, sf_dir), cfg.reviews_csv)
+    return cfg
+
+
+_LISTING_MSG = (f"SELECT '{S.LISTINGS_TOPIC}' AS topic, COALESCE(listing_id, 'unknown') AS key, "
+                "CAST(to_json(b) AS VARCHAR) AS value FROM bronze_listings b")
+
+
+@register("csv_scan", O.with_(_bl(), "SELECT * FROM bronze_listings"))
+def q_csv_scan(spark, sf_dir):
+    cfg = _fixture_csv_run(spark, sf_dir)
+    return read_csv_records(spark, cfg.listings_csv)
+
+
+@register("to_topic_messages", O.with_(_bl(), _LISTING_MSG))
+def q_to_topic_messages(spark, sf_dir):
+    return to_topic_messages(FX.bronze_listings(spark, sf_dir), S.LISTINGS_TOPIC, "listing_id")
+
+
+@register("topic_log_roundtrip", O.with_(_bl(), f"SELECT '{S.LISTINGS_TOPIC}' AS topic, listing_id AS key, * "
+                                                "FROM bronze_listings"))
+def q_topic_log_roundtrip(spark, sf_dir):
+    cfg = _fixture_csv_run(spark, sf_dir)
+    ingest(spark, cfg)
+    msgs = read_topic_log(spark, cfg.path("topics"), S.LISTINGS_TOPIC)
+    return parse_messages(msgs, S.BRONZE_LISTING_COLUMNS)
+
+
+@register("ingest_counts", O.with_(O.ctes("bronze_listings", "bronze_reviews"), f"""
+SELECT '{S.LISTINGS_TOPIC}' AS topic, COUNT(*) AS sent_records,
+  CAST(count_if(listing_id IS NULL) AS BIGINT) AS unknown_keys FROM bronze_listings
+UNION ALL
+SELECT '{S.REVIEWS_TOPIC}', COUNT(*), CAST(count_if(review_id IS NULL) AS BIGINT) FROM bronze_reviews"""))
+def q_ingest_counts(spark, sf_dir):
+    cfg = _fixture_csv_run(spark, sf_dir)
+    ingest(spark, cfg)
+    return ingest_counts(read_topic_log(spark, cfg.path("topics")))
+
+
+@register("stream_to_bronze", O.with_(_bl(), "SELECT * FROM bronze_listings"))
+def q_stream_to_bronze(spark, sf_dir):
+    cfg = _fixture_csv_run(spark, sf_dir)
+    ingest(spark, cfg)
+    land(spark, cfg)
+    return read_bronze(spark, cfg.path("bronze", S.LISTINGS_TOPIC), S.BRONZE_LISTING_COLUMNS).drop(
+        *S.INGEST_PARTITION_COLUMNS)
+
+
+@register("bronze_scan", O.with_(O.ctes("bronze_reviews"), "SELECT * FROM bronze_reviews"))
+def q_bronze_scan(spark, sf_dir):
+    cfg = _fixture_csv_run(spark, sf_dir)
+    ingest(spark, cfg)
+    land(spark, cfg)
+    return read_bronze(spark, cfg.path("bronze", S.REVIEWS_TOPIC), S.BRONZE_REVIEW_COLUMNS).drop(
+        *S.INGEST_PARTITION_COLUMNS)
+
+
+@register("stream_resume", O.with_(_bl(), "SELECT * FROM bronze_listings UNION ALL SELECT * FROM bronze_listings"))
+def q_stream_resume(spark, sf_dir):
+    """Land, land again on the same checkpoint (adds nothing), publish the
+    records a second time, land (adds exactly them): two copies in bronze."""
+    cfg = _fixture_csv_run(spark, sf_dir)
+    ingest(spark, cfg)
+    land(spark, cfg)
+    land(spark, cfg)
+    ingest(spark, cfg)
+    land(spark, cfg)
+    return read_bronze(spark, cfg.path("bronze", S.LISTINGS_TOPIC), S.BRONZE_LISTING_COLUMNS).drop(
+        *S.INGEST_PARTITION_COLUMNS)
+
+
+@register("layer_counts", O.with_(O.ctes("stg_listings", "stg_reviews"), """
+SELECT 'bronze' AS layer, 'listings' AS entity, COUNT(*) AS row_count FROM bronze_listings
+UNION ALL SELECT 'silver', 'listings', COUNT(*) FROM silver_listings
+UNION ALL SELECT 'staging', 'listings', COUNT(*) FROM stg_listings
+UNION ALL SELECT 'bronze', 'reviews', COUNT(*) FROM bronze_reviews
+UNION ALL SELECT 'silver', 'reviews', COUNT(*) FROM silver_reviews
+UNION ALL SELECT 'staging', 'reviews', COUNT(*) FROM stg_reviews"""))
+def q_layer_counts(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    parts = [("bronze", "listings", lay.bronze_listings), ("silver", "listings", lay.silver_listings),
+             ("staging", "listings", lay.stg_listings), ("bronze", "reviews", lay.bronze_reviews),
+             ("silver", "reviews", lay.silver_reviews), ("staging", "reviews", lay.stg_reviews)]
+    out = None
+    for layer, entity, df in parts:
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(entity).alias("entity"), "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# ── table sinks and scans ───────────────────────────────────────────────────
+@register("silver_listings_partitions", O.with_(O.ctes("silver_listings"), "SELECT * FROM silver_listings"))
+def q_silver_listings_partitions(spark, sf_dir):
+    silver = _layers(spark, sf_dir).silver_listings
+    path = new_run_root(spark, "queries") + "/silver/listings"
+    TB.write_table(silver, path=path, partition_by=["city"])
+    return _drop_ts(TB.read_table(spark, path=path, schema=silver.schema))
+
+
+@register("silver_reviews_partitions", O.with_(O.ctes("silver_reviews"), "SELECT * FROM silver_reviews"))
+def q_silver_reviews_partitions(spark, sf_dir):
+    silver = _layers(spark, sf_dir).silver_reviews
+    path = new_run_root(spark, "queries") + "/silver/reviews"
+    TB.write_table(silver, path=path, partition_by=["review_year", "review_month"])
+    return _drop_ts(TB.read_table(spark, path=path, schema=silver.schema))
+
+
+@register("gold_materialize", O.over_marts("SELECT * FROM mart_city_pricing"))
+def q_gold_materialize(spark, sf_dir):
+    mart = _layers(spark, sf_dir).mart_city_pricing
+    path = new_run_root(spark, "queries") + "/gold/mart_city_pricing"
+    return _drop_ts(TB.materialize(mart, path=path, partition_by=["city"], sort_by=["city", "room_type"]))
+
+
+_SAMPLE_COLS = ["listing_id", "city", "room_type", "price", "host_is_superhost", "review_scores_rating",
+                "amenity_count"]
+
+
+@register("silver_sample", O.with_(O.ctes("silver_listings"),
+                                   f"SELECT {', '.join(_SAMPLE_COLS)} FROM silver_listings ORDER BY listing_id LIMIT 5"))
+def q_silver_sample(spark, sf_dir):
+    """The 5-row preview, made deterministic by ordering on the key."""
+    return _layers(spark, sf_dir).silver_listings.select(*_SAMPLE_COLS).orderBy("listing_id").limit(5)
+
+
+@register("catalog_listing")
+def q_catalog_listing(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    root = new_run_root(spark, "queries")
+    ns = "lf_" + root.rsplit("/", 1)[-1] + "_silver"
+    TB.create_namespace(spark, ns, location=f"{root}/{ns}.db")
+    TB.write_table(lay.silver_listings, name=f"{ns}.listings", partition_by=["city"])
+    TB.write_table(lay.silver_reviews, name=f"{ns}.reviews", partition_by=["review_year", "review_month"])
+    return TB.list_catalog(spark, ns)
+
+
+_T1, _T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+@register("as_of_snapshot", O.with_(O.ctes("silver_listings", extra={"history": f"""
+SELECT *, TIMESTAMP '{_T1}' AS version_ts FROM silver_listings
+UNION ALL
+SELECT * REPLACE (CASE WHEN instant_bookable THEN price + 1 ELSE price END AS price), TIMESTAMP '{_T2}'
+FROM silver_listings"""}), f"""
+SELECT * EXCLUDE (version_ts), 'v1' AS snapshot FROM history WHERE version_ts <= TIMESTAMP '{_T1}'
+UNION ALL
+SELECT * EXCLUDE (version_ts), 'v2' FROM history WHERE version_ts <= TIMESTAMP '{_T2}'
+QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY version_ts DESC) = 1"""))
+def q_as_of_snapshot(spark, sf_dir):
+    """Append-only history with two versions of each listing (the second
+    reprices instantly bookable ones); read as of each version stamp."""
+    silver = _drop_ts(_layers(spark, sf_dir).silver_listings)
+    v1 = silver.withColumn("version_ts", F.lit(_T1).cast("timestamp"))
+    v2 = silver.withColumns({
+        "price": F.when(F.col("instant_bookable"), F.col("price") + 1).otherwise(F.col("price")),
+        "version_ts": F.lit(_T2).cast("timestamp")})
+    history = v1.unionByName(v2)
+    snaps = [TB.as_of(history, ["listing_id"], "version_ts", ts).drop("version_ts")
+             .withColumn("snapshot", F.lit(tag)) for tag, ts in (("v1", _T1), ("v2", _T2))]
+    return snaps[0].unionByName(snaps[1])
+
+
+@register("schema_evolution_union", O.with_(O.ctes("silver_reviews"), """
+SELECT review_id, listing_id, reviewer_id, review_date, review_year, review_month,
+  CASE WHEN COALESCE(review_year >= 1998, false) THEN CAST(quarter(review_date) AS INTEGER) END AS review_quarter
+FROM silver_reviews"""))
+def q_schema_evolution_union(spark, sf_dir):
+    """Two appends to one folder: older reviews without ``review_quarter``,
+    newer ones with it; read with schema merging."""
+    silver = _drop_ts(_layers(spark, sf_dir).silver_reviews)
+    newer = F.coalesce(F.col("review_year") >= 1998, F.lit(False))
+    path = new_run_root(spark, "queries") + "/silver/reviews_evolving"
+    TB.write_table(silver.filter(~newer), path=path, mode="append", rebalance=False)
+    TB.write_table(silver.filter(newer).withColumn("review_quarter", F.quarter("review_date")),
+                   path=path, mode="append", rebalance=False)
+    return TB.read_table(spark, path=path, merge_schema=True)
+
+
+# ── data quality ────────────────────────────────────────────────────────────
+@register("dq_unique", O.with_(O.ctes("bronze_reviews"), """SELECT review_id, COUNT(*) AS n_records
+FROM bronze_reviews WHERE review_id IS NOT NULL GROUP BY review_id HAVING COUNT(*) > 1"""))
+def q_dq_unique(spark, sf_dir):
+    """``unique`` on the raw review ids (where the duplicates are)."""
+    return Q.unique_failures(FX.bronze_reviews(spark, sf_dir), "review_id")
+
+
+@register("dq_not_null", O.with_(O.ctes("silver_reviews"), "SELECT * FROM silver_reviews WHERE review_date IS NULL"))
+def q_dq_not_null(spark, sf_dir):
+    """``not_null(review_date)`` on silver, before staging drops undated rows."""
+    return _drop_ts(Q.not_null_failures(_layers(spark, sf_dir).silver_reviews, "review_date"))
+
+
+_ROOM_TYPES_MINUS_ONE = [t for t in FX.FIXTURE_ROOM_TYPES if t != "PROMO"]
+
+
+@register("dq_accepted_values", O.with_(O.ctes("stg_listings"), "SELECT room_type, COUNT(*) AS n_records "
+          "FROM stg_listings WHERE room_type IS NOT NULL AND room_type NOT IN ("
+          + ", ".join(f"'{t}'" for t in _ROOM_TYPES_MINUS_ONE) + ") GROUP BY room_type"))
+def q_dq_accepted_values(spark, sf_dir):
+    """``accepted_values(room_type)`` with one real value left out of the list."""
+    return Q.accepted_values_failures(_layers(spark, sf_dir).stg_listings, "room_type", _ROOM_TYPES_MINUS_ONE)
+
+
+@register("dq_expression", O.with_(O.ctes("stg_listings"), "SELECT * FROM stg_listings WHERE "
+          "review_scores_rating IS NOT NULL AND NOT (review_scores_rating BETWEEN 0 AND 4.5)"))
+def q_dq_expression(spark, sf_dir):
+    """``expression_is_true`` with a ``where`` filter, on a tighter range."""
+    return _drop_ts(Q.expression_failures(_layers(spark, sf_dir).stg_listings,
+                                          "review_scores_rating between 0 and 4.5",
+                                          where="review_scores_rating is not null"))
+
+
+@register("dq_relationships", O.with_(O.ctes("stg_listings", "stg_reviews"), """SELECT r.* FROM stg_reviews r
+WHERE r.listing_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_listings l WHERE l.listing_id = r.listing_id)"""))
+def q_dq_relationships(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    return Q.relationships_failures(lay.stg_reviews, "listing_id", lay.stg_listings, "listing_id")
+
+
+def _dq_summary_sql() -> str:
+    cities = ", ".join(f"'{c}'" for c in FX.FIXTURE_CITIES)
+    rooms = ", ".join(f"'{t}'" for t in FX.FIXTURE_ROOM_TYPES)
+
+    def nn(t, c):
+        return f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'not_null' AS test_name, " \
+               f"CAST(count_if({c} IS NULL) AS BIGINT) AS failures FROM {t}"
+
+    def uq(t, c):
+        return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS test_name, "
+                f"CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT {c} FROM {t} "
+                f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d")
+
+    def av(t, c, vals):
+        return (f"SELECT '{t}', '{c}', 'accepted_values', CAST(COUNT(DISTINCT {c}) AS BIGINT) FROM {t} "
+                f"WHERE {c} IS NOT NULL AND {c} NOT IN ({vals})")
+
+    def ex(t, c, e, w=None):
+        cond = f"({w}) AND NOT ({e})" if w else f"NOT ({e})"
+        return f"SELECT '{t}', '{c}', 'expression', CAST(count_if({cond}) AS BIGINT) FROM {t}"
+
+    parts = [
+        uq("stg_listings", "listing_id"), nn("stg_listings", "listing_id"), nn("stg_listings", "city"),
+        av("stg_listings", "city", cities), nn("stg_listings", "room_type"),
+        av("stg_listings", "room_type", rooms), nn("stg_listings", "price"),
+        ex("stg_listings", "price", "price > 0"),
+        ex("stg_listings", "review_scores_rating", "review_scores_rating BETWEEN 0 AND 100",
+           "review_scores_rating IS NOT NULL"),
+        uq("stg_reviews", "review_id"), nn("stg_reviews", "review_id"), nn("stg_reviews", "listing_id"),
+        "SELECT 'stg_reviews', 'listing_id', 'relationships', CAST(COUNT(*) AS BIGINT) FROM stg_reviews r "
+        "WHERE r.listing_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_listings l WHERE l.listing_id = r.listing_id)",
+        nn("stg_reviews", "review_date"),
+        nn("mart_city_pricing", "city"), nn("mart_city_pricing", "room_type"),
+        ex("mart_city_pricing", "avg_price", "avg_price > 0"),
+        nn("mart_host_performance", "host_id"), nn("mart_review_trends", "month_start_date"),
+    ]
+    return O.over_marts("\nUNION ALL\n".join(parts))
+
+
+def _fixture_tables(lay: FixtureLayers) -> dict:
+    return {"stg_listings": lay.stg_listings, "stg_reviews": lay.stg_reviews,
+            "mart_city_pricing": lay.mart_city_pricing, "mart_host_performance": lay.mart_host_performance,
+            "mart_review_trends": lay.mart_review_trends}
+
+
+@register("dq_summary", _dq_summary_sql())
+def q_dq_summary(spark, sf_dir):
+    """All 19 checks in one summary (fixture accepted-value lists)."""
+    lay = _layers(spark, sf_dir)
+    return Q.run_suite(_fixture_tables(lay), Q.default_suite(FX.FIXTURE_CITIES, FX.FIXTURE_ROOM_TYPES))
+
+
+# ── end to end ──────────────────────────────────────────────────────────────
+@register("pipeline_end_to_end", O.over_marts("SELECT * FROM mart_review_trends"))
+def q_pipeline_end_to_end(spark, sf_dir):
+    """CSV -> topics -> streamed bronze -> silver -> staging -> gold -> checks;
+    returns the last mart as written. The fixture has orphan reviews on
+    purpose, so the quality gate reports instead of raising here."""
+    cfg = _fixture_csv_run(spark, sf_dir, fail_on_quality=False)
+    res = run_pipeline(spark, cfg)
+    assert res.quality, "quality suite did not run"
+    return _drop_ts(TB.read_table(spark, path=cfg.path("gold", "mart_review_trends")))

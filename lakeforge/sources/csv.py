@@ -17,7 +17,8 @@ def read_csv_records(spark: SparkSession, path: str, schema: T.StructType | None
     """
     reader = (spark.read.option("header", True).option("multiLine", multiline)
               .option("quote", '"').option("escape", '"').option("encoding", encoding)
-              .option("mode", "PERMISSIVE"))
+              .option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     df = reader.csv(path)
@@ -26,6 +27,8 @@ def read_csv_records(spark: SparkSession, path: str, schema: T.StructType | None
 
 
 def write_csv_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write records as header CSV with RFC 4180 quoting (quotes doubled)."""
+    """Write records as header CSV with RFC 4180 quoting (quotes doubled);
+    surrounding spaces of a field are kept."""
     (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("encoding", "UTF-8").csv(path))
