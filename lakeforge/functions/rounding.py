@@ -15,7 +15,10 @@ from lakeforge.functions._col import as_col
 
 
 def round_half_up(c: Column | str, digits: int) -> Column:
-    """Round half away from zero to ``digits`` decimals; result DOUBLE."""
+    """Round half away from zero to ``digits`` decimals; result DOUBLE.
+
+    Works on the binary value (0.285 is 0.28499... and rounds to 0.28), the
+    same in every engine that evaluates this expression."""
     x = as_col(c).cast("double")
     p = float(10 ** digits)
     return F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)) / F.lit(p)
