@@ -12,9 +12,22 @@ from pyspark.sql import functions as F
 from lakeforge.functions._col import as_col
 
 
+# Text that can parse as a number: it has a digit, or is a NaN / infinity literal.
+_MAY_BE_NUMBER_DIGIT = "[0-9]"
+_MAY_BE_NUMBER_SPECIAL = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+
+
 def to_double(c: Column | str) -> Column:
-    """Text -> DOUBLE; unparseable -> NULL."""
-    return as_col(c).try_cast("double")
+    """Text -> DOUBLE; unparseable -> NULL.
+
+    The cast reports a malformed value through an exception, which is slow
+    when many fields are blank or ``'N/A'``. Text without a digit (and not a
+    NaN / infinity literal) can never parse, so it short-cuts to NULL; every
+    other value goes through the same ``try_cast``, so results are unchanged.
+    """
+    x = as_col(c)
+    may_parse = x.rlike(_MAY_BE_NUMBER_DIGIT) | x.rlike(_MAY_BE_NUMBER_SPECIAL)
+    return F.when(may_parse, x.try_cast("double"))
 
 
 def to_int(c: Column | str) -> Column:
@@ -33,8 +46,10 @@ def to_long(c: Column | str) -> Column:
 
 
 def to_date_lenient(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
-    """Text -> DATE with ``fmt``; malformed text -> NULL."""
-    return F.try_to_date(as_col(c), fmt)
+    """Text -> DATE with ``fmt``; malformed text -> NULL (blank text skips
+    the parser, which reports failures through exceptions)."""
+    x = as_col(c)
+    return F.when(F.trim(x) != F.lit(""), F.try_to_date(x, fmt))
 
 
 def flag(c: Column | str, true_token: str = "t") -> Column:

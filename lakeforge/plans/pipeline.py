@@ -77,7 +77,10 @@ def _key_for(topic: str, cfg: PipelineConfig) -> str:
 
 
 def land(spark: SparkSession, cfg: PipelineConfig) -> list[StreamRun]:
-    return land_topics(spark, [cfg.listings_topic, cfg.reviews_topic], cfg.path("bronze"),
+    """Land every topic this run publishes (Kafka: both topics)."""
+    topics = [t for t, src in ((cfg.listings_topic, cfg.listings_csv), (cfg.reviews_topic, cfg.reviews_csv))
+              if src or cfg.kafka_servers]
+    return land_topics(spark, topics, cfg.path("bronze"),
                        cfg.path("_checkpoints", "bronze"), log_path=cfg.path("topics"),
                        kafka_servers=cfg.kafka_servers)
 

@@ -297,14 +297,17 @@ from lakeforge.operators import quality as Q  # noqa: E402
 from lakeforge.operators.dedup import latest_by_key  # noqa: E402
 
 
-def _fixture_csv_run(spark, sf_dir, **kw) -> PipelineConfig:
+def _fixture_csv_run(spark, sf_dir, entities=("listings", "reviews"), **kw) -> PipelineConfig:
     """Fresh run folder with the derived records written as CSV source files."""
     root = new_run_root(spark, "queries")
-    cfg = PipelineConfig(root=root, listings_csv=f"{root}/csv/listings", reviews_csv=f"{root}/csv/reviews",
+    cfg = PipelineConfig(root=root, listings_csv=f"{root}/csv/listings" if "listings" in entities else None,
+                         reviews_csv=f"{root}/csv/reviews" if "reviews" in entities else None,
                          run_ts=RUN_TS, min_year=FX.FIXTURE_YEAR_FLOOR, median="exact",
                          cities=FX.FIXTURE_CITIES, room_types=FX.FIXTURE_ROOM_TYPES, **kw)
-    write_csv_records(FX.bronze_listings(spark, sf_dir), cfg.listings_csv)
-    write_csv_records(FX.bronze_reviews(spark, sf_dir), cfg.reviews_csv)
+    if cfg.listings_csv:
+        write_csv_records(FX.bronze_listings(spark, sf_dir), cfg.listings_csv)
+    if cfg.reviews_csv:
+        write_csv_records(FX.bronze_reviews(spark, sf_dir), cfg.reviews_csv)
     return cfg
 
 
@@ -314,7 +317,7 @@ _LISTING_MSG = (f"SELECT '{S.LISTINGS_TOPIC}' AS topic, COALESCE(listing_id, 'un
 
 @register("csv_scan", O.with_(_bl(), "SELECT * FROM bronze_listings"))
 def q_csv_scan(spark, sf_dir):
-    cfg = _fixture_csv_run(spark, sf_dir)
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("listings",))
     return read_csv_records(spark, cfg.listings_csv)
 
 
@@ -326,7 +329,7 @@ def q_to_topic_messages(spark, sf_dir):
 @register("topic_log_roundtrip", O.with_(_bl(), f"SELECT '{S.LISTINGS_TOPIC}' AS topic, listing_id AS key, * "
                                                 "FROM bronze_listings"))
 def q_topic_log_roundtrip(spark, sf_dir):
-    cfg = _fixture_csv_run(spark, sf_dir)
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("listings",))
     ingest(spark, cfg)
     msgs = read_topic_log(spark, cfg.path("topics"), S.LISTINGS_TOPIC)
     return parse_messages(msgs, S.BRONZE_LISTING_COLUMNS)
@@ -345,7 +348,7 @@ def q_ingest_counts(spark, sf_dir):
 
 @register("stream_to_bronze", O.with_(_bl(), "SELECT * FROM bronze_listings"))
 def q_stream_to_bronze(spark, sf_dir):
-    cfg = _fixture_csv_run(spark, sf_dir)
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("listings",))
     ingest(spark, cfg)
     land(spark, cfg)
     return read_bronze(spark, cfg.path("bronze", S.LISTINGS_TOPIC), S.BRONZE_LISTING_COLUMNS).drop(
@@ -354,7 +357,7 @@ def q_stream_to_bronze(spark, sf_dir):
 
 @register("bronze_scan", O.with_(O.ctes("bronze_reviews"), "SELECT * FROM bronze_reviews"))
 def q_bronze_scan(spark, sf_dir):
-    cfg = _fixture_csv_run(spark, sf_dir)
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("reviews",))
     ingest(spark, cfg)
     land(spark, cfg)
     return read_bronze(spark, cfg.path("bronze", S.REVIEWS_TOPIC), S.BRONZE_REVIEW_COLUMNS).drop(
@@ -365,7 +368,7 @@ def q_bronze_scan(spark, sf_dir):
 def q_stream_resume(spark, sf_dir):
     """Land, land again on the same checkpoint (adds nothing), publish the
     records a second time, land (adds exactly them): two copies in bronze."""
-    cfg = _fixture_csv_run(spark, sf_dir)
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("listings",))
     ingest(spark, cfg)
     land(spark, cfg)
     land(spark, cfg)
@@ -571,9 +574,22 @@ def _fixture_tables(lay: FixtureLayers) -> dict:
 
 @register("dq_summary", _dq_summary_sql())
 def q_dq_summary(spark, sf_dir):
-    """All 19 checks in one summary (fixture accepted-value lists)."""
+    """All 19 checks in one summary (fixture accepted-value lists), run like
+    the reference on materialised staging tables: both are written once to
+    the shared folder, and every check and mart scans the written copies
+    instead of recomputing bronze -> silver -> staging per check."""
     lay = _layers(spark, sf_dir)
-    return Q.run_suite(_fixture_tables(lay), Q.default_suite(FX.FIXTURE_CITIES, FX.FIXTURE_ROOM_TYPES))
+    root = new_run_root(spark, "queries")
+    stg = {name: TB.materialize(getattr(lay, name), path=f"{root}/{name}")
+           for name in ("stg_listings", "stg_reviews")}
+    tables = {
+        **stg,
+        "mart_city_pricing": marts.city_pricing(stg["stg_listings"], median="exact", run_ts=RUN_TS),
+        "mart_host_performance": marts.host_performance(stg["stg_listings"], stg["stg_reviews"], run_ts=RUN_TS),
+        "mart_review_trends": marts.review_trends(stg["stg_listings"], stg["stg_reviews"], lay.min_year,
+                                                  run_ts=RUN_TS),
+    }
+    return Q.run_suite(tables, Q.default_suite(FX.FIXTURE_CITIES, FX.FIXTURE_ROOM_TYPES))
 
 
 # ── end to end ──────────────────────────────────────────────────────────────
