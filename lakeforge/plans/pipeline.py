@@ -23,7 +23,7 @@ from lakeforge.plans import marts
 from lakeforge.session import shared_root
 from lakeforge.sources.bronze import read_bronze
 from lakeforge.sources.csv import read_csv_records
-from lakeforge.sources.tables import read_table, write_table
+from lakeforge.sources.tables import create_namespace, read_table, write_table
 from lakeforge.sources.topics import PublishResult, publish_records
 from lakeforge.streaming.ingest import StreamRun, land_topics
 
@@ -47,11 +47,30 @@ class PipelineConfig:
     cities: Sequence[str] = tuple(S.ACCEPTED_CITIES)
     room_types: Sequence[str] = tuple(S.ACCEPTED_ROOM_TYPES)
     fail_on_quality: bool = True
+    # When set, layers are also registered in the session catalog (created
+    # with their folders under ``root``), so SQL can name them, e.g.
+    # ``SELECT ... FROM gold.mart_city_pricing``.
+    silver_namespace: str | None = None
+    gold_namespace: str | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
 
+def _write_layer(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, layer: str, name: str,
+                 partition_by=(), sort_by=()) -> DataFrame:
+    """Write one layer table to its folder (and catalog name, if configured)
+    and return the scan of what was written."""
+    ns = cfg.silver_namespace if layer in ("silver", "staging") else cfg.gold_namespace
+    path = cfg.path(layer, name)
+    if ns:
+        create_namespace(spark, ns, location=cfg.path(f"{ns}.db"))
+        write_table(df, name=f"{ns}.{name}", path=path, partition_by=partition_by, sort_by=sort_by)
+        return read_table(spark, name=f"{ns}.{name}")
+    write_table(df, path=path, partition_by=partition_by, sort_by=sort_by)
+    return read_table(spark, path=path)
+
+
 @dataclass
 class PipelineResult:
     published: list[PublishResult] = field(default_factory=list)
@@ -97,23 +116,23 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
         raw_obs, clean_obs = Observation(f"raw_{name}"), Observation(f"clean_{name}")
         raw = read_bronze(spark, cfg.path("bronze", topic), cols).observe(raw_obs, F.count(F.lit(1)).alias("n"))
         silver = cleaner(raw, run_ts=cfg.run_ts).observe(clean_obs, F.count(F.lit(1)).alias("n"))
-        write_table(silver, path=cfg.path("silver", name), partition_by=parts)
+        _write_layer(spark, cfg, silver, "silver", name, partition_by=parts)
         counts[f"bronze_{name}"] = int(raw_obs.get["n"])
         counts[f"silver_{name}"] = int(clean_obs.get["n"])
     return counts
 
 
 def silver_table(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
+    if cfg.silver_namespace:
+        return read_table(spark, name=f"{cfg.silver_namespace}.{name}")
     return read_table(spark, path=cfg.path("silver", name))
 
 
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
     """Staging tables, then the three marts (city pricing partitioned by
     city), each written once and read back."""
-    write_table(stg_listings(silver_table(spark, cfg, "listings")), path=cfg.path("staging", "stg_listings"))
-    write_table(stg_reviews(silver_table(spark, cfg, "reviews")), path=cfg.path("staging", "stg_reviews"))
-    l = read_table(spark, path=cfg.path("staging", "stg_listings"))
-    r = read_table(spark, path=cfg.path("staging", "stg_reviews"))
+    l = _write_layer(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging", "stg_listings")
+    r = _write_layer(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging", "stg_reviews")
     built = {
         "mart_city_pricing": (marts.city_pricing(l, median=cfg.median, run_ts=cfg.run_ts), ["city"],
                               ["city", "room_type"]),
@@ -123,8 +142,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFr
     }
     out = {"stg_listings": l, "stg_reviews": r}
     for name, (df, parts, order) in built.items():
-        write_table(df, path=cfg.path("gold", name), partition_by=parts, sort_by=order)
-        out[name] = read_table(spark, path=cfg.path("gold", name))
+        out[name] = _write_layer(spark, cfg, df, "gold", name, partition_by=parts, sort_by=order)
     return out
 
 

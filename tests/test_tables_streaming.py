@@ -66,3 +66,34 @@ def test_stream_landing_is_exactly_once(spark, tmp_root):
     third = land_topic(spark, S.REVIEWS_TOPIC, bronze, ckpt, log_path=log)
     assert third.input_rows == n
     assert read_bronze(spark, f"{bronze}/{S.REVIEWS_TOPIC}", S.BRONZE_REVIEW_COLUMNS).count() == 2 * n
+
+
+def test_pipeline_with_catalog_tables_and_sql(spark, tmp_root):
+    from lakeforge.plans import pipeline as P
+    from lakeforge.plans.queries import _fixture_csv_run
+    tag = tmp_root.rsplit("/", 1)[-1]
+    cfg = _fixture_csv_run(spark, SF_SMALL, fail_on_quality=False, silver_namespace=f"s_{tag}",
+                           gold_namespace=f"g_{tag}")
+    res = P.run_pipeline(spark, cfg)
+    assert res.counts["bronze_listings"] == FX.bronze_listings(spark, SF_SMALL).count()
+    assert res.quality_error and "relationships" in res.quality_error  # orphan reviews, on purpose
+    by_city = spark.sql(f"SELECT city, round(avg(avg_price), 0) AS p FROM g_{tag}.mart_city_pricing "
+                        "GROUP BY city ORDER BY p DESC")
+    assert by_city.count() == spark.table(f"g_{tag}.mart_city_pricing").select("city").distinct().count()
+    tiers = spark.sql(f"SELECT host_tier, count(*) AS n FROM g_{tag}.mart_host_performance GROUP BY host_tier")
+    assert sum(r["n"] for r in tiers.collect()) == spark.table(f"g_{tag}.mart_host_performance").count()
+    names = {r["tableName"] for r in spark.sql(f"SHOW TABLES IN s_{tag}").collect()}
+    assert names == {"listings", "reviews", "stg_listings", "stg_reviews"}
+
+
+def test_cli_runs_all_steps(spark, tmp_root, capsys):
+    import json
+    from lakeforge.__main__ import main
+    write_csv_records(FX.bronze_listings(spark, SF_SMALL), f"{tmp_root}/in/listings")
+    write_csv_records(FX.bronze_reviews(spark, SF_SMALL), f"{tmp_root}/in/reviews")
+    status = main(["--root", f"{tmp_root}/run", "--listings-csv", f"{tmp_root}/in/listings",
+                   "--reviews-csv", f"{tmp_root}/in/reviews", "--min-year", "1997"])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert status == 1 and "quality_error" in report  # default accepted lists reject fixture cities
+    assert {p["topic"] for p in report["published"]} == {S.LISTINGS_TOPIC, S.REVIEWS_TOPIC}
+    assert report["counts"]["silver_listings"] > 0
