@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge import schemas as S
+from lakeforge.operators.joins import HOT_KEY_ROWS, skew_safe_join
 
 
 @dataclass(frozen=True)
@@ -67,10 +68,13 @@ def expression_failures(df: DataFrame, expression: str, where: str | None = None
     return df.filter(_expression_fails(expression, where))
 
 
-def relationships_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row."""
+def relationships_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
+                           hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Child rows whose non-NULL key has no parent row (a key shared by a
+    large share of child rows is split across tasks)."""
     parent_keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.filter(F.col(column).isNotNull()).join(parent_keys, column, "left_anti")
+    return skew_safe_join(child.filter(F.col(column).isNotNull()), parent_keys, column, "left_anti",
+                          hot_key_rows)
 
 
 # ── suite ───────────────────────────────────────────────────────────────────

@@ -17,6 +17,7 @@ from lakeforge.functions import (days_between, host_tier, month_start, pct_of, p
                                  round_half_up, stable_avg)
 from lakeforge.functions.labels import HOST_TIER_ELITE_RATING, HOST_TIER_EXPERIENCED_RATING, PRICE_TIERS
 from lakeforge.operators.clean import load_stamp
+from lakeforge.operators.joins import HOT_KEY_ROWS, skew_safe_join
 from lakeforge.operators.windows import lag_growth
 
 # Fixed value: oldest review year kept by the trends mart.
@@ -107,14 +108,16 @@ def host_performance(listings: DataFrame, reviews: DataFrame, host_keys: Sequenc
     })
 
 
-def monthly_reviews(listings: DataFrame, reviews: DataFrame, min_year: int = REVIEW_YEAR_FLOOR) -> DataFrame:
+def monthly_reviews(listings: DataFrame, reviews: DataFrame, min_year: int = REVIEW_YEAR_FLOOR,
+                    hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Reviews joined N:1 to their listing, counted per (year, month, city,
-    room type). Two exact distinct counts share one Expand."""
+    room type). The join splits listings with more than ``hot_key_rows``
+    reviews across tasks; the two exact distinct counts share one Expand."""
     r = reviews.filter(F.col("review_year") >= F.lit(min_year)).select(
         "review_id", "listing_id", "reviewer_id", "review_year", "review_month")
     l = listings.select("listing_id", "city", "room_type", "review_scores_rating",
                         "review_scores_cleanliness", "review_scores_value", "price")
-    joined = r.join(l, "listing_id")
+    joined = skew_safe_join(r, l, "listing_id", "inner", hot_key_rows)
     return joined.groupBy("review_year", "review_month", "city", "room_type").agg(
         F.count("review_id").alias("review_count"),
         F.countDistinct("listing_id").alias("active_listings"),
@@ -127,10 +130,10 @@ def monthly_reviews(listings: DataFrame, reviews: DataFrame, min_year: int = REV
 
 
 def review_trends(listings: DataFrame, reviews: DataFrame, min_year: int = REVIEW_YEAR_FLOOR,
-                  run_ts=None) -> DataFrame:
+                  run_ts=None, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Monthly review trend per (city, room type) with the previous present
     month's count and the growth against it."""
-    monthly = monthly_reviews(listings, reviews, min_year)
+    monthly = monthly_reviews(listings, reviews, min_year, hot_key_rows)
     monthly = monthly.withColumn("month_start_date", month_start("review_year", "review_month"))
     trended = lag_growth(monthly, "review_count", ["city", "room_type"], ["review_year", "review_month"],
                          prev_name="prev_month_reviews", growth_name="review_growth_pct")

@@ -15,6 +15,11 @@ def _layers(spark: SparkSession, sf_dir: str, **kw) -> FixtureLayers:
     return FixtureLayers(spark, sf_dir, **kw)
 
 
+def _gold(spark: SparkSession, sf_dir: str, **kw) -> FixtureLayers:
+    """Layers whose marts read written staging tables."""
+    return FixtureLayers(spark, sf_dir, materialize=True, **kw)
+
+
 def _drop_ts(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in NO_TS if c in df.columns])
 
@@ -43,17 +48,17 @@ def q_stg_reviews(spark, sf_dir):
 # ── gold marts ──────────────────────────────────────────────────────────────
 @register("mart_city_pricing", O.over_marts("SELECT * FROM mart_city_pricing"))
 def q_mart_city_pricing(spark, sf_dir):
-    return _drop_ts(_layers(spark, sf_dir).mart_city_pricing)
+    return _drop_ts(_gold(spark, sf_dir).mart_city_pricing)
 
 
 @register("mart_host_performance", O.over_marts("SELECT * FROM mart_host_performance"))
 def q_mart_host_performance(spark, sf_dir):
-    return _drop_ts(_layers(spark, sf_dir).mart_host_performance)
+    return _drop_ts(_gold(spark, sf_dir).mart_host_performance)
 
 
 @register("mart_review_trends", O.over_marts("SELECT * FROM mart_review_trends"))
 def q_mart_review_trends(spark, sf_dir):
-    return _drop_ts(_layers(spark, sf_dir).mart_review_trends)
+    return _drop_ts(_gold(spark, sf_dir).mart_review_trends)
 
 
 # ── scalar functions on raw records ─────────────────────────────────────────
@@ -181,50 +186,50 @@ def q_review_counts(spark, sf_dir):
     "SELECT review_year, review_month, city, room_type, review_count, active_listings, unique_reviewers "
     "FROM monthly_reviews"))
 def q_multi_distinct(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
+    lay = _gold(spark, sf_dir)
     return marts.monthly_reviews(lay.stg_listings, lay.stg_reviews, lay.min_year).select(
         "review_year", "review_month", "city", "room_type", "review_count", "active_listings", "unique_reviewers")
 
 
 @register("median_exact", O.over_marts("SELECT city, room_type, median_price FROM mart_city_pricing"))
 def q_median_exact(spark, sf_dir):
-    return _layers(spark, sf_dir, median="exact").mart_city_pricing.select("city", "room_type", "median_price")
+    return _gold(spark, sf_dir, median="exact").mart_city_pricing.select("city", "room_type", "median_price")
 
 
 @register("median_approx")
 def q_median_approx(spark, sf_dir):
-    return _layers(spark, sf_dir, median="approx").mart_city_pricing.select("city", "room_type", "median_price")
+    return _gold(spark, sf_dir, median="approx").mart_city_pricing.select("city", "room_type", "median_price")
 
 
 @register("conditional_pct", O.over_marts(
     "SELECT city, room_type, superhost_pct, instant_bookable_pct FROM mart_city_pricing"))
 def q_conditional_pct(spark, sf_dir):
-    return _layers(spark, sf_dir).mart_city_pricing.select("city", "room_type", "superhost_pct",
+    return _gold(spark, sf_dir).mart_city_pricing.select("city", "room_type", "superhost_pct",
                                                            "instant_bookable_pct")
 
 
 @register("price_tier", O.over_marts("SELECT city, room_type, median_price, price_tier FROM mart_city_pricing"))
 def q_price_tier(spark, sf_dir):
-    return _layers(spark, sf_dir).mart_city_pricing.select("city", "room_type", "median_price", "price_tier")
+    return _gold(spark, sf_dir).mart_city_pricing.select("city", "room_type", "median_price", "price_tier")
 
 
 @register("host_tier", O.over_marts(
     f"SELECT {O.HOST_KEYS}, avg_rating, host_tier FROM mart_host_performance"))
 def q_host_tier(spark, sf_dir):
-    return _layers(spark, sf_dir).mart_host_performance.select(*marts.HOST_KEYS, "avg_rating", "host_tier")
+    return _gold(spark, sf_dir).mart_host_performance.select(*marts.HOST_KEYS, "avg_rating", "host_tier")
 
 
 @register("lag_prev_month", O.over_marts(
     "SELECT city, room_type, review_year, review_month, review_count, prev_month_reviews FROM mart_review_trends"))
 def q_lag_prev_month(spark, sf_dir):
-    return _layers(spark, sf_dir).mart_review_trends.select(
+    return _gold(spark, sf_dir).mart_review_trends.select(
         "city", "room_type", "review_year", "review_month", "review_count", "prev_month_reviews")
 
 
 @register("mom_growth", O.over_marts(
     "SELECT city, room_type, review_year, review_month, review_growth_pct FROM mart_review_trends"))
 def q_mom_growth(spark, sf_dir):
-    return _layers(spark, sf_dir).mart_review_trends.select(
+    return _gold(spark, sf_dir).mart_review_trends.select(
         "city", "room_type", "review_year", "review_month", "review_growth_pct")
 
 
@@ -232,34 +237,34 @@ def q_mom_growth(spark, sf_dir):
 @register("bi_city_pricing_list", O.over_marts(
     "SELECT city, room_type, avg_price, median_price, total_listings FROM mart_city_pricing"))
 def q_bi_city_pricing_list(spark, sf_dir):
-    return bi.city_pricing_list(_layers(spark, sf_dir).mart_city_pricing)
+    return bi.city_pricing_list(_gold(spark, sf_dir).mart_city_pricing)
 
 
 @register("bi_top_cities", O.over_marts(
     f"SELECT city, avg_price, median_price, superhost_pct FROM mart_city_pricing "
     f"WHERE room_type = '{FX.FIXTURE_TOP_ROOM_TYPE}' ORDER BY median_price DESC NULLS LAST, city LIMIT 5"))
 def q_bi_top_cities(spark, sf_dir):
-    return bi.top_cities(_layers(spark, sf_dir).mart_city_pricing, FX.FIXTURE_TOP_ROOM_TYPE, 5)
+    return bi.top_cities(_gold(spark, sf_dir).mart_city_pricing, FX.FIXTURE_TOP_ROOM_TYPE, 5)
 
 
 @register("bi_city_price", O.over_marts(
     f"SELECT city, {O.avg2('avg_price', 0)} AS avg_price FROM mart_city_pricing GROUP BY city"))
 def q_bi_city_price(spark, sf_dir):
-    return bi.city_price(_layers(spark, sf_dir).mart_city_pricing)
+    return bi.city_price(_gold(spark, sf_dir).mart_city_pricing)
 
 
 @register("bi_host_tier_price", O.over_marts(
     f"SELECT host_tier, {O.avg2('avg_listing_price', 0)} AS avg_price, COUNT(*) AS host_count "
     "FROM mart_host_performance GROUP BY host_tier"))
 def q_bi_host_tier_price(spark, sf_dir):
-    return bi.host_tier_price(_layers(spark, sf_dir).mart_host_performance)
+    return bi.host_tier_price(_gold(spark, sf_dir).mart_host_performance)
 
 
 @register("bi_reviews_by_year", O.over_marts(
     "SELECT review_year, CAST(SUM(review_count) AS BIGINT) AS total_reviews FROM mart_review_trends "
     "GROUP BY review_year"))
 def q_bi_reviews_by_year(spark, sf_dir):
-    return bi.reviews_by_year(_layers(spark, sf_dir).mart_review_trends)
+    return bi.reviews_by_year(_gold(spark, sf_dir).mart_review_trends)
 
 
 _AMENITY_BUCKET_SQL = ("CASE WHEN amenity_count < 5 THEN 'Few (<5)' WHEN amenity_count < 10 "
@@ -276,14 +281,14 @@ def q_bi_amenity_vs_rating(spark, sf_dir):
 @register("bi_rating_vs_price", O.over_marts(
     "SELECT city, room_type, avg_rating, avg_price FROM mart_city_pricing"))
 def q_bi_rating_vs_price(spark, sf_dir):
-    return bi.rating_vs_price(_layers(spark, sf_dir).mart_city_pricing)
+    return bi.rating_vs_price(_gold(spark, sf_dir).mart_city_pricing)
 
 
 @register("bi_reviews_by_month", O.over_marts(
     "SELECT month_start_date, CAST(SUM(review_count) AS BIGINT) AS review_count FROM mart_review_trends "
     "GROUP BY month_start_date"))
 def q_bi_reviews_by_month(spark, sf_dir):
-    return bi.reviews_by_month(_layers(spark, sf_dir).mart_review_trends)
+    return bi.reviews_by_month(_gold(spark, sf_dir).mart_review_trends)
 
 
 # ── sources, topic log, streaming landing ──────────────────────────────────
@@ -575,21 +580,10 @@ def _fixture_tables(lay: FixtureLayers) -> dict:
 @register("dq_summary", _dq_summary_sql())
 def q_dq_summary(spark, sf_dir):
     """All 19 checks in one summary (fixture accepted-value lists), run like
-    the reference on materialised staging tables: both are written once to
-    the shared folder, and every check and mart scans the written copies
-    instead of recomputing bronze -> silver -> staging per check."""
-    lay = _layers(spark, sf_dir)
-    root = new_run_root(spark, "queries")
-    stg = {name: TB.materialize(getattr(lay, name), path=f"{root}/{name}")
-           for name in ("stg_listings", "stg_reviews")}
-    tables = {
-        **stg,
-        "mart_city_pricing": marts.city_pricing(stg["stg_listings"], median="exact", run_ts=RUN_TS),
-        "mart_host_performance": marts.host_performance(stg["stg_listings"], stg["stg_reviews"], run_ts=RUN_TS),
-        "mart_review_trends": marts.review_trends(stg["stg_listings"], stg["stg_reviews"], lay.min_year,
-                                                  run_ts=RUN_TS),
-    }
-    return Q.run_suite(tables, Q.default_suite(FX.FIXTURE_CITIES, FX.FIXTURE_ROOM_TYPES))
+    the reference on materialised staging tables: every check and mart scans
+    the written copies instead of recomputing bronze -> silver -> staging."""
+    return Q.run_suite(_fixture_tables(_gold(spark, sf_dir)),
+                       Q.default_suite(FX.FIXTURE_CITIES, FX.FIXTURE_ROOM_TYPES))
 
 
 # ── end to end ──────────────────────────────────────────────────────────────

@@ -108,3 +108,11 @@ def test_month_start_and_days_between(spark):
     r = df.select(LF.month_start("y", "m"), LF.month_start_text("y", "m"), LF.days_between("a", "b")).first()
     assert r[0] == r[1] == dt.date(2015, 3, 1)
     assert r[2] == 30
+
+
+def test_to_double_special_literals_unchanged(spark, ansi):
+    vals = ["NaN", "+NaN", " inf ", "-Infinity", "nan", "+nan", "N/A", "n", "0x1p3", "1e3", "3d", "", "  "]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    got = [r[0] for r in df.select(LF.to_double("x")).collect()]
+    want = [r[0] for r in df.select(F.col("x").try_cast("double")).collect()]
+    assert [repr(v) for v in got] == [repr(v) for v in want]
