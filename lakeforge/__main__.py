@@ -14,7 +14,7 @@ import argparse
 import json
 from dataclasses import asdict
 
-from lakeforge.operators.quality import assert_suite, default_suite, run_suite
+from lakeforge.operators.quality import QualityError, assert_suite, default_suite, run_suite
 from lakeforge.plans import pipeline as P
 
 STEPS = ("ingest", "land", "silver", "gold", "test")
@@ -55,8 +55,8 @@ def main(argv=None) -> int:
         summary = run_suite(tables, default_suite(cfg.cities, cfg.room_types))
         try:
             report["quality"] = assert_suite(summary)
-        except AssertionError as e:
-            report["quality_error"] = str(e)
+        except QualityError as e:
+            report["quality_error"], report["quality"] = str(e), e.rows
             status = 0 if a.no_gate else 1
     print(json.dumps(report, default=str))
     return status

@@ -33,7 +33,11 @@ class Check:
 
 
 class QualityError(AssertionError):
-    pass
+    """Raised by the gate; ``rows`` holds the full summary."""
+
+    def __init__(self, message: str, rows: list[dict]):
+        super().__init__(message)
+        self.rows = rows
 
 
 # ── failing rows per check kind ─────────────────────────────────────────────
@@ -137,7 +141,7 @@ def assert_suite(summary: DataFrame) -> list[dict]:
     bad = [r for r in rows if r["failures"]]
     if bad:
         lines = ", ".join(f"{r['table_name']}.{r['column_name']} {r['test_name']}={r['failures']}" for r in bad)
-        raise QualityError(f"{len(bad)} data-quality checks failed: {lines}")
+        raise QualityError(f"{len(bad)} data-quality checks failed: {lines}", rows)
     return rows
 
 

@@ -9,15 +9,17 @@ written layer, not from the CSV).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge import schemas as S
 from lakeforge.operators.clean import clean_listings, clean_reviews
-from lakeforge.operators.quality import assert_suite, default_suite, run_suite
+from lakeforge.operators.quality import QualityError, assert_suite, default_suite, run_suite
 from lakeforge.operators.staging import stg_listings, stg_reviews
 from lakeforge.plans import marts
 from lakeforge.session import shared_root
@@ -27,6 +29,18 @@ from lakeforge.sources.tables import create_namespace, read_table, write_table
 from lakeforge.sources.topics import PublishResult, publish_records
 from lakeforge.streaming.ingest import StreamRun, land_topics
 
+T = TypeVar("T")
+
+
+def run_concurrently(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark actions from separate threads so their jobs
+    share the executors (Spark schedules concurrent jobs natively); results
+    come back in order and the first failure is raised."""
+    if len(jobs) <= 1:
+        return [j() for j in jobs]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
 
 def new_run_root(spark: SparkSession, kind: str = "runs") -> str:
     """A fresh folder under the shared root for one run."""
@@ -52,6 +66,9 @@ class PipelineConfig:
     # ``SELECT ... FROM gold.mart_city_pricing``.
     silver_namespace: str | None = None
     gold_namespace: str | None = None
+    # Read the CSV files with the known record columns (header names are
+    # checked against them) instead of taking whatever the header holds.
+    known_columns: bool = True
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -81,14 +98,14 @@ class PipelineResult:
 
 
 def ingest(spark: SparkSession, cfg: PipelineConfig) -> list[PublishResult]:
-    """CSV files -> keyed messages on the two topics."""
-    out = []
-    for csv_path, topic in ((cfg.listings_csv, cfg.listings_topic), (cfg.reviews_csv, cfg.reviews_topic)):
-        if csv_path:
-            records = read_csv_records(spark, csv_path)
-            out.append(publish_records(records, topic, _key_for(topic, cfg), cfg.path("topics"),
-                                       cfg.kafka_servers))
-    return out
+    """CSV files -> keyed messages on the two topics (published concurrently)."""
+    def publish(csv_path: str, topic: str) -> PublishResult:
+        cols = S.BRONZE_LISTING_COLUMNS if topic == cfg.listings_topic else S.BRONZE_REVIEW_COLUMNS
+        records = read_csv_records(spark, csv_path, schema=S.text_schema(cols) if cfg.known_columns else None)
+        return publish_records(records, topic, _key_for(topic, cfg), cfg.path("topics"), cfg.kafka_servers)
+
+    sources = [(p, t) for p, t in ((cfg.listings_csv, cfg.listings_topic), (cfg.reviews_csv, cfg.reviews_topic)) if p]
+    return run_concurrently(*[(lambda p=p, t=t: publish(p, t)) for p, t in sources])
 
 
 def _key_for(topic: str, cfg: PipelineConfig) -> str:
@@ -107,18 +124,21 @@ def land(spark: SparkSession, cfg: PipelineConfig) -> list[StreamRun]:
 def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     """Clean both topics into partitioned silver tables; raw and cleaned
     counts are observed during the write (no extra scans)."""
-    counts = {}
     specs = (
         ("listings", cfg.listings_topic, S.BRONZE_LISTING_COLUMNS, clean_listings, ["city"]),
         ("reviews", cfg.reviews_topic, S.BRONZE_REVIEW_COLUMNS, clean_reviews, ["review_year", "review_month"]),
     )
-    for name, topic, cols, cleaner, parts in specs:
+
+    def clean_one(name, topic, cols, cleaner, parts) -> dict[str, int]:
         raw_obs, clean_obs = Observation(f"raw_{name}"), Observation(f"clean_{name}")
         raw = read_bronze(spark, cfg.path("bronze", topic), cols).observe(raw_obs, F.count(F.lit(1)).alias("n"))
         silver = cleaner(raw, run_ts=cfg.run_ts).observe(clean_obs, F.count(F.lit(1)).alias("n"))
         _write_layer(spark, cfg, silver, "silver", name, partition_by=parts)
-        counts[f"bronze_{name}"] = int(raw_obs.get["n"])
-        counts[f"silver_{name}"] = int(clean_obs.get["n"])
+        return {f"bronze_{name}": int(raw_obs.get["n"]), f"silver_{name}": int(clean_obs.get["n"])}
+
+    counts: dict[str, int] = {}
+    for c in run_concurrently(*[(lambda spec=spec: clean_one(*spec)) for spec in specs]):
+        counts.update(c)
     return counts
 
 
@@ -131,8 +151,11 @@ def silver_table(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFra
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
     """Staging tables, then the three marts (city pricing partitioned by
     city), each written once and read back."""
-    l = _write_layer(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging", "stg_listings")
-    r = _write_layer(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging", "stg_reviews")
+    l, r = run_concurrently(
+        lambda: _write_layer(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging",
+                             "stg_listings"),
+        lambda: _write_layer(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging",
+                             "stg_reviews"))
     built = {
         "mart_city_pricing": (marts.city_pricing(l, median=cfg.median, run_ts=cfg.run_ts), ["city"],
                               ["city", "room_type"]),
@@ -140,10 +163,11 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFr
         "mart_review_trends": (marts.review_trends(l, r, cfg.min_year, run_ts=cfg.run_ts), [],
                                ["city", "review_year", "review_month"]),
     }
-    out = {"stg_listings": l, "stg_reviews": r}
-    for name, (df, parts, order) in built.items():
-        out[name] = _write_layer(spark, cfg, df, "gold", name, partition_by=parts, sort_by=order)
-    return out
+    written = run_concurrently(*[
+        (lambda name=name, df=df, parts=parts, order=order:
+         _write_layer(spark, cfg, df, "gold", name, partition_by=parts, sort_by=order))
+        for name, (df, parts, order) in built.items()])
+    return {"stg_listings": l, "stg_reviews": r, **dict(zip(built, written))}
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
@@ -155,9 +179,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     summary = run_suite(tables, default_suite(cfg.cities, cfg.room_types))
     try:
         res.quality = assert_suite(summary)
-    except AssertionError as e:
-        res.quality_error = str(e)
-        res.quality = [r.asDict() for r in summary.collect()]
+    except QualityError as e:
+        res.quality_error, res.quality = str(e), e.rows
         if cfg.fail_on_quality:
             raise
     return res

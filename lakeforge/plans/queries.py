@@ -293,7 +293,7 @@ def q_bi_reviews_by_month(spark, sf_dir):
 
 # ── sources, topic log, streaming landing ──────────────────────────────────
 from lakeforge.plans.pipeline import PipelineConfig, bronze_to_silver, ingest, land, new_run_root, run_pipeline  # noqa: E402,E501
-from lakeforge.plans.pipeline import silver_to_gold  # noqa: E402
+from lakeforge.plans.pipeline import run_concurrently, silver_to_gold  # noqa: E402
 from lakeforge.sources import tables as TB  # noqa: E402
 from lakeforge.sources.bronze import read_bronze  # noqa: E402
 from lakeforge.sources.csv import read_csv_records, write_csv_records  # noqa: E402
@@ -309,10 +309,12 @@ def _fixture_csv_run(spark, sf_dir, entities=("listings", "reviews"), **kw) -> P
                          reviews_csv=f"{root}/csv/reviews" if "reviews" in entities else None,
                          run_ts=RUN_TS, min_year=FX.FIXTURE_YEAR_FLOOR, median="exact",
                          cities=FX.FIXTURE_CITIES, room_types=FX.FIXTURE_ROOM_TYPES, **kw)
+    writes = []
     if cfg.listings_csv:
-        write_csv_records(FX.bronze_listings(spark, sf_dir), cfg.listings_csv)
+        writes.append(lambda: write_csv_records(FX.bronze_listings(spark, sf_dir), cfg.listings_csv))
     if cfg.reviews_csv:
-        write_csv_records(FX.bronze_reviews(spark, sf_dir), cfg.reviews_csv)
+        writes.append(lambda: write_csv_records(FX.bronze_reviews(spark, sf_dir), cfg.reviews_csv))
+    run_concurrently(*writes)
     return cfg
 
 

@@ -39,18 +39,26 @@ class PublishResult:
 
 
 def write_topic_log(messages: DataFrame, path: str | None = None, mode: str = "append",
-                    key_partitions: int | None = None, kafka_servers: str | None = None) -> None:
+                    key_partitions: int | None = None, kafka_servers: str | None = None,
+                    topic: str | None = None) -> None:
     """Append messages to the log.
 
     ``key_partitions`` hash-partitions by key first, so all messages of a
     key land in one file per batch (the broker's key affinity); it is off by
-    default because a hot key would then pile into one task.
+    default because a hot key would then pile into one task. When every
+    message has the same ``topic``, the files go straight into its
+    ``topic=`` folder, so publishers of different topics never share a
+    commit folder and can run at the same time.
     """
     if key_partitions:
         messages = messages.repartition(key_partitions, "key")
     if kafka_servers:
         (messages.select("topic", "key", "value").write.format("kafka")
-         .option("kafka.bootstrap.servers", kafka_servers).option("kafka.acks", "all").save())
+         .option("kafka.bootstrap.servers", kafka_servers).option("kafka.acks", "all")
+         .option("kafka.retries", "3").save())
+        return
+    if topic is not None:
+        messages.drop("topic").write.mode(mode).json(f"{path}/topic={topic}")
         return
     messages.write.mode(mode).partitionBy("topic").json(path)
 
@@ -63,7 +71,7 @@ def publish_records(df: DataFrame, topic: str, key_field: str, path: str | None
     msgs = to_topic_messages(df, topic, key_field).observe(
         obs, F.count(F.lit(1)).alias("sent"),
         F.count_if(F.col("key") == F.lit(UNKNOWN_KEY)).alias("unknown_keys"))
-    write_topic_log(msgs, path, key_partitions=key_partitions, kafka_servers=kafka_servers)
+    write_topic_log(msgs, path, key_partitions=key_partitions, kafka_servers=kafka_servers, topic=topic)
     m = obs.get
     return PublishResult(topic, int(m["sent"]), int(m["unknown_keys"]))
 

@@ -60,30 +60,39 @@ def with_ingest_date(df: DataFrame, session_tz: str) -> DataFrame:
     })
 
 
-def land_topic(spark: SparkSession, topic: str, bronze_root: str, checkpoint_root: str,
-               log_path: str | None = None, kafka_servers: str | None = None,
-               max_per_trigger: int | None = None,
-               records_per_file: int = S.BRONZE_FILE_RECORDS) -> StreamRun:
-    """Drain everything available for ``topic`` into bronze, then stop."""
+def start_landing(spark: SparkSession, topic: str, bronze_root: str, checkpoint_root: str,
+                  log_path: str | None = None, kafka_servers: str | None = None,
+                  max_per_trigger: int | None = None, records_per_file: int = S.BRONZE_FILE_RECORDS):
+    """Start the landing query for ``topic``; it drains what is available
+    and stops (``availableNow``)."""
     stream = topic_stream(spark, topic, log_path, kafka_servers, max_per_trigger)
     tz = spark.conf.get("spark.sql.session.timeZone")
     out = with_ingest_date(stream.select("value"), tz)
-    q = (out.writeStream.format("text")
-         .partitionBy("year", "month", "day")
-         .option("path", f"{bronze_root}/{topic}")
-         .option("checkpointLocation", f"{checkpoint_root}/{topic}")
-         .option("maxRecordsPerFile", records_per_file)
-         .queryName(f"land_{topic.replace('.', '_')}")
-         .trigger(availableNow=True)
-         .start())
+    return (out.writeStream.format("text")
+            .partitionBy("year", "month", "day")
+            .option("path", f"{bronze_root}/{topic}")
+            .option("checkpointLocation", f"{checkpoint_root}/{topic}")
+            .option("maxRecordsPerFile", records_per_file)
+            .queryName(f"land_{topic.replace('.', '_')}")
+            .trigger(availableNow=True)
+            .start())
+
+
+def _finish(topic: str, q) -> StreamRun:
     q.awaitTermination()
     progress = q.recentProgress
     return StreamRun(topic, len([p for p in progress if p.get("numInputRows", 0) > 0]),
                      sum(int(p.get("numInputRows", 0)) for p in progress))
 
 
+def land_topic(spark: SparkSession, topic: str, bronze_root: str, checkpoint_root: str, **kw) -> StreamRun:
+    """Drain everything available for ``topic`` into bronze, then stop."""
+    return _finish(topic, start_landing(spark, topic, bronze_root, checkpoint_root, **kw))
+
+
 def land_topics(spark: SparkSession, topics: list[str], bronze_root: str, checkpoint_root: str,
                 **kw) -> list[StreamRun]:
-    """One independent streaming query per topic (separate buffers,
-    batch numbering and checkpoints)."""
-    return [land_topic(spark, t, bronze_root, checkpoint_root, **kw) for t in topics]
+    """One independent streaming query per topic (separate buffers, batch
+    numbering and checkpoints), all running at the same time."""
+    started = [(t, start_landing(spark, t, bronze_root, checkpoint_root, **kw)) for t in topics]
+    return [_finish(t, q) for t, q in started]
