@@ -24,11 +24,10 @@ class FixtureLayers:
     run_ts: str | None = RUN_TS
     min_year: int = FX.FIXTURE_YEAR_FLOOR
     median: str = "exact"
-    # Write the staging tables once to a fresh folder under the shared root
-    # and build the marts from the written copies (as the pipeline does), so
-    # passes over staging (hot-key counts, several marts) do not recompute
-    # bronze -> silver -> staging each time.
-    materialize: bool = False
+    # Staging tables to write once to a fresh folder under the shared root
+    # (as the pipeline does) and read back, for callers that scan them more
+    # than once (hot-key counts, several marts); the others stay lazy.
+    materialize: tuple[str, ...] = ()
 
     @cached_property
     def bronze_listings(self) -> DataFrame:
@@ -52,7 +51,7 @@ class FixtureLayers:
         return new_run_root(self.spark, "layers")
 
     def _staged(self, name: str, df: DataFrame) -> DataFrame:
-        if not self.materialize:
+        if name not in self.materialize:
             return df
         from lakeforge.sources.tables import materialize
         return materialize(df, path=f"{self._stage_root}/{name}")
