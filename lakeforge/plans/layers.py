@@ -50,19 +50,29 @@ class FixtureLayers:
         from lakeforge.plans.pipeline import new_run_root
         return new_run_root(self.spark, "layers")
 
-    def _staged(self, name: str, df: DataFrame) -> DataFrame:
-        if name not in self.materialize:
-            return df
+    @cached_property
+    def _written(self) -> dict[str, DataFrame]:
+        """All requested staging tables, written concurrently on first use."""
+        from lakeforge.plans.pipeline import run_concurrently
         from lakeforge.sources.tables import materialize
-        return materialize(df, path=f"{self._stage_root}/{name}")
+        lazy = {"stg_listings": lambda: stg_listings(self.silver_listings),
+                "stg_reviews": lambda: stg_reviews(self.silver_reviews)}
+        names = [n for n in lazy if n in self.materialize]
+        dfs = run_concurrently(*[(lambda n=n: materialize(lazy[n](), path=f"{self._stage_root}/{n}"))
+                                 for n in names])
+        return dict(zip(names, dfs))
 
     @cached_property
     def stg_listings(self) -> DataFrame:
-        return self._staged("stg_listings", stg_listings(self.silver_listings))
+        if "stg_listings" in self.materialize:
+            return self._written["stg_listings"]
+        return stg_listings(self.silver_listings)
 
     @cached_property
     def stg_reviews(self) -> DataFrame:
-        return self._staged("stg_reviews", stg_reviews(self.silver_reviews))
+        if "stg_reviews" in self.materialize:
+            return self._written["stg_reviews"]
+        return stg_reviews(self.silver_reviews)
 
     @cached_property
     def mart_city_pricing(self) -> DataFrame:
