@@ -66,7 +66,9 @@ def write_topic_log(messages: DataFrame, path: str | None = None, mode: str = "a
 def publish_records(df: DataFrame, topic: str, key_field: str, path: str | None = None,
                     kafka_servers: str | None = None, key_partitions: int | None = None) -> PublishResult:
     """Records -> messages -> log in one pass, counting sent messages and
-    unknown keys with an observation (no second scan)."""
+    unknown keys with an observation (no second scan). The counts are
+    reporting only: a stage that Spark re-executes after a lost executor
+    may be counted again; ``ingest_counts`` gives exact counts from the log."""
     obs = Observation(f"publish_{topic}")
     msgs = to_topic_messages(df, topic, key_field).observe(
         obs, F.count(F.lit(1)).alias("sent"),

@@ -25,6 +25,9 @@ LOG_VALUE_SCHEMA = T.StructType([
 
 @dataclass
 class StreamRun:
+    """Progress of one landing run, from the query's recent progress (the
+    last ``spark.sql.streaming.numRecentProgressUpdates`` batches)."""
+
     topic: str
     batches: int
     input_rows: int
