@@ -66,7 +66,11 @@ def order_terms(df: DataFrame, order: Sequence[SortKey | str]) -> list[Column]:
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey | str] = ()) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order`` and then every
-    other column ascending (nulls first). Column order is preserved."""
+    other column ascending (nulls first). Column order is preserved.
+
+    Every column takes part in the comparison, so all of them must be
+    orderable (map columns are not; convert them, e.g. ``to_json``, first).
+    """
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
     if not payload:

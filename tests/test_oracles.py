@@ -25,3 +25,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "median_price" in df.columns
+
+
+ANSI_SENSITIVE = ["lenient_casts", "review_date_parts", "clean_listings", "clean_reviews",
+                  "mart_city_pricing", "mart_host_performance", "mart_review_trends"]
+
+
+@pytest.mark.parametrize("name", ANSI_SENSITIVE)
+def test_query_matches_oracle_with_ansi_off(spark, con, name):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        res = check(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert res["status"] == "match", res
