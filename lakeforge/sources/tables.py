@@ -104,3 +104,17 @@ def as_of(history: DataFrame, keys: Sequence[str], version_column: str, timestam
 def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
     """Additive schema evolution in memory: columns missing on one side are NULL."""
     return old.unionByName(new, allowMissingColumns=True)
+
+
+def read_table_as_of(spark: SparkSession, name: str, timestamp: str) -> DataFrame:
+    """Time-travel read of a catalog table that keeps snapshots (Iceberg,
+    Delta): the table as of ``timestamp``. Plain Parquet tables keep no
+    snapshots; use :func:`as_of` over an append-only history for them."""
+    return spark.sql(f"SELECT * FROM {name} TIMESTAMP AS OF '{timestamp}'")
+
+
+def add_columns(spark: SparkSession, name: str, columns: dict[str, str]) -> None:
+    """Additive schema evolution of a catalog table without rewriting data:
+    existing files read the new columns as NULL."""
+    spec = ", ".join(f"{c} {t}" for c, t in columns.items())
+    spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")

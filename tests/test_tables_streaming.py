@@ -97,3 +97,16 @@ def test_cli_runs_all_steps(spark, tmp_root, capsys):
     assert status == 1 and "quality_error" in report  # default accepted lists reject fixture cities
     assert {p["topic"] for p in report["published"]} == {S.LISTINGS_TOPIC, S.REVIEWS_TOPIC}
     assert report["counts"]["silver_listings"] > 0
+
+
+def test_add_columns_without_rewrite(spark, tmp_root):
+    ns = "lf_evolve_" + tmp_root.rsplit("/", 1)[-1]
+    TB.create_namespace(spark, ns, location=f"{tmp_root}/{ns}.db")
+    TB.write_table(spark.range(3).withColumnRenamed("id", "k"), name=f"{ns}.t")
+    files_before = sorted(f for f in os.listdir(f"{tmp_root}/{ns}.db/t".replace("file:", "")) if f.endswith(".parquet"))
+    TB.add_columns(spark, f"{ns}.t", {"note": "string"})
+    spark.createDataFrame([(9, "new")], "k long, note string").write.insertInto(f"{ns}.t")
+    rows = {r["k"]: r["note"] for r in TB.read_table(spark, name=f"{ns}.t").collect()}
+    assert rows == {0: None, 1: None, 2: None, 9: "new"}
+    files_after = sorted(f for f in os.listdir(f"{tmp_root}/{ns}.db/t".replace("file:", "")) if f.endswith(".parquet"))
+    assert set(files_before) <= set(files_after)  # old files untouched
