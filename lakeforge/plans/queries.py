@@ -3,10 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from lakeforge import functions as LF
+from lakeforge import schemas as S
+from lakeforge.operators import quality as Q
+from lakeforge.operators.clean import REVIEW_DEDUP_ORDER, review_projection
+from lakeforge.operators.dedup import dedup_by_key
+from lakeforge.plans import bi, marts
+from lakeforge.plans import fixtures as FX
 from lakeforge.plans import oracle_sql as O
-from lakeforge.plans.layers import FixtureLayers
+from lakeforge.plans.layers import RUN_TS, FixtureLayers
+from lakeforge.plans.pipeline import PipelineConfig, ingest, land, new_run_root, run_concurrently, run_pipeline
 from lakeforge.plans.registry import register
+from lakeforge.sources import tables as TB
+from lakeforge.sources.bronze import read_bronze
+from lakeforge.sources.csv import read_csv_records, write_csv_records
+from lakeforge.sources.topics import ingest_counts, parse_messages, read_topic_log, to_topic_messages
 
 NO_TS = ("ingested_at", "updated_at")
 
@@ -68,15 +81,7 @@ def q_mart_review_trends(spark, sf_dir):
 
 
 # ── scalar functions on raw records ─────────────────────────────────────────
-from pyspark.sql import functions as F  # noqa: E402
 
-from lakeforge import functions as LF  # noqa: E402
-from lakeforge import schemas as S  # noqa: E402
-from lakeforge.operators.clean import REVIEW_DEDUP_ORDER, review_projection  # noqa: E402
-from lakeforge.operators.dedup import dedup_by_key  # noqa: E402
-from lakeforge.plans import bi, marts  # noqa: E402
-from lakeforge.plans import fixtures as FX  # noqa: E402
-from lakeforge.plans.layers import RUN_TS  # noqa: E402
 
 
 def _bl(ctes=("bronze_listings",)):
@@ -298,14 +303,6 @@ def q_bi_reviews_by_month(spark, sf_dir):
 
 
 # ── sources, topic log, streaming landing ──────────────────────────────────
-from lakeforge.plans.pipeline import PipelineConfig, bronze_to_silver, ingest, land, new_run_root, run_pipeline  # noqa: E402,E501
-from lakeforge.plans.pipeline import run_concurrently, silver_to_gold  # noqa: E402
-from lakeforge.sources import tables as TB  # noqa: E402
-from lakeforge.sources.bronze import read_bronze  # noqa: E402
-from lakeforge.sources.csv import read_csv_records, write_csv_records  # noqa: E402
-from lakeforge.sources.topics import ingest_counts, parse_messages, read_topic_log, to_topic_messages  # noqa: E402
-from lakeforge.operators import quality as Q  # noqa: E402
-from lakeforge.operators.dedup import latest_by_key  # noqa: E402
 
 
 def _fixture_csv_run(spark, sf_dir, entities=("listings", "reviews"), **kw) -> PipelineConfig:
