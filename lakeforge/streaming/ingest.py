@@ -34,10 +34,14 @@ class StreamRun:
 
 
 def topic_stream(spark: SparkSession, topic: str, log_path: str | None = None,
-                 kafka_servers: str | None = None, max_per_trigger: int | None = None) -> DataFrame:
+                 kafka_servers: str | None = None, max_per_trigger: int | None = None,
+                 min_per_trigger: int | None = None, max_trigger_delay: str = "30s") -> DataFrame:
     """Streaming DataFrame of (key, value) text for one topic, from the
     earliest retained message. ``max_per_trigger`` caps a micro-batch: files
-    for the log folder, offsets (messages) for Kafka."""
+    for the log folder, offsets (messages) for Kafka. For Kafka,
+    ``min_per_trigger`` holds a micro-batch back until that many messages
+    are waiting or ``max_trigger_delay`` has passed (flush at N messages or
+    when the topic goes quiet)."""
     if kafka_servers:
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", kafka_servers)
@@ -45,6 +49,9 @@ def topic_stream(spark: SparkSession, topic: str, log_path: str | None = None,
                   .option("startingOffsets", "earliest"))
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+        if min_per_trigger:
+            reader = (reader.option("minOffsetsPerTrigger", min_per_trigger)
+                      .option("maxTriggerDelay", max_trigger_delay))
         return reader.load().select(F.col("key").cast("string").alias("key"),
                                     F.col("value").cast("string").alias("value"))
     reader = spark.readStream.schema(LOG_VALUE_SCHEMA)
@@ -65,10 +72,13 @@ def with_ingest_date(df: DataFrame, session_tz: str) -> DataFrame:
 
 def start_landing(spark: SparkSession, topic: str, bronze_root: str, checkpoint_root: str,
                   log_path: str | None = None, kafka_servers: str | None = None,
-                  max_per_trigger: int | None = None, records_per_file: int = S.BRONZE_FILE_RECORDS):
-    """Start the landing query for ``topic``; it drains what is available
-    and stops (``availableNow``)."""
-    stream = topic_stream(spark, topic, log_path, kafka_servers, max_per_trigger)
+                  max_per_trigger: int | None = None, records_per_file: int = S.BRONZE_FILE_RECORDS,
+                  trigger_interval: str | None = None, min_per_trigger: int | None = None):
+    """Start the landing query for ``topic``. By default it drains what is
+    available and stops (``availableNow``); with ``trigger_interval`` (e.g.
+    ``"30 seconds"``) it keeps running as a continuous consumer and the
+    caller owns the returned query."""
+    stream = topic_stream(spark, topic, log_path, kafka_servers, max_per_trigger, min_per_trigger)
     tz = spark.conf.get("spark.sql.session.timeZone")
     out = with_ingest_date(stream.select("value"), tz)
     return (out.writeStream.format("text")
@@ -77,7 +87,7 @@ def start_landing(spark: SparkSession, topic: str, bronze_root: str, checkpoint_
             .option("checkpointLocation", f"{checkpoint_root}/{topic}")
             .option("maxRecordsPerFile", records_per_file)
             .queryName(f"land_{topic.replace('.', '_')}")
-            .trigger(availableNow=True)
+            .trigger(**({"processingTime": trigger_interval} if trigger_interval else {"availableNow": True}))
             .start())
 
 

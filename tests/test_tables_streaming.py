@@ -110,3 +110,26 @@ def test_add_columns_without_rewrite(spark, tmp_root):
     assert rows == {0: None, 1: None, 2: None, 9: "new"}
     files_after = sorted(f for f in os.listdir(f"{tmp_root}/{ns}.db/t".replace("file:", "")) if f.endswith(".parquet"))
     assert set(files_before) <= set(files_after)  # old files untouched
+
+
+def test_continuous_landing_picks_up_new_messages(spark, tmp_root):
+    import time
+    from lakeforge.streaming.ingest import start_landing
+    recs = FX.bronze_listings(spark, SF_SMALL)
+    n = recs.count()
+    log, bronze, ckpt = f"{tmp_root}/topics", f"{tmp_root}/bronze", f"{tmp_root}/ckpt"
+    publish_records(recs, S.LISTINGS_TOPIC, "listing_id", log)
+    q = start_landing(spark, S.LISTINGS_TOPIC, bronze, ckpt, log_path=log, trigger_interval="1 second")
+    try:
+        q.processAllAvailable()
+        publish_records(recs, S.LISTINGS_TOPIC, "listing_id", log)
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            q.processAllAvailable()
+            if read_bronze(spark, f"{bronze}/{S.LISTINGS_TOPIC}", S.BRONZE_LISTING_COLUMNS).count() == 2 * n:
+                break
+            time.sleep(1)
+        assert q.isActive
+    finally:
+        q.stop()
+    assert read_bronze(spark, f"{bronze}/{S.LISTINGS_TOPIC}", S.BRONZE_LISTING_COLUMNS).count() == 2 * n
