@@ -66,9 +66,11 @@ class PipelineConfig:
     # ``SELECT ... FROM gold.mart_city_pricing``.
     silver_namespace: str | None = None
     gold_namespace: str | None = None
-    # Read the CSV files with the known record columns (header names are
-    # checked against them) instead of taking whatever the header holds.
-    known_columns: bool = True
+    # Record columns read from bronze into silver (explicit schema, no
+    # inference pass). Every CSV column travels in the messages; add extra
+    # columns here to carry them into silver as well.
+    listing_columns: Sequence[str] = tuple(S.BRONZE_LISTING_COLUMNS)
+    review_columns: Sequence[str] = tuple(S.BRONZE_REVIEW_COLUMNS)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -100,8 +102,7 @@ class PipelineResult:
 def ingest(spark: SparkSession, cfg: PipelineConfig) -> list[PublishResult]:
     """CSV files -> keyed messages on the two topics (published concurrently)."""
     def publish(csv_path: str, topic: str) -> PublishResult:
-        cols = S.BRONZE_LISTING_COLUMNS if topic == cfg.listings_topic else S.BRONZE_REVIEW_COLUMNS
-        records = read_csv_records(spark, csv_path, schema=S.text_schema(cols) if cfg.known_columns else None)
+        records = read_csv_records(spark, csv_path)
         return publish_records(records, topic, _key_for(topic, cfg), cfg.path("topics"), cfg.kafka_servers)
 
     sources = [(p, t) for p, t in ((cfg.listings_csv, cfg.listings_topic), (cfg.reviews_csv, cfg.reviews_topic)) if p]
@@ -125,8 +126,8 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
     """Clean both topics into partitioned silver tables; raw and cleaned
     counts are observed during the write (no extra scans)."""
     specs = (
-        ("listings", cfg.listings_topic, S.BRONZE_LISTING_COLUMNS, clean_listings, ["city"]),
-        ("reviews", cfg.reviews_topic, S.BRONZE_REVIEW_COLUMNS, clean_reviews, ["review_year", "review_month"]),
+        ("listings", cfg.listings_topic, list(cfg.listing_columns), clean_listings, ["city"]),
+        ("reviews", cfg.reviews_topic, list(cfg.review_columns), clean_reviews, ["review_year", "review_month"]),
     )
 
     def clean_one(name, topic, cols, cleaner, parts) -> dict[str, int]:

@@ -133,3 +133,20 @@ def test_continuous_landing_picks_up_new_messages(spark, tmp_root):
     finally:
         q.stop()
     assert read_bronze(spark, f"{bronze}/{S.LISTINGS_TOPIC}", S.BRONZE_LISTING_COLUMNS).count() == 2 * n
+
+
+def test_pipeline_carries_extra_csv_columns(spark, tmp_root):
+    from lakeforge.plans import pipeline as P
+    recs = FX.bronze_listings(spark, SF_SMALL).withColumn("description", F.lit("line one\nline two"))
+    reviews = FX.bronze_reviews(spark, SF_SMALL)
+    write_csv_records(recs, f"{tmp_root}/in/listings")
+    write_csv_records(reviews, f"{tmp_root}/in/reviews")
+    cfg = P.PipelineConfig(root=f"{tmp_root}/run", listings_csv=f"{tmp_root}/in/listings",
+                           reviews_csv=f"{tmp_root}/in/reviews",
+                           listing_columns=tuple(S.BRONZE_LISTING_COLUMNS) + ("description",))
+    P.ingest(spark, cfg)
+    P.land(spark, cfg)
+    P.bronze_to_silver(spark, cfg)
+    silver = P.silver_table(spark, cfg, "listings")
+    assert "description" in silver.columns
+    assert {r[0] for r in silver.select("description").distinct().collect()} == {"line one\nline two"}
