@@ -62,17 +62,18 @@ STG_REVIEW_COLUMNS = [
     "review_id", "listing_id", "reviewer_id", "review_date", "review_year", "review_month",
 ]
 
-# Accepted values of the reference's quality tests.
+# Accepted cities and room types of the quality tests.
 ACCEPTED_CITIES = [
     "Paris", "New York", "Sydney", "Rio De Janeiro", "Istanbul", "Rome",
     "Bangkok", "Cape Town", "Mexico City", "Hong Kong",
 ]
 ACCEPTED_ROOM_TYPES = ["Entire place", "Private room", "Hotel room", "Shared room"]
 
-# Topic names and keys of the ingest path.
+# Topic names (ours) and the message key field of each topic.
 LISTINGS_TOPIC = "listings.raw"
 REVIEWS_TOPIC = "reviews.raw"
 TOPIC_KEYS = {LISTINGS_TOPIC: "listing_id", REVIEWS_TOPIC: "review_id"}
+# Fixed value: records per bronze file.
 BRONZE_FILE_RECORDS = 5000
 
 
