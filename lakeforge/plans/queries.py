@@ -443,15 +443,18 @@ def q_silver_sample(spark, sf_dir):
     return _layers(spark, sf_dir).silver_listings.select(*_SAMPLE_COLS).orderBy("listing_id").limit(5)
 
 
-@register("catalog_listing")
+@register("catalog_listing", "SELECT 'listings' AS tableName, false AS isTemporary "
+                             "UNION ALL SELECT 'reviews', false")
 def q_catalog_listing(spark, sf_dir):
+    """Silver tables written into a fresh namespace, then ``SHOW TABLES``
+    (the per-run namespace name is dropped from the output)."""
     lay = _layers(spark, sf_dir)
     root = new_run_root(spark, "queries")
     ns = "lf_" + root.rsplit("/", 1)[-1] + "_silver"
     TB.create_namespace(spark, ns, location=f"{root}/{ns}.db")
     TB.write_table(lay.silver_listings, name=f"{ns}.listings", partition_by=["city"])
     TB.write_table(lay.silver_reviews, name=f"{ns}.reviews", partition_by=["review_year", "review_month"])
-    return TB.list_catalog(spark, ns)
+    return TB.list_catalog(spark, ns).select("tableName", "isTemporary")
 
 
 _T1, _T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
