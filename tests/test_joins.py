@@ -28,3 +28,13 @@ def test_salted_path_matches_in_marts(spark):
     salted = marts.monthly_reviews(lay.stg_listings, lay.stg_reviews, lay.min_year, hot_key_rows=3)
     assert hot_keys(lay.stg_reviews, ["listing_id"], 3).count() > 0
     assert rows(plain) == rows(salted)
+
+
+def test_run_concurrently_returns_in_order_and_raises(spark):
+    import pytest
+    from lakeforge.plans.pipeline import run_concurrently
+    a, b = run_concurrently(lambda: spark.range(10).count(), lambda: spark.range(20).count())
+    assert (a, b) == (10, 20)
+    with pytest.raises(Exception):
+        run_concurrently(lambda: spark.range(5).count(),
+                         lambda: spark.sql("SELECT * FROM no_such_table_anywhere").count())
