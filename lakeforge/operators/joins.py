@@ -34,16 +34,19 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], hot_key_rows: int = HOT_KEY_R
 
 
 def skew_safe_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-                   hot_key_rows: int = HOT_KEY_ROWS, seed: int = 17) -> DataFrame:
+                   hot_key_rows: int = HOT_KEY_ROWS, seed: int = 17, hot: DataFrame | None = None) -> DataFrame:
     """``fact.join(dim, on, how)`` with hot keys of ``fact`` split across tasks.
 
     ``how`` must keep the fact side on the left (inner, left outer, left
-    semi, left anti). NULL keys never match and are never hot.
+    semi, left anti). NULL keys never match and are never hot. ``hot`` may
+    pass precomputed ``(keys..., __buckets)`` rows (e.g. from per-key counts
+    a pipeline already has) to skip the counting pass; any set of keys gives
+    the exact result, the buckets only decide how the work is spread.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how.lower() not in _FACT_SIDE_JOINS:
         raise ValueError(f"skew_safe_join supports joins that keep the fact side, not {how!r}")
-    hot = F.broadcast(hot_keys(fact, keys, hot_key_rows))
+    hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys, hot_key_rows))
     f = (fact.join(hot, keys, "left")
          .withColumn(_SALT, F.when(F.col(_BUCKETS).isNull(), F.lit(0))
                      .otherwise(F.floor(F.rand(seed) * F.col(_BUCKETS)).cast("int")))

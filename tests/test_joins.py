@@ -38,3 +38,11 @@ def test_run_concurrently_returns_in_order_and_raises(spark):
     with pytest.raises(Exception):
         run_concurrently(lambda: spark.range(5).count(),
                          lambda: spark.sql("SELECT * FROM no_such_table_anywhere").count())
+
+
+def test_precomputed_hot_keys_any_set_is_exact(spark):
+    fact = spark.range(300).select((F.col("id") % 4).cast("int").alias("k"), F.col("id").alias("v"))
+    dim = spark.createDataFrame([(i, f"d{i}") for i in range(3)], "k int, d string")
+    given = spark.createDataFrame([(0, 5), (2, 3), (7, 2)], "k int, __buckets int")
+    for how in ("inner", "left", "left_anti"):
+        assert rows(skew_safe_join(fact, dim, "k", how, hot=given)) == rows(fact.join(dim, "k", how)), how
