@@ -24,7 +24,7 @@ def committed(uri: str):
     folder, _, name = path.rpartition("/")
     store.create_dir(folder, recursive=True)
     temporary = f"{folder}/_tmp-{uuid.uuid4().hex}-{name}"
-    stream = store.open_output_stream(temporary)
+    stream = store.open_output_stream(temporary, compression=None)
     try:
         yield stream
     except BaseException:

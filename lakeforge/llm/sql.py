@@ -79,7 +79,7 @@ twice AS (SELECT doc_id, s FROM g GROUP BY doc_id, s HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n FROM (SELECT doc_id, i FROM g JOIN twice USING (doc_id, s)), LATERAL (SELECT unnest(range(3)) AS k) GROUP BY doc_id),
 m AS (SELECT d.doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
   (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
-  (len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) - len(list_distinct(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')))))::BIGINT AS n_dup_lines,
+  (len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))))::BIGINT AS n_dup_lines,
   coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM d LEFT JOIN rep USING (doc_id)),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM f GROUP BY source),
