@@ -47,22 +47,20 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).select("id", "text", F.char_length("text").alias("size"), F.expr(f"left(text, {first})").alias("start"))
     stems = name_sorted(rows.select("size", "start"), ["size", "start"], repeated=True).withColumnRenamed("name", "stem")
     near = rows.join(stems, ["size", "start"]).select("id", F.sha2("text", 256).alias("sha"), "stem", F.expr(f"if(text = '', array(''), regexp_extract_all(text, '(?s).{{1,{block}}}', 0))").alias("blocks"))
-    blocks = store.save(near.select("id", "sha", "stem", F.posexplode("blocks").alias("i", "block")), "blocks")
-    level = store.save(blocks.join(name_sorted(blocks, ["block"]), "block").select("id", "sha", "stem", "i", "name").distinct(), "level")
+    blocks = store.save(near.select("id", "sha", "stem", (F.size("blocks") - 1).alias("last"), F.posexplode("blocks").alias("i", "block")), "blocks")
+    level = store.save(blocks.join(name_sorted(blocks, ["block"]), "block").select("id", "sha", "stem", "last", "i", "name").distinct(), "level")
     done = None
     while True:
-        sizes = level.groupBy("stem").agg(F.max("i").alias("last"))
-        level = level.join(sizes, "stem")
         ended = level.where("last = 0").select("id", "sha", "stem", "name")
         done = ended if done is None else done.unionByName(ended)
         level = level.where("last > 0")
-        pairs = level.groupBy("id", "sha", "stem", (F.col("i") / 2).cast("int").alias("i")).agg(
+        pairs = level.groupBy("id", "sha", "stem", F.shiftright("last", 1).alias("last"), F.shiftright("i", 1).alias("i")).agg(
             F.max(F.when(F.col("i") % 2 == 0, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(F.col("i") % 2 == 1, F.col("name"))), F.lit(-1).cast("bigint")).alias("b")
         )
         pairs = store.save(pairs, "pairs")
         if pairs.isEmpty():
             return done
-        level = store.save(pairs.join(name_sorted(pairs, ["a", "b"]), ["a", "b"]).select("id", "sha", "stem", "i", "name"), "level")
+        level = store.save(pairs.join(name_sorted(pairs, ["a", "b"]), ["a", "b"]).select("id", "sha", "stem", "last", "i", "name"), "level")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
