@@ -159,8 +159,8 @@ def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, families:
     at most ``RARE`` documents are joined, which gives each pair that shares some
     and how many; a pair shares no more shingles in all than that, and the lesser
     number of frequent shingles of the two. Pairs that share no rare shingle are
-    taken from the tables, where the frequent ones alone can suffice. Of a
-    table's key, the largest component isn't paired with itself."""
+    taken from a family, where the frequent ones alone can suffice; its largest
+    component isn't paired with itself."""
     members = open_.select(F.col("x").alias("of"), "component").distinct()
     ids = members.join(families.select("node", F.col("component").alias("family")), F.col("of") == F.col("node")).select("of", "family")
 
@@ -175,25 +175,26 @@ def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, families:
     rows = texts.join(ids, F.col("id") == F.col("of")).select("id", "text", "family").mapInArrow(run, "id bigint, h bigint, family bigint")
     counts = store.save(rows.groupBy("h", "family").agg(F.count("*").alias("times")).where("times > 1"), "shared")
     shared = store.save(rows.join(counts, ["h", "family"]), "shared")
-    frequent = shared.where(f"times > {RARE}").groupBy("id").agg(F.count("*").alias("frequent"))
-    facts = members.join(nodes.select("id", "n"), F.col("of") == F.col("id")).drop("of").join(frequent, "id", "left")
-    facts = store.save(facts.select(F.col("id").alias("x"), "component", "n", F.coalesce("frequent", F.lit(0)).alias("frequent")), "facts")
-    second = facts.toDF("y", "component_y", "n_y", "frequent_y")
+    of_each = shared.groupBy("id").agg(F.count("*").alias("shared"), F.count_if(F.col("times") > RARE).alias("frequent"))
+    facts = members.join(families.select("node", F.col("component").alias("family")), F.col("of") == F.col("node")).join(nodes.select("id", "n"), F.col("of") == F.col("id")).drop("of", "node").join(of_each, "id")
+    # a document that shares too few of its own shingles links with nothing
+    facts = store.save(facts.where(f"100 * shared >= {percent} * n").select(F.col("id").alias("x"), "component", "family", "n", "shared", "frequent"), "facts")
+    second = facts.select(F.col("x").alias("y"), F.col("component").alias("component_y"), "family", F.col("n").alias("n_y"), F.col("shared").alias("shared_y"), F.col("frequent").alias("frequent_y"))
 
     def reach(both: str) -> str:
         return f"100 * ({both}) >= {percent} * (n + n_y - ({both}))"
 
-    rare = shared.where(f"times <= {RARE}").select("h", "family", F.col("id").alias("x"))
-    one = rare.join(facts.select("x", "component"), "x")
-    two = one.select("h", "family", F.col("x").alias("y"), F.col("component").alias("component_y"))
-    by_rare = one.join(two, ["h", "family"]).where("component > component_y").groupBy("x", "y").agg(F.count("*").alias("common"))
-    by_rare = by_rare.join(facts, "x").join(second, "y").where(reach("least(frequent, frequent_y) + common")).select("x", "y")
-    main = open_.groupBy("key", "component").agg(F.count("*").alias("size")).groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
-    able = open_.select("key", "x").join(facts.where(f"100 * frequent >= {percent} * n"), "x").join(main, "key")
-    rest = able.where("component <> main")
-    by_key = rest.join(able.select("key", "x", "component", "n", "frequent").toDF("key", "y", "component_y", "n_y", "frequent_y"), "key")
-    by_key = by_key.where(f"(component_y = main or component > component_y) and {reach('least(frequent, frequent_y)')}").select("x", "y")
-    return by_rare.unionByName(by_key)
+    rare = shared.where(f"times <= {RARE}").select("h", "family", "id")
+    one, two = rare.join(facts.drop("family"), F.col("id") == F.col("x")).drop("id"), rare.join(second.drop("family"), F.col("id") == F.col("y")).drop("id")
+    sized = ["x", "y", "n", "n_y", "frequent", "frequent_y"]
+    by_rare = one.join(two, ["h", "family"]).where(f"component > component_y and {reach('least(shared, shared_y)')}").groupBy(*sized).agg(F.count("*").alias("common"))
+    by_rare = by_rare.where(reach("least(frequent, frequent_y) + common")).select("x", "y")
+    able = facts.where(f"100 * frequent >= {percent} * n")
+    main = able.groupBy("family", "component").agg(F.count("*").alias("size")).groupBy("family").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
+    rest = able.join(main, "family").where("component <> main")
+    by_family = rest.join(second.where(f"100 * frequent_y >= {percent} * n_y"), "family")
+    by_family = by_family.where(f"(component_y = main or component > component_y) and {reach('least(frequent, frequent_y)')}").select("x", "y")
+    return by_rare.unionByName(by_family)
 
 
 def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,7 +208,8 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "d
     members = store.save(keys.join(groups, "key").select("key", F.col("id").alias("x"), "y"), "members")
     pairs = store.save(members.where("x <> y").groupBy("x", "y").agg(F.count("*").alias("tables")).select("x", "y"), "candidates")
     ids = pairs.select("x").union(pairs.select("y")).distinct()
-    texts = store.save(docs.join(ids, F.col("id") == F.col("x")).select("id", "text").dropDuplicates(["id"]), "texts")
+    # the ids' number grows with the input: a shuffled join, never a broadcast
+    texts = store.save(docs.hint("merge").join(ids, F.col("id") == F.col("x")).select("id", "text").dropDuplicates(["id"]), "texts")
     edges = store.save(confirm(pairs, texts, k, percent), "links")
     tested, labels = pairs, components(edges)
     families = components(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")))
