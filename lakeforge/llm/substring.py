@@ -43,7 +43,7 @@ def _stretches(table: pa.Table, length: int, families: int) -> tuple[list[int],
     """Ids and texts of a group's rows in id order, their word counts, and of
     each stretch its row, its first word, and its word hashes by family."""
     table = table.select(["id", "text"]).sort_by([("id", "ascending"), ("text", "ascending")])
-    ids = [_NULL if i is None else i for i in table.column("id").to_pylist()]
+    ids = table.column("id").to_pylist()
     texts = table.column("text").to_pylist()
     counts, hashes = words.word_hashes(texts, families=families)
     per_row = np.maximum(counts - length + 1, 0)
@@ -93,7 +93,7 @@ def find_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text
     size = store.text_bytes(docs.select(F.col(text_col).alias("text")))
     groups = max(1, -(-size // GROUP_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets = max(1, -(-size // BUCKET_BYTES))
-    dealt = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(groups)).cast("int").alias("g"))
+    dealt = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(groups)).cast("int").alias("g"))
 
     def seeds(table: pa.Table) -> pa.Table:
         """A group's distinct anchors, and whether two of its rows have one."""
