@@ -13,13 +13,15 @@ from lakeforge.functions._col import as_col
 
 
 def to_double(c: Column | str) -> Column:
-    """Text -> DOUBLE; unparseable -> NULL.
+    """Text -> DOUBLE; unparseable, NaN and infinite -> NULL, so that no later
+    average or cast to an integer fails on them.
 
     A plain ``try_cast``: guarding it against the cast's exception path
     (blank / ``'N/A'`` text) was measured slower on the full cleaner, because
     the larger expressions push the projection out of whole-stage codegen.
     """
-    return as_col(c).try_cast("double")
+    x = as_col(c).try_cast("double")
+    return F.when(F.abs(x) <= F.lit(1.7976931348623157e308), x)
 
 
 def to_int(c: Column | str) -> Column:
@@ -33,8 +35,9 @@ def to_int(c: Column | str) -> Column:
 
 
 def to_long(c: Column | str) -> Column:
-    """Like :func:`to_int`, for BIGINT keys."""
-    return to_double(c).try_cast("bigint")
+    """Like :func:`to_int`, for BIGINT keys; through DECIMAL, so that every
+    digit of a 64-bit key is kept."""
+    return F.trim(as_col(c)).try_cast("decimal(38,6)").try_cast("bigint")
 
 
 def to_date_lenient(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:

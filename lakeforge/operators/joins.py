@@ -3,14 +3,15 @@
 ``skew_safe_join`` counts rows per key of the large (fact) side with a
 partial aggregate, and gives every key with more than ``hot_key_rows`` rows
 ``ceil(rows / hot_key_rows)`` salt buckets. Fact rows of a hot key are spread
-over its buckets at random; the matching dimension rows are replicated once
+over its buckets by a hash of the row, so a recomputed task puts each row where
+it was; the matching dimension rows are replicated once
 per bucket. Every fact row still meets every dimension row of its key, so
 inner, left-outer, left-semi and left-anti results are exact, while no join
 task receives more than about ``hot_key_rows`` rows of one key.
 
-The hot-key table is broadcast: each of its keys has at least
-``hot_key_rows`` fact rows, so it has at most ``fact_rows / hot_key_rows``
-rows (a few hundred thousand at 1e12 rows with the default).
+Each hot key has at least ``hot_key_rows`` fact rows, so the hot-key table has
+at most ``fact_rows / hot_key_rows`` rows. It grows with the fact side; whether
+it is broadcast is left to the optimizer's size check.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], hot_key_rows: int = HOT_KEY_R
 
 
 def skew_safe_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-                   hot_key_rows: int = HOT_KEY_ROWS, seed: int = 17, hot: DataFrame | None = None) -> DataFrame:
+                   hot_key_rows: int = HOT_KEY_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """``fact.join(dim, on, how)`` with hot keys of ``fact`` split across tasks.
 
     ``how`` must keep the fact side on the left (inner, left outer, left
@@ -46,10 +47,10 @@ def skew_safe_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how
     keys = [on] if isinstance(on, str) else list(on)
     if how.lower() not in _FACT_SIDE_JOINS:
         raise ValueError(f"skew_safe_join supports joins that keep the fact side, not {how!r}")
-    hot = F.broadcast(hot if hot is not None else hot_keys(fact, keys, hot_key_rows))
+    hot = hot if hot is not None else hot_keys(fact, keys, hot_key_rows)
     f = (fact.join(hot, keys, "left")
          .withColumn(_SALT, F.when(F.col(_BUCKETS).isNull(), F.lit(0))
-                     .otherwise(F.floor(F.rand(seed) * F.col(_BUCKETS)).cast("int")))
+                     .otherwise(F.pmod(F.xxhash64(*fact.columns), F.col(_BUCKETS)).cast("int")))
          .drop(_BUCKETS))
     d = (dim.join(hot, keys, "left")
          .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1)))

@@ -20,7 +20,7 @@ def to_int(x: str) -> str:
 
 
 def to_double(x: str) -> str:
-    return f"TRY_CAST({x} AS DOUBLE)"
+    return f"(CASE WHEN isfinite(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END)"
 
 
 def flag(x: str) -> str:

@@ -9,6 +9,7 @@ adds nothing for files it has already seen.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,7 +87,7 @@ def start_landing(spark: SparkSession, topic: str, bronze_root: str, checkpoint_
             .option("path", f"{bronze_root}/{topic}")
             .option("checkpointLocation", f"{checkpoint_root}/{topic}")
             .option("maxRecordsPerFile", records_per_file)
-            .queryName(f"land_{topic.replace('.', '_')}")
+            .queryName(f"land_{topic.replace('.', '_')}_{uuid.uuid4().hex[:8]}")
             .trigger(**({"processingTime": trigger_interval} if trigger_interval else {"availableNow": True}))
             .start())
 
