@@ -152,17 +152,19 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, families: DataFrame, k: int, percent: int) -> DataFrame:
+def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (x, y) in different components that could reach the threshold.
 
-    Shingles are counted within families (what candidate pairs connect). Those in
-    at most ``RARE`` documents are joined, which gives each pair that shares some
-    and how many; a pair shares no more shingles in all than that, and the lesser
-    number of frequent shingles of the two. Pairs that share no rare shingle are
-    taken from a family, where the frequent ones alone can suffice; its largest
-    component isn't paired with itself."""
-    members = open_.select(F.col("x").alias("of"), "component").distinct()
-    ids = members.join(families.select("node", F.col("component").alias("family")), F.col("of") == F.col("node")).select("of", "family")
+    Shingles are counted within families: components that keys of mixed members
+    connect, so that all members of a key are of one family. Those in at most
+    ``RARE`` documents are joined, which gives each pair that shares some and how
+    many; a pair shares no more shingles in all than that, and the lesser number of
+    frequent shingles of the two. Pairs that share no rare shingle are taken from a
+    family, where the frequent ones alone can suffice; its largest component isn't
+    paired with itself."""
+    families = components(open_.select(F.col("component").alias("a"), F.col("low").alias("b"))).select("node", F.col("component").alias("family"))
+    members = store.save(open_.select(F.col("x").alias("of"), "component").distinct().join(families, F.col("component") == F.col("node")).drop("node"), "members")
+    ids = members.select("of", "family")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +178,7 @@ def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, families:
     counts = store.save(rows.groupBy("h", "family").agg(F.count("*").alias("times")).where("times > 1"), "shared")
     shared = store.save(rows.join(counts, ["h", "family"]), "shared")
     of_each = shared.groupBy("id").agg(F.count("*").alias("shared"), F.count_if(F.col("times") > RARE).alias("frequent"))
-    facts = members.join(families.select("node", F.col("component").alias("family")), F.col("of") == F.col("node")).join(nodes.select("id", "n"), F.col("of") == F.col("id")).drop("of", "node").join(of_each, "id")
+    facts = members.join(nodes.select("id", "n"), F.col("of") == F.col("id")).drop("of").join(of_each, "id")
     # a document that shares too few of its own shingles links with nothing
     facts = store.save(facts.where(f"100 * shared >= {percent} * n").select(F.col("id").alias("x"), "component", "family", "n", "shared", "frequent"), "facts")
     second = facts.select(F.col("x").alias("y"), F.col("component").alias("component_y"), "family", F.col("n").alias("n_y"), F.col("shared").alias("shared_y"), F.col("frequent").alias("frequent_y"))
@@ -211,23 +213,28 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "d
     # the ids' number grows with the input: a shuffled join, never a broadcast
     texts = store.save(docs.hint("merge").join(ids, F.col("id") == F.col("x")).select("id", "text").dropDuplicates(["id"]), "texts")
     edges = store.save(confirm(pairs, texts, k, percent), "links")
-    tested, labels = pairs, components(edges)
-    families = components(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    tested, labels, grew = pairs, components(edges), True
     for heads_only in (True, True, False):
+        if heads_only and not grew:
+            continue  # the same heads as before
         placed = members.join(labels, F.col("x") == F.col("node"), "left").select("key", "x", F.coalesce("component", "x").alias("component"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key", "low")
         open_ = store.save(placed.join(mixed, "key"), "open")
+        if open_.isEmpty():
+            break
         if heads_only:
             heads = open_.groupBy("key", "component", "low").agg(F.min("x").alias("x"))
             more = heads.where("component > low").join(heads.where("component = low").select("key", F.col("x").alias("y")), "key")
         else:
-            more = _could_link(open_, nodes, texts, families, k, percent)
+            more = _could_link(open_, nodes, texts, k, percent)
         more = more.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
         more = store.save(more.join(tested, ["x", "y"], "left_anti"), "candidates")
+        grew = False
         if not more.isEmpty():
             tested = tested.unionByName(more)
             found = store.save(confirm(more, texts, k, percent), "links")
             if not found.isEmpty():
+                grew = True
                 edges = edges.unionByName(found)
                 labels = components(edges)
     copies = signed.where("n > 0").join(nodes.select(*equal, F.col("id").alias("rep")), equal).select("id", "rep")
