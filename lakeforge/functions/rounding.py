@@ -21,7 +21,8 @@ def round_half_up(c: Column | str, digits: int) -> Column:
     same in every engine that evaluates this expression."""
     x = as_col(c).cast("double")
     p = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)) / F.lit(p)
+    # adding 0.0 turns a negative zero into zero
+    return F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)) / F.lit(p) + F.lit(0.0)
 
 
 def exact_scaled(c: Column | str, scale: int) -> Column:

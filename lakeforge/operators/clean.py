@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge import schemas as S
-from lakeforge.functions import flag, list_length, pct_from_text, title_case, to_date_lenient, to_double, to_int
+from lakeforge.functions import flag, list_length, pct_from_text, title_case, to_date_lenient, to_double, to_int, to_long
 from lakeforge.operators.dedup import SortKey, asc, dedup_by_key, desc
 
 # Price validity bounds (exclusive) of the listing cleaner.
@@ -39,7 +39,9 @@ def listing_projection(df: DataFrame, run_ts=None) -> list[Column]:
     for c in df.columns:
         if c in S.LISTING_PCT_COLUMNS:
             continue  # replaced by the parsed *_pct column
-        if c in S.LISTING_INT_COLUMNS:
+        if c in S.LISTING_LONG_COLUMNS:
+            out.append(to_long(c).alias(c))
+        elif c in S.LISTING_INT_COLUMNS:
             out.append(to_int(c).alias(c))
         elif c in S.LISTING_DOUBLE_COLUMNS:
             out.append(to_double(c).alias(c))
@@ -65,7 +67,8 @@ def clean_listings(df: DataFrame, run_ts=None, price_bounds: tuple[float, float]
     """Bronze listings -> silver listings.
 
     Keeps rows with a key, a city and ``lower < price < upper`` (a NULL or
-    unparseable price is rejected), then one row per key.
+    unparseable price is rejected), then one row per key: the first under
+    ``order``, then the one with the fewest NULLs, then by all columns.
     """
     lo, hi = price_bounds
     typed = df.select(*listing_projection(df, run_ts))
@@ -75,7 +78,8 @@ def clean_listings(df: DataFrame, run_ts=None, price_bounds: tuple[float, float]
         & (F.col("price") > F.lit(lo))
         & (F.col("price") < F.lit(hi))
     )
-    return dedup_by_key(valid, [key], order)
+    missing = sum((F.col(c).isNull().cast("int") for c in typed.columns if c != key), F.lit(0))
+    return dedup_by_key(valid.withColumn("__missing", missing), [key], [*order, asc("__missing")]).drop("__missing")
 
 
 def review_projection(df: DataFrame, run_ts=None, date_column: str = "date",
@@ -84,7 +88,7 @@ def review_projection(df: DataFrame, run_ts=None, date_column: str = "date",
     for c in df.columns:
         if c == date_column:
             continue
-        out.append(to_int(c).alias(c) if c in S.REVIEW_INT_COLUMNS else F.col(c))
+        out.append(to_long(c).alias(c) if c in S.REVIEW_LONG_COLUMNS else F.col(c))
     review_date = to_date_lenient(date_column, date_format)
     out.append(review_date.alias("review_date"))
     out.append(F.year(review_date).alias("review_year"))

@@ -38,21 +38,9 @@ FIXTURE_CITIES = [f"Nation_{i}" for i in range(25)]
 FIXTURE_TOP_ROOM_TYPE = "STANDARD"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Scan one test table. With ``spread``, a scan with fewer splits than
-    the session has cores (a small file of one row group) is spread
-    round-robin, so the work before the first shuffle is not one task; a
-    large table has more splits than cores and is left as scanned."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # no RDD API (e.g. a Spark Connect session): keep the scan
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -73,7 +61,7 @@ def bronze_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     different valid price on other multiples of 3 (a tie broken by the
     deterministic dedup order) and is an exact copy otherwise.
     """
-    part = read_table(spark, sf_dir, "part", spread=True)
+    part = read_table(spark, sf_dir, "part")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = part.join(nation, (F.col("p_partkey") % 25) == F.col("n_nationkey"))
     k, size = F.col("p_partkey"), F.col("p_size")
@@ -118,15 +106,15 @@ def bronze_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw review records (all STRING), one per line item. Review ids repeat
-    where the source repeats (order, line) pairs; parts with key % 29 == 0
+    where the source repeats (order, line) pairs, and need 64 bits; parts with key % 29 == 0
     get blank dates, so their listings end up without staged reviews."""
-    li = read_table(spark, sf_dir, "lineitem", spread=True).select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         _s(F.col("l_partkey")).alias("listing_id"),
-        _s(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("review_id"),
+        _s(F.col("l_orderkey").cast("bigint") * 8 + F.col("l_linenumber") + F.lit(3_000_000_000)).alias("review_id"),
         F.when(F.col("l_partkey") % 29 == 0, F.lit(""))
          .otherwise(F.date_format(F.col("l_shipdate"), "yyyy-MM-dd")).alias("date"),
         _s(F.col("o_custkey")).alias("reviewer_id"),

@@ -8,17 +8,62 @@ from those tables. Expression helpers below spell out the shared semantics
 
 from __future__ import annotations
 
-from lakeforge import schemas as S
-from lakeforge.plans import fixtures as FX
-
 RUN_TS = "2024-01-01 00:00:00"
 
+# The columns and types that the statements hold the code to,
+# spelled out here on purpose and not taken from the code under test.
+LISTING_COLUMNS = [
+    "listing_id", "name", "host_id", "host_since", "host_is_superhost", "host_response_rate",
+    "host_acceptance_rate", "host_total_listings_count", "host_has_profile_pic", "host_identity_verified",
+    "neighbourhood", "city", "latitude", "longitude", "property_type", "room_type", "accommodates", "bedrooms",
+    "amenities", "price", "minimum_nights", "maximum_nights", "review_scores_rating", "review_scores_accuracy",
+    "review_scores_cleanliness", "review_scores_checkin", "review_scores_communication",
+    "review_scores_location", "review_scores_value", "instant_bookable",
+]
+LONG_COLUMNS = ["listing_id", "host_id"]
+INT_COLUMNS = ["host_total_listings_count", "accommodates", "bedrooms", "minimum_nights", "maximum_nights"]
+DOUBLE_COLUMNS = [
+    "price", "latitude", "longitude", "review_scores_rating", "review_scores_accuracy",
+    "review_scores_cleanliness", "review_scores_checkin", "review_scores_communication",
+    "review_scores_location", "review_scores_value",
+]
+FLAG_COLUMNS = [
+    "host_is_superhost", "host_has_profile_pic", "host_identity_verified", "instant_bookable",
+]
+STAGED_LISTING_COLUMNS = [
+    "listing_id", "name", "host_id", "host_since", "host_is_superhost", "host_response_rate_pct",
+    "host_acceptance_rate_pct", "host_total_listings_count", "host_identity_verified", "neighbourhood", "city",
+    "latitude", "longitude", "property_type", "room_type", "accommodates", "bedrooms", "amenities",
+    "amenity_count", "price", "minimum_nights", "maximum_nights", "review_scores_rating",
+    "review_scores_accuracy", "review_scores_cleanliness", "review_scores_checkin",
+    "review_scores_communication", "review_scores_location", "review_scores_value", "instant_bookable",
+]
+AMENITIES = [
+    "[]",
+    '["Wifi"]',
+    '["Wifi", "TV"]',
+    '["Wifi", "TV, cable"]',
+    "",
+    '["Wifi", "TV", "Kitchen", "Heating", "Washer", "Dryer", "Iron", '
+    '"Hangers", "Essentials", "Shampoo", "Hair dryer"]',
+]
+SCORES = {
+    "review_scores_rating": 13, "review_scores_accuracy": 7, "review_scores_cleanliness": 3,
+    "review_scores_checkin": 17, "review_scores_communication": 19,
+    "review_scores_location": 11, "review_scores_value": 9,
+}
+YEAR_FLOOR = 1997
+
 
 # ── expression helpers (DuckDB dialect) ─────────────────────────────────────
 def to_int(x: str) -> str:
     return f"TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER)"
 
 
+def to_long(x: str) -> str:
+    return f"TRY_CAST(trunc(TRY_CAST(trim({x}) AS DECIMAL(38, 6))) AS BIGINT)"
+
+
 def to_double(x: str) -> str:
     return f"(CASE WHEN isfinite(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END)"
 
@@ -43,7 +88,7 @@ def title(x: str) -> str:
 
 def rhu(x: str, digits: int) -> str:
     p = 10 ** digits
-    return f"(sign({x}) * floor(abs({x}) * {p}.0 + 0.5) / CAST({p} AS DOUBLE))"
+    return f"(sign({x}) * floor(abs({x}) * {p}.0 + 0.5) / CAST({p} AS DOUBLE) + CAST(0 AS DOUBLE))"
 
 
 def exact_sum(x: str, scale: int) -> str:
@@ -67,7 +112,7 @@ def with_(ctes: dict[str, str], final: str) -> str:
 
 # ── bronze fixtures ─────────────────────────────────────────────────────────
 _AMENITY_CASE = "CASE p_partkey % 6 " + " ".join(
-    f"WHEN {i} THEN '{t}'" for i, t in enumerate(FX.AMENITY_TEXTS)) + " END"
+    f"WHEN {i} THEN '{t}'" for i, t in enumerate(AMENITIES)) + " END"
 
 
 def _price(k="p_partkey", size="p_size"):
@@ -77,7 +122,7 @@ def _price(k="p_partkey", size="p_size"):
 
 def _listing_select(price_sql: str) -> str:
     scores = []
-    for name, m in FX.SCORE_MULTIPLIERS.items():
+    for name, m in SCORES.items():
         s = f"'4.' || CAST(p_partkey * {m} % 10 AS VARCHAR)"
         if name == "review_scores_rating":
             s = f"CASE WHEN p_partkey % 11 = 0 THEN '' ELSE {s} END"
@@ -120,7 +165,7 @@ BRONZE_LISTINGS = (
 
 BRONZE_REVIEWS = """SELECT
   CAST(l_partkey AS VARCHAR) AS listing_id,
-  CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS review_id,
+  CAST(CAST(l_orderkey AS BIGINT) * 8 + l_linenumber + 3000000000 AS VARCHAR) AS review_id,
   CASE WHEN l_partkey % 29 = 0 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date,
   CAST(o_custkey AS VARCHAR) AS reviewer_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
@@ -129,16 +174,18 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 # ── silver ──────────────────────────────────────────────────────────────────
 def _silver_listing_columns() -> list[tuple[str, str]]:
     out = []
-    for c in S.BRONZE_LISTING_COLUMNS:
-        if c in S.LISTING_PCT_COLUMNS:
+    for c in LISTING_COLUMNS:
+        if c in ("host_response_rate", "host_acceptance_rate"):
             continue
-        if c in S.LISTING_INT_COLUMNS:
+        if c in LONG_COLUMNS:
+            out.append((c, to_long(c)))
+        elif c in INT_COLUMNS:
             out.append((c, to_int(c)))
-        elif c in S.LISTING_DOUBLE_COLUMNS:
+        elif c in DOUBLE_COLUMNS:
             out.append((c, to_double(c)))
-        elif c in S.LISTING_FLAG_COLUMNS:
+        elif c in FLAG_COLUMNS:
             out.append((c, flag(c)))
-        elif c in S.LISTING_TITLE_CASE_COLUMNS:
+        elif c == "city":
             out.append((c, title(c)))
         else:
             out.append((c, c))
@@ -156,11 +203,12 @@ SILVER_LISTINGS = f"""SELECT * FROM (
 ) t
 WHERE listing_id IS NOT NULL AND city IS NOT NULL AND price > 0 AND price < 10000
 QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY
+  {" + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in SILVER_LISTING_COLUMNS if c != "listing_id")},
   {", ".join(f"{c} ASC NULLS FIRST" for c in SILVER_LISTING_COLUMNS if c != "listing_id")}) = 1"""
 
 SILVER_REVIEWS = f"""SELECT * FROM (
-  SELECT {to_int("listing_id")} AS listing_id, {to_int("review_id")} AS review_id,
-         {to_int("reviewer_id")} AS reviewer_id,
+  SELECT {to_long("listing_id")} AS listing_id, {to_long("review_id")} AS review_id,
+         {to_long("reviewer_id")} AS reviewer_id,
          CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS review_date,
          CAST(year(CAST(try_strptime(date, '%Y-%m-%d') AS DATE)) AS INTEGER) AS review_year,
          CAST(month(CAST(try_strptime(date, '%Y-%m-%d') AS DATE)) AS INTEGER) AS review_month
@@ -170,10 +218,10 @@ WHERE review_id IS NOT NULL AND listing_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY review_date DESC NULLS LAST,
   listing_id ASC NULLS FIRST, reviewer_id ASC NULLS FIRST) = 1"""
 
-STG_LISTINGS = f"""SELECT {", ".join(c for c in S.STG_LISTING_COLUMNS if c != "ingested_at")}
+STG_LISTINGS = f"""SELECT {", ".join(STAGED_LISTING_COLUMNS)}
 FROM silver_listings WHERE listing_id IS NOT NULL AND price > 0"""
 
-STG_REVIEWS = f"""SELECT {", ".join(S.STG_REVIEW_COLUMNS)} FROM silver_reviews
+STG_REVIEWS = f"""SELECT review_id, listing_id, reviewer_id, review_date, review_year, review_month FROM silver_reviews
 WHERE review_id IS NOT NULL AND listing_id IS NOT NULL AND review_date IS NOT NULL"""
 
 BASE_CTES = {
@@ -284,7 +332,7 @@ MART_REVIEW_TRENDS_FINAL = f"""SELECT *,
 FROM monthly_reviews"""
 
 
-def marts_ctes(min_year: int = FX.FIXTURE_YEAR_FLOOR) -> dict[str, str]:
+def marts_ctes(min_year: int = YEAR_FLOOR) -> dict[str, str]:
     return ctes("stg_listings", "stg_reviews", extra={
         "mart_city_pricing": MART_CITY_PRICING,
         "review_counts": REVIEW_COUNTS,
@@ -294,5 +342,5 @@ def marts_ctes(min_year: int = FX.FIXTURE_YEAR_FLOOR) -> dict[str, str]:
     })
 
 
-def over_marts(final: str, min_year: int = FX.FIXTURE_YEAR_FLOOR) -> str:
+def over_marts(final: str, min_year: int = YEAR_FLOOR) -> str:
     return with_(marts_ctes(min_year), final)

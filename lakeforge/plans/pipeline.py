@@ -16,6 +16,7 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeforge import schemas as S
 from lakeforge.operators.clean import clean_listings, clean_reviews
@@ -29,10 +30,10 @@ from lakeforge.sources.tables import create_namespace, read_table, write_table
 from lakeforge.sources.topics import PublishResult, publish_records
 from lakeforge.streaming.ingest import StreamRun, land_topics
 
-T = TypeVar("T")
+R = TypeVar("R")
 
 
-def run_concurrently(*jobs: Callable[[], T]) -> list[T]:
+def run_concurrently(*jobs: Callable[[], R]) -> list[R]:
     """Run independent Spark actions from separate threads so their jobs
     share the executors (Spark schedules concurrent jobs natively); results
     come back in order and the first failure is raised."""
@@ -79,15 +80,22 @@ class PipelineConfig:
 def _write_layer(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, layer: str, name: str,
                  partition_by=(), sort_by=()) -> DataFrame:
     """Write one layer table to its folder (and catalog name, if configured)
-    and return the scan of what was written."""
+    and return the scan of what was written, with the types it had."""
     ns = cfg.silver_namespace if layer in ("silver", "staging") else cfg.gold_namespace
     path = cfg.path(layer, name)
     if ns:
         create_namespace(spark, ns, location=cfg.path(f"{ns}.db"))
         write_table(df, name=f"{ns}.{name}", path=path, partition_by=partition_by, sort_by=sort_by)
-        return read_table(spark, name=f"{ns}.{name}")
+        return _blank_city(read_table(spark, name=f"{ns}.{name}"), partition_by)
     write_table(df, path=path, partition_by=partition_by, sort_by=sort_by)
-    return read_table(spark, path=path)
+    return _blank_city(read_table(spark, path=path, schema=df.schema), partition_by)
+
+
+def _blank_city(df: DataFrame, partition_by: Sequence[str] = ("city",)) -> DataFrame:
+    """Folder names can't tell an empty city from NULL. Cleaned listings and the
+    pricing mart have no NULL city, so one that is read back was empty. Filters on
+    the result still prune partitions."""
+    return df.withColumn("city", F.coalesce("city", F.lit(""))) if "city" in partition_by else df
 
 
 @dataclass
@@ -144,9 +152,16 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
 
 
 def silver_table(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
+    """A silver table as written: partition columns keep their type and blanks."""
     if cfg.silver_namespace:
-        return read_table(spark, name=f"{cfg.silver_namespace}.{name}")
-    return read_table(spark, path=cfg.path("silver", name))
+        df = read_table(spark, name=f"{cfg.silver_namespace}.{name}")
+    else:
+        path = cfg.path("silver", name)
+        found = read_table(spark, path=path).schema
+        # folder names such as city=007 would be read as numbers
+        typed = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "city" else f for f in found])
+        df = read_table(spark, path=path, schema=typed)
+    return _blank_city(df) if name == "listings" else df
 
 
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
@@ -160,7 +175,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFr
     built = {
         "mart_city_pricing": (marts.city_pricing(l, median=cfg.median, run_ts=cfg.run_ts), ["city"],
                               ["city", "room_type"]),
-        "mart_host_performance": (marts.host_performance(l, r, run_ts=cfg.run_ts), [], ["host_id"]),
+        "mart_host_performance": (marts.host_performance(l, r, run_ts=cfg.run_ts), [],
+                                  [F.col("total_reviews_received").desc(), "host_id"]),
         "mart_review_trends": (marts.review_trends(l, r, cfg.min_year, run_ts=cfg.run_ts), [],
                                ["city", "review_year", "review_month"]),
     }

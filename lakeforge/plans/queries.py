@@ -175,8 +175,8 @@ def q_dedup_listings(spark, sf_dir):
 
 
 @register("dedup_reviews", O.with_(O.ctes("bronze_reviews"), f"""SELECT * FROM (
-  SELECT {O.to_int("listing_id")} AS listing_id, {O.to_int("review_id")} AS review_id,
-         {O.to_int("reviewer_id")} AS reviewer_id, {_DATE} AS review_date,
+  SELECT {O.to_long("listing_id")} AS listing_id, {O.to_long("review_id")} AS review_id,
+         {O.to_long("reviewer_id")} AS reviewer_id, {_DATE} AS review_date,
          CAST(year({_DATE}) AS INTEGER) AS review_year, CAST(month({_DATE}) AS INTEGER) AS review_month
   FROM bronze_reviews) t
 QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY review_date DESC NULLS LAST,

@@ -1,7 +1,7 @@
 """Column specs for every layer.
 
-Bronze holds text only; silver types are declared here once, so switching an
-id to BIGINT is a one-line change.
+Bronze holds text only; silver types are declared here once. Ids are BIGINT,
+so that no id of a large table is lost.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ BRONZE_REVIEW_COLUMNS = ["listing_id", "review_id", "date", "reviewer_id"]
 # Partition columns the bronze folder layout adds on read (year=/month=/day=).
 INGEST_PARTITION_COLUMNS = ["year", "month", "day"]
 
+LISTING_LONG_COLUMNS = ["listing_id", "host_id"]
 LISTING_INT_COLUMNS = [
-    "listing_id", "host_id", "accommodates", "bedrooms", "minimum_nights",
-    "maximum_nights", "host_total_listings_count",
+    "accommodates", "bedrooms", "minimum_nights", "maximum_nights", "host_total_listings_count",
 ]
 LISTING_DOUBLE_COLUMNS = [
     "price", "latitude", "longitude",
@@ -46,7 +46,7 @@ LISTING_PCT_COLUMNS = {
 LISTING_LIST_COUNT_COLUMNS = {"amenities": "amenity_count"}
 LISTING_TITLE_CASE_COLUMNS = ["city"]
 
-REVIEW_INT_COLUMNS = ["review_id", "listing_id", "reviewer_id"]
+REVIEW_LONG_COLUMNS = ["review_id", "listing_id", "reviewer_id"]
 
 STG_LISTING_COLUMNS = [
     "listing_id", "name", "host_id", "host_since", "host_is_superhost",

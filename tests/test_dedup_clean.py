@@ -36,7 +36,7 @@ def test_clean_listings_columns(spark):
     r = out.first()
     assert "host_response_rate" not in out.columns and r["host_response_rate_pct"] == 97.0
     assert r["amenity_count"] == 2 and r["source_layer"] == "silver" and r["host_is_superhost"] is True
-    assert dict(out.dtypes)["listing_id"] == "int"
+    assert dict(out.dtypes)["listing_id"] == "bigint"
 
 
 def test_dedup_is_deterministic_under_partitioning(spark):
@@ -71,3 +71,21 @@ def test_latest_by_key_as_of(spark):
                                "k int, ts timestamp, price double")
     assert latest_by_key(df, ["k"], "ts", as_of="2024-01-15 00:00:00").first()["price"] == 10.0
     assert latest_by_key(df, ["k"], "ts").first()["price"] == 11.0
+
+
+def test_ids_over_32_bits_are_kept(spark):
+    ids = ["2147483646", "2147483647", "2147483648", "48000000001", "9007199254740993"]
+    df = spark.createDataFrame([(i, i, "2020-01-02", i) for i in ids], S.text_schema(S.BRONZE_REVIEW_COLUMNS))
+    out = clean_reviews(df).collect()
+    assert sorted(r["review_id"] for r in out) == [int(i) for i in ids]
+    assert all(r["listing_id"] == r["review_id"] == r["reviewer_id"] for r in out)
+    rows = [listing(listing_id=i, host_id=i) for i in ids]
+    out = clean_listings(frame(spark, rows, S.BRONZE_LISTING_COLUMNS)).collect()
+    assert sorted(r["listing_id"] for r in out) == sorted(r["host_id"] for r in out) == [int(i) for i in ids]
+
+
+def test_the_fuller_listing_survives(spark):
+    rows = [listing(name=None, price="10"), listing(name="Loft", price="20", review_scores_rating="4.9")]
+    for order in (rows, rows[::-1]):
+        kept = clean_listings(frame(spark, order, S.BRONZE_LISTING_COLUMNS)).first()
+        assert (kept["name"], kept["price"], kept["review_scores_rating"]) == ("Loft", 20.0, 4.9)

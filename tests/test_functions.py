@@ -123,3 +123,8 @@ def test_to_long_keeps_every_digit(spark, ansi):
     vals = ["9007199254740993", " 7 ", "3.7", "48000000001", "99999999999999999999", "x", "", None]
     df = spark.createDataFrame([(v,) for v in vals], "x string")
     assert [r[0] for r in df.select(LF.to_long("x")).collect()] == [9007199254740993, 7, 3, 48000000001, None, None, None, None]
+
+
+def test_small_negative_growth_is_plain_zero(spark):
+    out = spark.range(1).select(LF.growth_pct(F.lit(99999), F.lit(100000)).cast("string")).first()[0]
+    assert out == "0.0"

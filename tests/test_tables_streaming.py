@@ -150,3 +150,15 @@ def test_pipeline_carries_extra_csv_columns(spark, tmp_root):
     silver = P.silver_table(spark, cfg, "listings")
     assert "description" in silver.columns
     assert {r[0] for r in silver.select("description").distinct().collect()} == {"line one\nline two"}
+
+
+def test_cities_keep_type_and_blanks_through_folders(spark, tmp_root):
+    from lakeforge.plans import pipeline as P
+    cities = ["007", "2024", "", "Paris"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cities)], "listing_id bigint, city string")
+    cfg = P.PipelineConfig(root=f"{tmp_root}/cities")
+    written = P._write_layer(spark, cfg, df, "silver", "listings", partition_by=["city"])
+    for back in (written, P.silver_table(spark, cfg, "listings")):
+        assert dict(back.dtypes) == {"listing_id": "bigint", "city": "string"}
+        assert {(r["listing_id"], r["city"]) for r in back.collect()} == set(enumerate(cities))
+        assert back.filter("city = 'Paris'").count() == back.filter("city = ''").count() == 1
