@@ -212,10 +212,12 @@ def _table(chars: bytes) -> np.ndarray:
 
 
 class WordTokenizer:
-    """Encodes whole texts with a tokenizer file whose words are lower-cased and
-    never span white space, nor an ASCII letter and ASCII punctuation.
+    """Encodes whole texts with a tokenizer file whose words never span white
+    space, nor an ASCII letter and ASCII punctuation.
 
-    The library encodes each distinct word once; a word is looked up by two
+    The library encodes each distinct word once, as it is written: the file
+    composes characters before it lower-cases them, and some capitals with a
+    combining mark have no composed form. A word is looked up by two
     64-bit hashes of its bytes, in a table of at most ``limit`` words. Texts
     with ``<|``, where special tokens may stand, go to the library whole.
     """
@@ -257,7 +259,7 @@ class WordTokenizer:
 
     def _block(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts of the words of a block, their numbers of ids, and the ids."""
-        b, starts, ends = words.spans(raw, True, (self.LETTERS, self.MARKS))
+        b, starts, ends = words.spans(raw, False, (self.LETTERS, self.MARKS))
         h, check = words.hash_spans(b, starts, ends, 2)
         keys = (h >> np.uint64(1)).astype(np.int64)
         if self.n > self.limit:

@@ -234,6 +234,23 @@ def test_wavelet_round_trip(spark, docs, empty):
     assert wavelet.read_shards(spark, wavelet.write_shards(empty, store.new_dir(spark, "t"), path)).count() == 0
 
 
+def test_wavelet_decomposed_capitals(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(queries.WORD_MODEL)
+    library, own = Tokenizer.from_file(path), wavelet.WordTokenizer(path)
+    texts = ["J\u030c", "T\u0308", "H\u0331", "W\u030a", "j\u030c", "Plain aJ\u030cb, T\u0308-x =\u0338 PLAIN plain", "E\u0301COLE \u00c9cole"]
+    for text in texts:
+        assert own.encode_all([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = by_id(wavelet.read_shards(spark, wavelet.write_shards(docs, store.new_dir(spark, "t"), path, end_id=1)))
+    start = 0
+    for i, text in enumerate(texts):
+        n = len(library.encode(text, add_special_tokens=False).ids) + 1
+        assert (got[i]["start"], got[i]["n_tokens"]) == (start, n)
+        start += n
+
+
 def test_shards_follow_each_other(spark):
     docs = spark.range(1000).selectExpr("id as doc_id", "concat('word ', id) as text")
     manifest = wavelet.write_shards(docs, store.new_dir(spark, "t"), queries.tokenizer_path(queries.WORD_MODEL), shard_tokens=200)
