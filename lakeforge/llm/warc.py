@@ -12,6 +12,8 @@ and readers go by it alone, so leftovers of lost attempts are never read.
 
 Nulls: a null html counts as an empty payload, a null url as an empty URI; a
 null page id sorts first. Rows with the same page id, url and html count once.
+A page id with several payloads, null included, has a record for each; only those
+whose payload a larger page id has too are revisits.
 Payloads are never truncated. Other columns of the input don't matter.
 """
 
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import files, store
@@ -108,29 +110,34 @@ def read_records(stream, size: int = 1 << 20) -> Iterator[tuple[dict[str, str],
         yield headers, block
 
 
+def _sha(html: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(html, F.lit("")), 256))
+
+
 def referrals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, refers_to) of the pages that become revisits: those whose
-    payload, of at least ``min_bytes``, a page with a larger id has too.
-    Payloads are told apart by SHA-256 and length."""
-    keys = pages.select("page_id", F.sha2(F.coalesce("html", F.lit("")), 256).alias("__sha"), F.coalesce(F.octet_length("html"), F.lit(0)).alias("__n")).where(F.col("__n") >= min_bytes)
+    """(page_id, sha, refers_to) of the payloads that become revisits: those, of
+    at least ``min_bytes``, that a page with a larger id has too. Payloads are
+    told apart by SHA-256 (``sha``, binary) and length."""
+    keys = pages.select("page_id", _sha("html").alias("__sha"), F.coalesce(F.octet_length("html"), F.lit(0)).alias("__n")).where(F.col("__n") >= min_bytes)
     groups = keys.groupBy("__sha", "__n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("__rows")).where("__rows > 1").drop("__rows")
     groups = store.save(groups, "payloads")  # small beside the pages, and lets a hot payload's rows be split in the join
-    return keys.join(groups, ["__sha", "__n"]).where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "refers_to")
+    return keys.join(groups, ["__sha", "__n"]).where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", F.col("__sha").alias("sha"), "refers_to")
 
 
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: int = 64 << 20, level: int = 6) -> DataFrame:
     """Write all pages below ``folder``; returns the manifest (``MANIFEST``)."""
     pages = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    known = referrals(pages, min_bytes).select("page_id", F.lit("").alias("url"), F.lit("").alias("html"), "refers_to", F.lit(0).alias("kind"))
-    rows = known.unionByName(pages.withColumns({"refers_to": F.lit(None).cast("bigint"), "kind": F.lit(1)}))
-    ordered = rows.repartitionByRange("page_id").sortWithinPartitions("page_id", "kind", "url", "html")
+    known = referrals(pages, min_bytes).select("page_id", F.lit("").alias("url"), F.lit("").alias("html"), "refers_to", F.lit(0).alias("kind"), "sha")
+    rows = known.unionByName(pages.withColumns({"refers_to": F.lit(None).cast("bigint"), "kind": F.lit(1), "sha": _sha("html")}))
+    # a referral comes right before the rows of its page id and payload
+    ordered = rows.repartitionByRange("page_id").sortWithinPartitions("page_id", "sha", "kind", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         seq = 0
         members: list[bytes] = []
         size = 0
-        revisit: tuple[bool, int | None, int | None] = (False, None, None)
+        revisit: tuple[bool, int | None, bytes, int | None] = (False, None, b"", None)
         previous: tuple | None = None
 
         def close() -> pa.RecordBatch:
@@ -146,15 +153,15 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: in
 
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                for page_id, url, html, refers_to, kind in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                for page_id, url, html, refers_to, kind, sha in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
                     if kind == 0:
-                        revisit = (True, page_id, refers_to)
+                        revisit = (True, page_id, sha, refers_to)
                         continue
                     if previous == (page_id, url, html):
                         continue
                     previous = (page_id, url, html)
-                    again = revisit[0] and revisit[1] == page_id
-                    member = gzip_member(make_record(page_id, url, html.encode("utf-8", "surrogatepass"), revisit[2] if again else None, again), level)
+                    again = revisit[:3] == (True, page_id, sha)
+                    member = gzip_member(make_record(page_id, url, html.encode("utf-8", "surrogatepass"), revisit[3] if again else None, again), level)
                     members.append(member)
                     size += len(member)
                     if size >= roll_bytes:

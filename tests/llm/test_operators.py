@@ -288,6 +288,19 @@ def test_warc_round_trip(spark):
     assert warc.read_warc(spark, warc.write_warc(table.where("false"), store.new_dir(spark, "w"))).count() == 0
 
 
+def test_warc_payloads_of_one_page_id(spark):
+    rows = [(5, "u", "A"), (5, "u", "B"), (5, "v", "A"), (9, "u", "A"), (None, "n", "A"), (None, "n", "C"), (None, "m", "D"), (None, "n", "D"), (6, "u", "C"), (7, "u", "C")]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = warc.read_warc(spark, warc.write_warc(table, store.new_dir(spark, "w"))).collect()
+    names = {warc.sha1_base32(x.encode()): x for x in "ABCD"}
+    revisits = {(5, "u", "A"): 9, (5, "v", "A"): 9, (None, "n", "A"): 9, (None, "n", "C"): 7, (6, "u", "C"): 7}
+    assert len(got) == len(rows)
+    for r in got:
+        row = (r["page_id"], r["url"], names[r["payload_digest"]])
+        assert row in rows and r["refers_to"] == revisits.get(row)
+        assert (r["record_type"], r["payload"]) == (("revisit", None) if row in revisits else ("response", row[2]))
+
+
 def test_quality_edges(spark, docs, empty):
     labels = spark.createDataFrame([(1, None, 0), (5, 1, 0), (5, 1, 0), (11, 0, 0), (99, 0, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
     model = quality.train(docs, labels)
