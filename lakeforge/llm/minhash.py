@@ -11,7 +11,8 @@ of similarity s shares a table unless all sub-keys of a collection differ:
 
 Every link is confirmed on the full shingle sets:
 
-1. Documents with equal sets are one from here on (the smallest id).
+1. Documents with equal sets are one node from here on; its text is that of its
+   smallest document, by id and then by the text's SHA-256.
 2. In each table, members of a key are candidates with its smallest member, not
    with each other. Confirmed links make components.
 3. Where members of a key are in different components still, the components'
@@ -26,9 +27,11 @@ A set of words is confirmed in streams: a center's set, then its candidates'.
 Centers with many candidates are dealt over several streams.
 
 Nulls: a null text has no shingles; such documents, and those without words, are
-linked with nothing. A null id is a document, smaller than others. Rows that
-repeat an id count as one node, each is returned. Texts are read whole. Other
-columns of the input don't matter.
+linked with nothing. A null id is a document, smaller than others. A document is
+its id with its text: an id with several texts is several documents, each linked
+by its own text, and rows that repeat both are one, each returned. Of a component
+the smallest document is kept. Texts are read whole. Other columns of the input
+don't matter.
 """
 
 from __future__ import annotations
@@ -89,7 +92,8 @@ def table_keys(subs: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n, f1, f2, subs): set size, its 128-bit fingerprint, sub-keys."""
+    """(id, sha, n, f1, f2, subs) of (id, text, sha): set size, its 128-bit
+    fingerprint, sub-keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,9 +107,9 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 if len(some):
                     for i, row in zip(some.tolist(), sub_keys([sets[i] for i in some]), strict=True):
                         subs[i] = row.tobytes()
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(f[0].view(np.int64)), pa.array(f[1].view(np.int64)), pa.array(subs, pa.binary())], ["id", "n", "f1", "f2", "subs"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n), pa.array(f[0].view(np.int64)), pa.array(f[1].view(np.int64)), pa.array(subs, pa.binary())], ["id", "sha", "n", "f1", "f2", "subs"])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, f1 bigint, f2 bigint, subs binary")
+    return docs.select("id", "text", "sha").mapInArrow(run, "id bigint, sha string, n bigint, f1 bigint, f2 bigint, subs binary")
 
 
 def keyed(nodes: DataFrame) -> DataFrame:
@@ -200,18 +204,22 @@ def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, pe
 
 
 def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row."""
-    docs = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("id"), F.col(text_col).alias("text"))
+    """(id, n_shingles, component_id, kept, text_sha256) of every row. The last
+    tells the texts of an id apart; a null text has an empty one's."""
+    docs = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("id"), F.col(text_col).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"))
     signed = store.save(signatures(docs, k), "signatures")
     equal = ["f1", "f2", "n"]
-    nodes = store.save(signed.where("n > 0").groupBy(*equal).agg(F.min("id").alias("id"), F.first("subs").alias("subs")), "nodes")
+    # a node is a set, by a number of its own; (own, sha) is its smallest document
+    sets = signed.where("n > 0").groupBy(*equal).agg(F.min(F.struct("id", "sha")).alias("least"), F.first("subs").alias("subs"))
+    nodes = store.save(sets.select(F.monotonically_increasing_id().alias("id"), *equal, F.col("least.id").alias("own"), "least.sha", "subs"), "nodes")
     keys = keyed(nodes)
     groups = store.save(keys.groupBy("key").agg(F.min("id").alias("y"), F.count("*").alias("members")).where("members > 1").select("key", "y"), "keys")
     members = store.save(keys.join(groups, "key").select("key", F.col("id").alias("x"), "y"), "members")
     pairs = store.save(members.where("x <> y").groupBy("x", "y").agg(F.count("*").alias("tables")).select("x", "y"), "candidates")
     ids = pairs.select("x").union(pairs.select("y")).distinct()
-    # the ids' number grows with the input: a shuffled join, never a broadcast
-    texts = store.save(docs.hint("merge").join(ids, F.col("id") == F.col("x")).select("id", "text").dropDuplicates(["id"]), "texts")
+    wanted = nodes.join(ids, F.col("id") == F.col("x")).select(F.col("id").alias("node"), F.col("own").alias("id"), "sha")
+    # their number grows with the input: a shuffled join, never a broadcast; rows of one document have one text
+    texts = store.save(docs.hint("merge").join(wanted, ["id", "sha"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"]), "texts")
     edges = store.save(confirm(pairs, texts, k, percent), "links")
     tested, labels, grew = pairs, components(edges), True
     for heads_only in (True, True, False):
@@ -237,8 +245,11 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "d
                 grew = True
                 edges = edges.unionByName(found)
                 labels = components(edges)
-    copies = signed.where("n > 0").join(nodes.select(*equal, F.col("id").alias("rep")), equal).select("id", "rep")
-    grouped = copies.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("id").alias("own"), F.coalesce("component", "rep").alias("component")).distinct()
-    out = signed.select("id", "n").join(grouped, F.col("id") == F.col("own"), "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+    placed = nodes.select("id", *equal, "own", "sha").join(labels, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
+    placed = store.save(placed.select(*equal, "component", "own", "sha"), "placed")
+    heads = store.save(placed.groupBy("component").agg(F.min(F.struct("own", "sha")).alias("head")).select("component", "head.*"), "heads")
+    copies = placed.select(*equal, "component").join(heads.select("component", F.col("own").alias("head"), F.col("sha").alias("head_sha")), "component").drop("component")
+    out = signed.join(copies, equal, "left").select("id", "n", "sha", F.coalesce("head", "id").alias("component"), F.coalesce("head_sha", "sha").alias("component_sha"))
     real = lambda c: F.when(F.col(c) != _NULL, F.col(c))
-    return out.select(real("id").alias(id_col), F.col("n").alias("n_shingles"), real("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    kept = (F.col("id") == F.col("component")) & (F.col("sha") == F.col("component_sha"))
+    return out.select(real("id").alias(id_col), F.col("n").alias("n_shingles"), real("component").alias("component_id"), kept.alias("kept"), F.col("sha").alias("text_sha256"))

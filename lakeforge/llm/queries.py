@@ -90,7 +90,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_groups(documents(spark, sf_dir), k=3, percent=85)
+    return minhash.near_groups(documents(spark, sf_dir), k=3, percent=85).drop("text_sha256")
 
 
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

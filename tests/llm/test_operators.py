@@ -110,6 +110,18 @@ def test_near_groups(spark, docs, empty):
     assert minhash.near_groups(empty).count() == 0
 
 
+def test_near_groups_of_repeated_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(80)) for c in "pqr")
+    near = lambda t: t + " more"
+    rows = [(3, one), (5, two), (7, near(one)), (7, near(two)), (7, near(one)), (None, three), (None, "alone stands this"), (9, near(three)), (None, None), (7, "")]
+    got = minhash.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "component_id", "kept", "n_shingles").collect()
+    want = [(3, 3, True, 78), (5, 5, True, 78), (7, 3, False, 79), (7, 3, False, 79), (7, 5, False, 79), (7, 7, True, 0), (9, None, False, 79), (None, None, True, 0), (None, None, True, 1), (None, None, True, 78)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    # of two documents of one id in a component, one is kept
+    pair = minhash.near_groups(spark.createDataFrame([(1, one), (1, near(one)), (1, one.upper())], "doc_id bigint, text string")).collect()
+    assert [r["component_id"] for r in pair] == [1, 1, 1] and sum(r["kept"] for r in pair) == 1
+
+
 def test_repeats(docs, empty):
     order = sorted(EDGE, key=lambda r: -(1 << 63) if r[0] is None else r[0])
     first = {}
