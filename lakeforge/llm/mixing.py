@@ -49,10 +49,11 @@ class Mix:
     bucket_digits: int = 3
 
 
-def tokens_of(docs: DataFrame, domain: Column) -> DataFrame:
-    """(doc_id, domain, lang, source, n_tokens) of every row."""
+def tokens_of(docs: DataFrame, domain: Column, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, also, domain, lang, source, n_tokens) of every row; ``also`` are
+    columns to carry along, such as what tells rows of one doc_id apart."""
     return docs.select(
-        "doc_id", F.coalesce(domain, F.lit("")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+        "doc_id", *also, F.coalesce(domain, F.lit("")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
         F.size(words_of(F.coalesce("text", F.lit("")))).cast("bigint").alias("n_tokens"),
     )
 
@@ -109,13 +110,13 @@ def leaf_budgets(tokens: DataFrame, mix: Mix) -> DataFrame:
     return shared.select(*LEVELS, "total", "share")
 
 
-def select(tokens: DataFrame, leaves: DataFrame, mix: Mix) -> DataFrame:
-    """(doc_id, domain, lang, source, epoch, n_tokens, take_tokens): a row for
-    each document and epoch in which it is taken."""
+def select(tokens: DataFrame, leaves: DataFrame, mix: Mix, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, also, domain, lang, source, epoch, n_tokens, take_tokens): a row
+    for each document and epoch in which it is taken."""
     plan = leaves.where("share > 0").select(*LEVELS, F.expr("share div total").alias("whole"), (F.col("share") % F.col("total")).alias("rest"))
     rows = tokens.where("n_tokens > 0").join(plan, list(LEVELS))
-    out = ["doc_id", *LEVELS, "epoch", "n_tokens", "take_tokens"]
-    whole = rows.where("whole > 0").select("doc_id", *LEVELS, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)).alias("epoch"), "n_tokens").withColumn("take_tokens", F.col("n_tokens"))
+    out = ["doc_id", *also, *LEVELS, "epoch", "n_tokens", "take_tokens"]
+    whole = rows.where("whole > 0").select("doc_id", *also, *LEVELS, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)).alias("epoch"), "n_tokens").withColumn("take_tokens", F.col("n_tokens"))
     key = F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("whole").cast("string"), F.col("doc_id").cast("string")))
     last = rows.where("rest > 0").withColumn("key", key).withColumn("bucket", F.substring("key", 1, mix.bucket_digits))
     sums = last.groupBy(*LEVELS, "bucket", "rest").agg(F.sum("n_tokens").alias("size"))
@@ -123,13 +124,13 @@ def select(tokens: DataFrame, leaves: DataFrame, mix: Mix) -> DataFrame:
     sums = store.save(sums.select(*LEVELS, "bucket", "upto", "before"), "mix-buckets")
     placed = last.join(sums, [*LEVELS, "bucket"])
     inner = placed.where("upto <= rest").withColumn("take_tokens", F.col("n_tokens"))
-    run = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("key", "doc_id", "n_tokens", *also).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     edge = placed.where("upto > rest").withColumn("take_tokens", F.least(F.col("n_tokens"), F.col("rest") - F.col("before") - run + F.col("n_tokens"))).where("take_tokens > 0")
     partial = inner.unionByName(edge).withColumn("epoch", F.col("whole")).select(*out)
     return whole.select(*out).unionByName(partial)
 
 
-def mix_documents(docs: DataFrame, domain: Column, mix: Mix) -> DataFrame:
+def mix_documents(docs: DataFrame, domain: Column, mix: Mix, also: tuple[str, ...] = ()) -> DataFrame:
     """``select`` over the documents' own tokens; texts are read once."""
-    tokens = store.save(tokens_of(docs, domain), "mix-tokens")
-    return select(tokens, store.save(leaf_budgets(tokens, mix), "mix-budgets"), mix)
+    tokens = store.save(tokens_of(docs, domain, also), "mix-tokens")
+    return select(tokens, store.save(leaf_budgets(tokens, mix), "mix-budgets"), mix, also)

@@ -202,18 +202,19 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, cut: f
     return fit(x, np.asarray([r["y"] for r in rows]), counts.get(0, 0) / sum(counts.values()), cut)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row."""
+def score(docs: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, also, score) of every row; ``also`` are columns to carry along."""
+    carried = docs.select("doc_id", *also)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                x = feature_rows(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(x))], ["doc_id", "score"])
+                x = feature_rows(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(model.score(x))], ["doc_id", *also, "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema)
+    return docs.select("text", "doc_id", *also).mapInArrow(run, f"{kinds}, score double")
 
 
 def crc_held_out(doc_id: int) -> bool:

@@ -1,5 +1,7 @@
 """The corpus pipeline's stages on a small table, and the queries' SQL."""
 
+import numpy as np
+
 import corpus_pipeline
 from lakeforge.llm import queries, store
 
@@ -21,6 +23,34 @@ def test_stages_take_effect(spark):
     assert out.count() == mixed.count() > 0
 
 
+def test_rows_are_told_apart(spark, monkeypatch):
+    """Repeated rows, ids with two texts and several null ids, by all stages."""
+    queries.ship(spark)
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"}
+    rows = [
+        (1, text["a"], "src0"), (1, text["a"], "src0"), (1, text["a"], "src1"),  # repeated rows
+        (2, text["b"], "src0"), (2, text["c"], "src0"), (3, text["c"], "src0"),  # one text of 2 is an exact copy
+        (4, text["b"] + " end", "src0"), (4, text["d"], "src0"),  # one text of 4 is a near copy
+        (None, text["e"], "src0"), (None, text["f"], "src0"), (None, text["f"], "src0"), (None, text["g"] + " !!!", "src0"), (5, text["e"], "src0"),
+        (6, None, "src0"), (6, "", "src0"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    model = corpus_pipeline.quality.Model(-np.eye(len(corpus_pipeline.quality.FEATURES))[corpus_pipeline.quality.FEATURES.index("bang_share")], -0.01, 0.7)
+    monkeypatch.setattr(corpus_pipeline.quality, "train", lambda *_: model)
+    good = store.save(corpus_pipeline.quality_stage(spark, docs, SF), "t")
+    assert pairs(good) == sorted(((i, t) for i, t, _ in rows if "!" not in (t or "")), key=str)
+    exact = store.save(corpus_pipeline.exact_stage(spark, good, SF), "t")
+    kept = [(1, text["a"]), (2, text["b"]), (3, text["c"]), (4, text["b"] + " end"), (4, text["d"]), (5, text["e"]), (None, text["f"]), (6, "")]
+    assert pairs(exact) == sorted(kept, key=str) and {r["source"] for r in exact.where("doc_id = 1").collect()} == {"src0"}
+    near = store.save(corpus_pipeline.near_stage(spark, exact, SF), "t")
+    kept.remove((4, text["b"] + " end"))
+    assert pairs(near) == sorted(kept, key=str)
+    monkeypatch.setattr(queries, "MIX", corpus_pipeline.mixing.Mix(percent=200, max_epochs=2))
+    assert pairs(corpus_pipeline.mix_stage(spark, near, SF)) == sorted([k for k in kept if k[1]] * 2, key=str)
+    assert pairs(corpus_pipeline.mix_stage(spark, near.union(near), SF)) == sorted([k for k in kept if k[1]] * 2, key=str)
+
+
 def test_empty_table(spark):
     docs = store.read_table(spark, SF, "documents").where("false")
     for _, stage in corpus_pipeline.STAGES:
