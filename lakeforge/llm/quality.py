@@ -4,13 +4,16 @@ Each document has a score s(x) = w . x over features of its whole text. Of a
 pair, the first is preferred with probability sigmoid(s(a) - s(b)); w is learned
 from preference pairs (a document labelled 1 over one labelled 0) by logistic
 loss on their feature differences, with an L2 penalty, by Newton steps. A
-document is predicted good if its score lies above the quantile of the training
+document is predicted good if its score lies above the quantile of the labelled
 documents' scores at the share of documents labelled 0. The reported score is a
 sigmoid of s, moved so that this threshold is at ``cut``.
 
-Training uses a bounded sample of the labelled rows, at most ``PER_CLASS`` of
-each label, the smallest by a hash of the document id, and ``PAIRS`` pairs; its
-bounds don't grow with the input. Every document is scored.
+Only the weights are learned from a sample of the labelled rows, at most
+``PER_CLASS`` of each label, the smallest by a hash of the document id, and
+``PAIRS`` pairs; its bounds don't grow with the input. The quantile is that of all
+labelled rows that are not held out: their scores are counted in ``BINS`` ranges,
+the range that holds it is divided again, and its last ``BINS`` rows are sorted.
+Every document is scored.
 
 Nulls: a null text counts as empty; an empty text has all features 0. A null
 label, or one without a document, is not learned from. Labels of a document
@@ -30,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm import words
+from lakeforge.llm import store, words
 
-PER_CLASS, PAIRS = 3000, 30_000
+PER_CLASS, PAIRS, BINS = 3000, 30_000, 4096
 FEATURES = [
     "log_words", "word_length", "word_length_sd", "upper_share", "caps_words", "digit_share", "symbol_share", "bang_share",
     "bar_words", "punct_share", "distinct_words", "top_word", "repeated_neighbours", "distinct_pairs", "words_per_line",
@@ -150,12 +153,11 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def fit(x: np.ndarray, y: np.ndarray, share_low: float, cut: float = 0.7, pairs: int = PAIRS, penalty: float = 3.0, seed: int = 7) -> Model:
-    """Learn from feature rows and labels; ``share_low`` is the share of
-    documents labelled 0 among all that are labelled."""
+def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, penalty: float = 3.0, seed: int = 7) -> np.ndarray | None:
+    """Weights from feature rows and labels; None if a label is missing."""
     good, bad = x[y == 1], x[y == 0]
     if not len(good) or not len(bad):
-        return Model(np.zeros(x.shape[1]), np.log(cut / (1 - cut)) - np.log((1 + cut) / (1 - cut)), cut)
+        return None
     rng = np.random.default_rng(seed)
     d = good[rng.integers(0, len(good), pairs)] - bad[rng.integers(0, len(bad), pairs)]
     w = np.zeros(x.shape[1])
@@ -166,13 +168,42 @@ def fit(x: np.ndarray, y: np.ndarray, share_low: float, cut: float = 0.7, pairs:
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    # the quantile in the labelled population, from the two classes' scores in their true shares
-    scores = np.concatenate((good @ w, bad @ w))
-    weight = np.concatenate((np.full(len(good), (1 - share_low) / len(good)), np.full(len(bad), share_low / len(bad))))
-    order = np.argsort(scores)
-    at = int(np.searchsorted(np.cumsum(weight[order]), share_low))
-    at = min(at, len(order) - 2)
-    return Model(w, float(scores[order[at]] + scores[order[at + 1]]) / 2, cut)
+    return w
+
+
+def threshold(scores: DataFrame, low: int, high: int, bins: int = BINS) -> float:
+    """The quantile of all rows of ``scores`` (y, s) at low / (low + high), each
+    label's rows weighing ``low`` (0) or ``high`` (1) together; halfway to the
+    next row's score. At most ``bins`` rows come to the driver at once; weights
+    are whole numbers."""
+    rows = {r["y"]: r["n"] for r in scores.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    of_0, of_1 = low * rows[1], high * rows[0]
+    want = low * rows[0] * rows[1]
+    counts = [F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"), F.min("s").alias("first"), F.max("s").alias("last")]
+    inside, before, prior, after = scores, 0, None, None
+    while True:
+        ends = inside.agg(*counts).first()
+        width = (ends["last"] - ends["first"]) / bins
+        # few rows, or no more values between the ends than ranges
+        done = ends["n0"] + ends["n1"] <= bins or ends["first"] + width == ends["first"] or ends["last"] - width == ends["last"]
+        at = F.col("s") if done else F.least(F.floor((F.col("s") - ends["first"]) / width), F.lit(bins - 1))
+        parts = inside.groupBy(at.alias("at")).agg(*counts).orderBy("at").collect()
+        k, part = 0, parts[0]
+        while k + 1 < len(parts) and before + of_0 * part["n0"] + of_1 * part["n1"] < want:
+            before += of_0 * part["n0"] + of_1 * part["n1"]
+            k, part = k + 1, parts[k + 1]
+        prior = parts[k - 1]["last"] if k else prior
+        after = parts[k + 1]["first"] if k + 1 < len(parts) else after
+        if done:
+            break
+        inside = inside.where(at == part["at"])
+    value, left = part["first"], want - before
+    in_0 = of_0 * part["n0"]
+    number = -(-left // of_0) if left <= in_0 else part["n0"] + -(-(left - in_0) // of_1)  # among the rows of this score
+    if number < part["n0"] + part["n1"] or (after is None and part["n0"] + part["n1"] > 1):
+        return float(value)
+    other = after if after is not None else prior
+    return float(value if other is None else (value + other) / 2)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -181,14 +212,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, cut: float = 0.7) -> Model:
-    """Fit on a bounded sample of the labelled documents not held out."""
-    known = labels.select("doc_id", F.col("quality").alias("y")).where("doc_id is not null and y in (0, 1)").where(~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").drop("z")
+    """Weights from a bounded sample of the labelled documents not held out, the
+    threshold from all of them."""
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(~held_out(F.col("doc_id")))
+    known = store.save(known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").drop("z"), "known")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = F.md5(F.col("doc_id").cast("string"))
     sample = [r for y in (0, 1) for r in known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class).collect()]
+    # what the score is where nothing can be learned
+    neutral = Model(np.zeros(len(FEATURES)), np.log(cut / (1 - cut)) - np.log((1 + cut) / (1 - cut)), cut)
     if not sample:
-        return fit(np.zeros((0, len(FEATURES))), np.zeros(0), 0.5, cut)
+        return neutral
     chosen = F.broadcast(docs.sparkSession.createDataFrame(sample, "doc_id bigint, y int"))  # at most 2 * per_class rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,8 +232,18 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, cut: f
 
     found = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "y", "text").mapInArrow(run, "doc_id bigint, y int, x array<double>")
     rows = sorted(found.collect(), key=lambda r: (r["doc_id"], r["x"]))
-    x = np.asarray([r["x"] for r in rows]).reshape(-1, len(FEATURES))
-    return fit(x, np.asarray([r["y"] for r in rows]), counts.get(0, 0) / sum(counts.values()), cut)
+    weights = fit(np.asarray([r["x"] for r in rows]).reshape(-1, len(FEATURES)), np.asarray([r["y"] for r in rows]))
+    if weights is None:
+        return neutral
+
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(feature_rows(part.column(1).to_pylist()) @ weights)], ["y", "s"])
+
+    scores = store.save(docs.select("doc_id", "text").join(known, "doc_id").select("y", "text").mapInArrow(raw, "y int, s double"), "scores")
+    return Model(weights, threshold(scores, counts[0], counts[1]), cut)
 
 
 def score(docs: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFrame:

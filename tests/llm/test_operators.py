@@ -322,6 +322,28 @@ def test_quality_edges(spark, docs, empty):
     assert quality.score(docs, quality.train(docs, labels.where("false"))).where("score < 0.7").count() == 0
 
 
+def test_quality_threshold_covers_all_labelled_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join("WORD!" if rng.random() < (0.3 if i % 3 else 0.6) else f"w{j}" for j in range(rng.integers(20, 60)))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels, per_class=20)
+    mine = [i for i in range(600) if not quality.crc_held_out(i)]
+    s = np.sort(quality.feature_rows([rows[i][1] for i in mine]) @ model.weights)
+    low = sum(i % 3 == 0 for i in mine)
+    assert abs(model.threshold - (s[low - 1] + s[low]) / 2) < 1e-9
+    # the same by ranges, with ties, and with rows of a label that weigh more
+    y = rng.integers(0, 2, 3000)
+    s = np.round(rng.normal(size=3000), 2)
+    table = spark.createDataFrame(list(zip(y.tolist(), s.tolist(), strict=True)), "y int, s double")
+    n0, n1 = int((y == 0).sum()), int((y == 1).sum())
+    for low, high in ((n0, n1), (1, 9), (9, 1)):
+        order = np.lexsort((y, s))
+        at = int(np.searchsorted(np.cumsum(np.where(y[order] == 0, low * n1, high * n0)), low * n0 * n1))
+        want = (s[order[at]] + s[order[at + 1]]) / 2
+        assert {abs(quality.threshold(table, low, high, bins) - want) < 1e-9 for bins in (7, 300, 4096)} == {True}
+
+
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.01"])
 def test_quality_of_held_out_documents(spark, sf_dir):
     scored = queries.queries()["op7_quality"](spark, sf_dir).where("held_out").join(store.read_table(spark, sf_dir, "labels"), "doc_id")
