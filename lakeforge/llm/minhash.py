@@ -2,12 +2,14 @@
 
 Two documents are linked if the Jaccard similarity of their shingle sets is at
 least a threshold. Candidates come from tables of MinHash keys. Instead of
-computing each table's key from minima of its own, two collections of ``SIDE``
+computing each table's key from minima of its own, two collections of ``side``
 sub-keys, each of ``ROWS`` minima, are computed, and every pair of a sub-key of
-one with a sub-key of the other is a table's key: ``SIDE**2`` tables from
-``2 * SIDE * ROWS`` minima, about the square root of what they would need. A pair
+one with a sub-key of the other is a table's key: ``side**2`` tables from
+``2 * side * ROWS`` minima, about the square root of what they would need. A pair
 of similarity s shares a table unless all sub-keys of a collection differ:
-(1 - s**ROWS)**SIDE for each; at 0.85 with 2 and 9 that is 1 in 100,000.
+(1 - s**ROWS)**side for each. ``side`` is the smallest number for which a pair at
+the threshold is missed with probability ``MISS`` at most: 9 at 0.85 (1 in
+51,000), 12 at 0.8 (1 in 105,000).
 
 Every link is confirmed on the full shingle sets:
 
@@ -37,6 +39,7 @@ don't matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +49,34 @@ from pyspark.sql import functions as F
 from lakeforge.llm import store, words
 from lakeforge.llm.components import components
 
-ROWS, SIDE = 2, 9
+#: Minima of a sub-key; share of pairs at the threshold that may share no table.
+ROWS, MISS = 2, 2e-5
 #: Candidates of a center in one stream.
 STREAM = 400
 #: A shingle in more documents of a family counts as frequent.
 RARE = 20
 _NULL = -(1 << 63)
-_rng = np.random.default_rng(20240607)
-_A = _rng.integers(0, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64)
+
+
+def missed(similarity: float, side: int) -> float:
+    """At most this share of the pairs of a similarity share no table."""
+    return 2 * (1 - similarity**ROWS) ** side
+
+
+def sides(percent: int) -> int:
+    """Sub-keys of a collection for a threshold."""
+    side = 1
+    while missed(percent / 100, side) > MISS:
+        side += 1
+    return side
+
+
+@lru_cache(maxsize=4)
+def _factors(side: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and summands of the minima's hash functions."""
+    rng = np.random.default_rng(20240607)
+    a = rng.integers(0, 1 << 63, 2 * side * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return a, rng.integers(0, 1 << 63, 2 * side * ROWS, dtype=np.uint64)
 
 
 def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
@@ -72,12 +94,12 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     return out
 
 
-def sub_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """The two collections' sub-keys of each non-empty set: 2 * SIDE columns."""
+def sub_keys(sets: list[np.ndarray], side: int) -> np.ndarray:
+    """The two collections' sub-keys of each non-empty set: 2 * side columns."""
     every = np.concatenate(sets)
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
     first = np.cumsum(sizes) - sizes
-    low = np.stack([np.minimum.reduceat(every * a + b, first) for a, b in zip(_A, _B, strict=True)], axis=1)
+    low = np.stack([np.minimum.reduceat(every * a + b, first) for a, b in zip(*_factors(side), strict=True)], axis=1)
     out = low[:, 0::ROWS].copy()
     for r in range(1, ROWS):
         out = words.mix(out) + low[:, r::ROWS]
@@ -85,13 +107,14 @@ def sub_keys(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def table_keys(subs: np.ndarray) -> np.ndarray:
-    """All pairs of a sub-key of each collection: SIDE**2 columns."""
-    left, right = words.mix(subs[:, :SIDE].copy()), subs[:, SIDE:]
-    number = np.arange(SIDE * SIDE, dtype=np.uint64).reshape(SIDE, SIDE) * np.uint64(0x9E3779B97F4A7C15)
+    """All pairs of a sub-key of each collection: side**2 columns."""
+    side = subs.shape[1] // 2
+    left, right = words.mix(subs[:, :side].copy()), subs[:, side:]
+    number = np.arange(side * side, dtype=np.uint64).reshape(side, side) * np.uint64(0x9E3779B97F4A7C15)
     return words.mix((left[:, :, None] + right[:, None, :] + number[None]).reshape(len(subs), -1))
 
 
-def signatures(docs: DataFrame, k: int) -> DataFrame:
+def signatures(docs: DataFrame, k: int, side: int) -> DataFrame:
     """(id, sha, n, f1, f2, subs) of (id, text, sha): set size, its 128-bit
     fingerprint, sub-keys."""
 
@@ -105,7 +128,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 some = np.flatnonzero(n)
                 subs = [None] * len(sets)
                 if len(some):
-                    for i, row in zip(some.tolist(), sub_keys([sets[i] for i in some]), strict=True):
+                    for i, row in zip(some.tolist(), sub_keys([sets[i] for i in some], side), strict=True):
                         subs[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n), pa.array(f[0].view(np.int64)), pa.array(f[1].view(np.int64)), pa.array(subs, pa.binary())], ["id", "sha", "n", "f1", "f2", "subs"])
 
@@ -119,8 +142,9 @@ def keyed(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 subs = np.stack([np.frombuffer(x, dtype=np.uint64) for x in batch.column(1).to_pylist()])
-                ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), SIDE * SIDE)
-                yield pa.RecordBatch.from_arrays([pa.array(table_keys(subs).reshape(-1).view(np.int64)), pa.array(ids)], ["key", "id"])
+                found = table_keys(subs)
+                ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), found.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(found.reshape(-1).view(np.int64)), pa.array(ids)], ["key", "id"])
 
     return nodes.select("id", "subs").mapInArrow(run, "key bigint, id bigint")
 
@@ -207,7 +231,7 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "d
     """(id, n_shingles, component_id, kept, text_sha256) of every row. The last
     tells the texts of an id apart; a null text has an empty one's."""
     docs = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("id"), F.col(text_col).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"))
-    signed = store.save(signatures(docs, k), "signatures")
+    signed = store.save(signatures(docs, k, sides(percent)), "signatures")
     equal = ["f1", "f2", "n"]
     # a node is a set, by a number of its own; (own, sha) is its smallest document
     sets = signed.where("n > 0").groupBy(*equal).agg(F.min(F.struct("id", "sha")).alias("least"), F.first("subs").alias("subs"))

@@ -122,6 +122,14 @@ def test_near_groups_of_repeated_ids(spark):
     assert [r["component_id"] for r in pair] == [1, 1, 1] and sum(r["kept"] for r in pair) == 1
 
 
+def test_tables_follow_the_threshold(spark):
+    assert [minhash.sides(p) for p in (85, 80)] == [9, 12]
+    assert all(minhash.missed(p / 100, minhash.sides(p)) <= minhash.MISS for p in range(30, 101))
+    text = spark.createDataFrame([(1, "a b c d e f", "x")], "id bigint, text string, sha string")
+    for percent, tables in ((85, 81), (80, 144)):
+        assert minhash.keyed(minhash.signatures(text, 5, minhash.sides(percent))).select("key").distinct().count() == tables
+
+
 def test_repeats(docs, empty):
     order = sorted(EDGE, key=lambda r: -(1 << 63) if r[0] is None else r[0])
     first = {}
