@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import exact, minhash, mixing, piece_codec, quality, rules, sql, store, substring, urls, warc, wavelet
+from lakeforge.llm import exact, interpolate, minhash, mixing, piece_codec, quality, rules, sql, store, substring, urls, warc, wavelet, whiten
 
 PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -126,13 +126,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, manifest, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.read_table(spark, sf_dir, "embeddings")
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.components(embeddings(spark, sf_dir), "vec_id", "embedding", most=32, scale=whiten.Scale(64, 1_000_000))
+
+
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return interpolate.score(documents(spark, sf_dir), held_out, order=3)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = [op1_mixing, op2_sentencepiece, op3_minhash, op4_substring, op5_url_filter, op6_exact, op7_quality, op8_wavelet, op9_host_rules, op10_warc, pipeline]
+QUERIES = [op1_mixing, op2_sentencepiece, op3_minhash, op4_substring, op5_url_filter, op6_exact, op7_quality, op8_wavelet, op9_host_rules, op10_warc, op11_whitening, op12_lm_score, pipeline]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
