@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 
 from lakeforge.llm import store, words
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: N-grams that a bucket of hashes holds, about.
-BUCKET = 2_000_000
+BUCKET = 1_000_000
 #: Steps of an estimate's logarithm (base 2) in the held-out counts.
 STEP = 8
 HELD, KEPT, DELETED = 2, 0, 1
@@ -76,6 +76,14 @@ class Chunk:
     size: int = 0
 
 
+def _save(df: DataFrame, tag: str) -> DataFrame:
+    """Like ``store.save``, for rows of megabytes: a reader holds a row group, so
+    these are kept to a few rows."""
+    path = store.new_dir(df.sparkSession, tag) + "/t"
+    df.write.option("parquet.block.size", 1 << 23).option("parquet.page.size.row.check.min", 1).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _role(doc_id: Column, held_out: Column, modulus: int, deleted: int) -> Column:
     part = F.crc32(doc_id.cast("string").cast("binary")) % modulus
     return F.when(held_out, HELD).when(F.coalesce(part == deleted, F.lit(False)), DELETED).otherwise(KEPT).cast("int")
@@ -125,7 +133,7 @@ def chunks(docs: DataFrame, role: Column, chunk: int = CHUNK) -> DataFrame:
 
     rows = docs.select(role.alias("role"), "doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         run, f"role int, n_tokens bigint, ids array<{kind}>, counts binary, vocabulary binary, tokens binary")
-    return store.save(rows.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    return _save(rows.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
 
 
 @dataclass
@@ -185,14 +193,12 @@ def _requests(chunked: DataFrame, order: int, buckets: int) -> DataFrame:
                 for m in range(1, order + 1):
                     h, n = np.unique(_grams(s, m), return_counts=True)
                     ends = _buckets_of(h, buckets)
-                    out = {"bucket": [], "m": [], "chunk": [], "role": [], "hashes": [], "counts": []}
                     for b, (start, stop) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
                         if stop > start:
                             part = h[start:stop]
                             steps = np.concatenate((part[:1], part[1:] - part[:-1]))
-                            for name, value in zip(out, (b, m, chunk, role, pack(steps), pack(n[start:stop]) if role != HELD else None), strict=True):
-                                out[name].append(value)
-                    yield pa.RecordBatch.from_pydict(out, shape)
+                            values = (b, m, chunk, role, pack(steps), pack(n[start:stop]) if role != HELD else None)
+                            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, shape, strict=True)], schema=shape)
 
     return chunked.select("chunk", "role", "counts", "vocabulary", "tokens").mapInArrow(run, "bucket int, m int, chunk bigint, role int, hashes binary, counts binary")
 
@@ -352,7 +358,7 @@ def score(docs: DataFrame, held_out: Column, order: int = 2, modulus: int = 7, d
     all_texts = kept_texts + sum(r["texts"] for r in texts if r["role"] == DELETED)
     buckets = max(1, -(-sum(r["tokens"] for r in texts) // BUCKET))
     answers = _requests(chunked, order, buckets).groupBy("bucket", "m").applyInArrow(_answer, "bucket int, m int, chunk bigint, total binary, kept binary, sizes array<bigint>")
-    answers = store.save(answers, "answers")
+    answers = _save(answers, "answers")
     totals = [F.coalesce(F.sum(F.col("sizes")[i]), F.lit(0)) for i in range(4)]
     sizes = Sizes(*answers.where("chunk = -1 and m = 1").agg(*totals).first())
     part = chunked.where(F.col("role") == DELETED)

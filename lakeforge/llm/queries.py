@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import exact, interpolate, minhash, mixing, piece_codec, quality, rules, sql, store, substring, urls, warc, wavelet, whiten
+from lakeforge.llm import exact, interpolate, minhash, mixing, negatives, piece_codec, quality, rules, sql, store, substring, urls, warc, wavelet, whiten
 
 PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -136,7 +136,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    return interpolate.score(documents(spark, sf_dir), held_out, order=3)
+    return interpolate.score(documents(spark, sf_dir), held_out, order=2)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(embeddings(spark, sf_dir).withColumn("label", label), F.col("id") % 50 == 0, times=256)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +150,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = [op1_mixing, op2_sentencepiece, op3_minhash, op4_substring, op5_url_filter, op6_exact, op7_quality, op8_wavelet, op9_host_rules, op10_warc, op11_whitening, op12_lm_score, pipeline]
+QUERIES = [op1_mixing, op2_sentencepiece, op3_minhash, op4_substring, op5_url_filter, op6_exact, op7_quality, op8_wavelet, op9_host_rules, op10_warc, op11_whitening, op12_lm_score, op13_hard_negatives, pipeline]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

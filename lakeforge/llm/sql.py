@@ -90,4 +90,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN ver ON f.source IS NOT DISTINCT FROM ver.source
 """
 
-ORACLES = {"op1_mixing": OP1, "op4_substring": OP4, "op5_url_filter": OP5, "op6_exact": OP6, "op9_host_rules": OP9}
+OP13 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same, a.r = b.r AS own,
+    list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0),
+pos AS (SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same AND NOT own
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS FIRST) <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM pos p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id NULLS FIRST)
+QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLES = {"op1_mixing": OP1, "op4_substring": OP4, "op5_url_filter": OP5, "op6_exact": OP6, "op9_host_rules": OP9, "op13_hard_negatives": OP13}

@@ -26,11 +26,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm import bidiagonal, store
+from lakeforge.llm import bidiagonal, store, vectors
 
 #: Bytes of numbers that a task handles at once; partial results that are combined at once.
 BLOCK, FAN = 1 << 24, 64
@@ -64,17 +63,7 @@ class Model:
         return 1 / np.sqrt(np.where(self.values > 0, self.values, np.nan))
 
 
-def _usable(column: pa.Array, d: int, scale: Scale) -> tuple[np.ndarray, np.ndarray]:
-    """Places of usable rows of length d, and their whole numbers."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), -1))
-    places = np.flatnonzero(lengths == d)
-    flat = column.take(pa.array(places)).flatten().to_numpy(zero_copy_only=False).astype(float)
-    scaled = np.floor(flat.reshape(len(places), d) * scale.times)
-    good = (np.abs(scaled) < 2.0 ** 52).all(axis=1)  # false for NaN too
-    return places[good], scaled[good].astype(np.int64) + scale.plus
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], at: int, d: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[pa.RecordBatch]:
     """Batches cut to about ``BLOCK`` bytes of entries."""
     rows = max(1, BLOCK // (8 * d))
     for batch in batches:
@@ -109,10 +98,10 @@ def _sums(rows: DataFrame, scale: Scale) -> tuple[int, list[int]]:
         found: dict[int, tuple[int, np.ndarray]] = {}
         for batch in batches:
             column = batch.column(0)
-            for d in np.unique(np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0))).tolist():
+            for d in np.unique(vectors.lengths(column)).tolist():
                 if d > 0:
-                    for part in _blocks(iter([batch]), 0, d):
-                        _, x = _usable(part.column(0), d, scale)
+                    for part in _blocks(iter([batch]), d):
+                        _, x = vectors.whole(part.column(0), d, scale.times, scale.plus)
                         # halves of the numbers: neither sum can pass 64 bits
                         n, total = found.get(d, (0, np.zeros((2, d), dtype=np.int64)))
                         found[d] = n + len(x), total + np.stack(((x >> 26).sum(axis=0), (x & ((1 << 26) - 1)).sum(axis=0)))
@@ -138,7 +127,7 @@ def _reduced(parts: DataFrame, combine: Callable[[list[object]], object]) -> obj
 
     parts = store.save(parts, "parts")
     while (count := parts.count()) > FAN:
-        dealt = parts.withColumn("g", F.pmod(F.xxhash64("part"), F.lit(-(-count // (FAN // 2)))))
+        dealt = parts.withColumn("g", F.pmod(F.xxhash64("part"), F.lit(-(-count // max(FAN // 2, 2)))))
         parts = store.save(dealt.groupBy("g").applyInArrow(merge, "part binary"), "parts")
     found = [pickle.loads(bytes(r["part"])) for r in parts.collect()]
     return combine(found) if found else None
@@ -154,8 +143,8 @@ def _factor(rows: DataFrame, scale: Scale, n: int, sums: list[int]) -> np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factor = np.zeros((0, d))
-        for batch in _blocks(batches, 0, d):
-            _, x = _usable(batch.column(0), d, scale)
+        for batch in _blocks(batches, d):
+            _, x = vectors.whole(batch.column(0), d, scale.times, scale.plus)
             if len(x):
                 factor = _stack([factor, _centred(x, n, total)])
         if len(factor):
@@ -190,8 +179,8 @@ def _identity_error(rows: DataFrame, model: Model) -> float:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sofar = []
-        for batch in _blocks(batches, 0, d):
-            _, x = _usable(batch.column(0), d, model.scale)
+        for batch in _blocks(batches, d):
+            _, x = vectors.whole(batch.column(0), d, model.scale.times, model.scale.plus)
             if len(x):
                 w = _project(model, x)[:, model.values > 0]
                 away = w - w.mean(axis=0)
@@ -226,8 +215,8 @@ def transform(df: DataFrame, model: Model, id_col: str = "vec_id", vector_col: s
     d, total = len(model.sums), _numbers(model.sums)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _blocks(batches, 1, d):
-            places, x = _usable(batch.column(1), d, model.scale)
+        for batch in _blocks(batches, d):
+            places, x = vectors.whole(batch.column(1), d, model.scale.times, model.scale.plus)
             w = _project(model, x)
             flat = pa.array(w.ravel(), pa.float64(), mask=np.isnan(w.ravel()))
             ends = pa.array(np.arange(len(x) + 1) * w.shape[1], pa.int32())
