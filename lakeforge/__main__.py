@@ -1,10 +1,10 @@
 """Command line: run the pipeline, or single steps of it.
 
     python -m lakeforge --root <shared folder> --listings-csv <path> --reviews-csv <path> \\
-        [--steps ingest,land,silver,gold,test] [--kafka host:port] [--silver-ns silver --gold-ns gold]
+        [--steps ingest,land,silver,staging,gold,test] [--kafka host:port] [--silver-ns silver --gold-ns gold]
 
-``--root`` defaults to a fresh folder under the session's shared root. The
-session comes from ``spark-submit`` / the environment; when run directly it
+``--root`` defaults to a fresh folder under the session's shared root. With the
+root of an earlier run, any step runs alone on what is there. The session comes from ``spark-submit`` / the environment; when run directly it
 is a local session.
 """
 
@@ -14,11 +14,9 @@ import argparse
 import json
 from dataclasses import asdict
 
-from lakeforge.operators.quality import QualityError, assert_suite, default_suite, run_suite
+from lakeforge.operators.quality import QualityError
 from lakeforge.plans import pipeline as P
 
-STEPS = ("ingest", "land", "silver", "gold", "test")
-
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="lakeforge")
@@ -29,8 +27,10 @@ def main(argv=None) -> int:
     ap.add_argument("--silver-ns", dest="silver_namespace")
     ap.add_argument("--gold-ns", dest="gold_namespace")
     ap.add_argument("--min-year", type=int, default=P.marts.REVIEW_YEAR_FLOOR)
-    ap.add_argument("--median", choices=("approx", "exact"), default="approx")
-    ap.add_argument("--steps", default=",".join(STEPS))
+    ap.add_argument("--median", choices=("approx", "sketch", "exact"), default="approx")
+    ap.add_argument("--steps", default=",".join(P.STEPS))
+    ap.add_argument("--dead-letters", action="store_true", help="read CSV files as byte ranges; records that can't be read go to the topics' errors")
+    ap.add_argument("--flush-records", type=int, help="land one bronze file for every so many records")
     ap.add_argument("--no-gate", action="store_true", help="report quality failures without failing")
     a = ap.parse_args(argv)
     from pyspark.sql import SparkSession
@@ -38,26 +38,21 @@ def main(argv=None) -> int:
     cfg = P.PipelineConfig(root=a.root or P.new_run_root(spark), listings_csv=a.listings_csv,
                            reviews_csv=a.reviews_csv, kafka_servers=a.kafka_servers, min_year=a.min_year,
                            median=a.median, silver_namespace=a.silver_namespace,
-                           gold_namespace=a.gold_namespace, fail_on_quality=not a.no_gate)
+                           gold_namespace=a.gold_namespace, fail_on_quality=not a.no_gate,
+                           dead_letters=a.dead_letters, flush_records=a.flush_records)
     steps = [s for s in a.steps.split(",") if s]
     report: dict = {"root": cfg.root}
-    if "ingest" in steps:
-        report["published"] = [asdict(r) for r in P.ingest(spark, cfg)]
-    if "land" in steps:
-        report["landed"] = [asdict(r) for r in P.land(spark, cfg)]
-    if "silver" in steps:
-        report["counts"] = P.bronze_to_silver(spark, cfg)
-    tables = P.silver_to_gold(spark, cfg) if "gold" in steps else None
     status = 0
-    if "test" in steps:
-        if tables is None:
-            raise SystemExit("the test step needs the gold step in the same run")
-        summary = run_suite(tables, default_suite(cfg.cities, cfg.room_types))
+    for step in steps:
         try:
-            report["quality"] = assert_suite(summary)
+            done = P.STEPS[step](spark, cfg)
         except QualityError as e:
-            report["quality_error"], report["quality"] = str(e), e.rows
+            report["quality_error"], done = str(e), e.rows
             status = 0 if a.no_gate else 1
+        if step in ("ingest", "land"):
+            report[step] = [asdict(r) for r in done]
+        elif step in ("silver", "test"):
+            report[step] = done
     print(json.dumps(report, default=str))
     return status
 

@@ -73,12 +73,13 @@ def expression_failures(df: DataFrame, expression: str, where: str | None = None
 
 
 def relationships_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                           hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                           hot_key_rows: int = HOT_KEY_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Child rows whose non-NULL key has no parent row (a key shared by a
-    large share of child rows is split across tasks)."""
+    large share of child rows is split across tasks). ``hot``: keys to split,
+    known beforehand; without it they are counted in a pass of its own."""
     parent_keys = parent.select(F.col(parent_column).alias(column)).distinct()
     return skew_safe_join(child.filter(F.col(column).isNotNull()), parent_keys, column, "left_anti",
-                          hot_key_rows)
+                          hot_key_rows, hot)
 
 
 # ── suite ───────────────────────────────────────────────────────────────────

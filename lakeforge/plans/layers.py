@@ -6,8 +6,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from lakeforge.operators.joins import HOT_KEY_ROWS, heavy_hitters, hot_keys_from
 from lakeforge.operators.clean import clean_listings, clean_reviews
 from lakeforge.operators.staging import stg_listings, stg_reviews
 from lakeforge.plans import fixtures as FX
@@ -28,6 +29,7 @@ class FixtureLayers:
     # (as the pipeline does) and read back, for callers that scan them more
     # than once (hot-key counts, several marts); the others stay lazy.
     materialize: tuple[str, ...] = ()
+    hot_key_rows: int = HOT_KEY_ROWS
 
     @cached_property
     def bronze_listings(self) -> DataFrame:
@@ -55,12 +57,22 @@ class FixtureLayers:
         """All requested staging tables, written concurrently on first use."""
         from lakeforge.plans.pipeline import run_concurrently
         from lakeforge.sources.tables import materialize
+        heavy = Observation("heavy_listings")
         lazy = {"stg_listings": lambda: stg_listings(self.silver_listings),
-                "stg_reviews": lambda: stg_reviews(self.silver_reviews)}
+                "stg_reviews": lambda: stg_reviews(self.silver_reviews).observe(heavy, heavy_hitters("listing_id").alias("keys"))}
         names = [n for n in lazy if n in self.materialize]
         dfs = run_concurrently(*[(lambda n=n: materialize(lazy[n](), path=f"{self._stage_root}/{n}"))
                                  for n in names])
-        return dict(zip(names, dfs))
+        written = dict(zip(names, dfs))
+        if "stg_reviews" in written:
+            written["hot_listings"] = hot_keys_from(written["stg_reviews"], "listing_id", heavy.get["keys"], self.hot_key_rows)
+        return written
+
+    @property
+    def hot_listings(self) -> DataFrame | None:
+        """Listings with very many reviews, observed while staged reviews were
+        written; None where they are not written."""
+        return self._written["hot_listings"] if "stg_reviews" in self.materialize else None
 
     @cached_property
     def stg_listings(self) -> DataFrame:
@@ -84,4 +96,5 @@ class FixtureLayers:
 
     @cached_property
     def mart_review_trends(self) -> DataFrame:
-        return marts.review_trends(self.stg_listings, self.stg_reviews, self.min_year, run_ts=self.run_ts)
+        return marts.review_trends(self.stg_listings, self.stg_reviews, self.min_year, run_ts=self.run_ts,
+                                   hot_key_rows=self.hot_key_rows, hot=self.hot_listings)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions import (days_between, host_tier, month_start, pct_of, price_tier,
                                  round_half_up, stable_avg)
+from lakeforge.functions.sketches import SKETCH_K, merge_sketches, quantile_sketch, sketch_quantile
 from lakeforge.functions.labels import HOST_TIER_ELITE_RATING, HOST_TIER_EXPERIENCED_RATING, PRICE_TIERS
 from lakeforge.operators.clean import load_stamp
 from lakeforge.operators.joins import HOT_KEY_ROWS, skew_safe_join
@@ -28,13 +29,41 @@ MEDIAN_ACCURACY = 10_000
 
 def median_expr(col: str, mode: str = "approx", accuracy: int = MEDIAN_ACCURACY):
     """Median per group: ``approx`` keeps a bounded-size sketch per group
-    (memory independent of group size); ``exact`` is the lower median
+    (memory independent of group size); ``sketch`` does so with one that can be
+    stored and merged (:func:`price_sketches`); ``exact`` is the lower median
     (``percentile_disc``), whose buffer grows with distinct values."""
+    if mode == "sketch":
+        return sketch_quantile(quantile_sketch(col))
     if mode == "approx":
         return F.percentile_approx(F.col(col), 0.5, accuracy)
     if mode == "exact":
         return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {col})")
-    raise ValueError(f"median mode must be 'approx' or 'exact', not {mode!r}")
+    raise ValueError(f"median mode must be 'approx', 'sketch' or 'exact', not {mode!r}")
+
+
+def price_sketches(listings: DataFrame, group_by: Sequence[str] = ("city", "room_type"), value: str = "price",
+                   k: int = SKETCH_K) -> DataFrame:
+    """A mergeable sketch of ``value`` per group, as a table to keep: any coarser
+    grouping's quantiles come from it (:func:`coarser_sketches`)."""
+    return listings.groupBy(*group_by).agg(F.count(value).alias("n"), quantile_sketch(value, k).alias("sketch"))
+
+
+def coarser_sketches(sketches: DataFrame, group_by: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """Sketches of fewer keys, merged from :func:`price_sketches`."""
+    return sketches.groupBy(*group_by).agg(F.sum("n").alias("n"), merge_sketches("sketch", k).alias("sketch"))
+
+
+def with_rank(estimates: DataFrame, rows: DataFrame, keys: Sequence[str], value: str, estimate: str) -> DataFrame:
+    """``estimates`` (one row per group) with the exact shares of the group's
+    non-NULL values below, and at or below, the estimate: ``share_below`` and
+    ``share_upto``. NULL is a group value."""
+    e = estimates.select(*[F.col(k).alias(f"e_{k}") for k in keys], F.col(estimate).alias("e_value"))
+    same = [F.col(k).eqNullSafe(F.col(f"e_{k}")) for k in keys]
+    n = F.nullif(F.count(value), F.lit(0).cast("bigint")).cast("double")
+    shares = rows.select(*keys, value).join(e, same).groupBy(*[f"e_{k}" for k in keys]).agg(
+        (F.count_if(F.col(value) < F.col("e_value")) / n).alias("share_below"),
+        (F.count_if(F.col(value) <= F.col("e_value")) / n).alias("share_upto"))
+    return estimates.join(shares, same, "left").drop(*[f"e_{k}" for k in keys])
 
 
 def city_pricing(listings: DataFrame, group_by: Sequence[str] = ("city", "room_type"),
@@ -49,9 +78,9 @@ def city_pricing(listings: DataFrame, group_by: Sequence[str] = ("city", "room_t
         round_half_up(F.min("price"), 2).alias("min_price"),
         round_half_up(F.max("price"), 2).alias("max_price"),
         round_half_up(F.stddev_samp("price"), 2).alias("stddev_price"),
-        stable_avg("bedrooms", 1, scale=0).alias("avg_bedrooms"),
-        stable_avg("accommodates", 1, scale=0).alias("avg_accommodates"),
-        stable_avg("amenity_count", 1, scale=0).alias("avg_amenities"),
+        stable_avg("bedrooms", 1, whole=True).alias("avg_bedrooms"),
+        stable_avg("accommodates", 1, whole=True).alias("avg_accommodates"),
+        stable_avg("amenity_count", 1, whole=True).alias("avg_amenities"),
         stable_avg("review_scores_rating", 2).alias("avg_rating"),
         stable_avg("review_scores_cleanliness", 2).alias("avg_cleanliness"),
         stable_avg("review_scores_location", 2).alias("avg_location_score"),
@@ -99,7 +128,7 @@ def host_performance(listings: DataFrame, reviews: DataFrame, host_keys: Sequenc
         stable_avg("review_scores_rating", 2).alias("avg_rating"),
         stable_avg("review_scores_communication", 2).alias("avg_communication_score"),
         F.sum(reviews_or_zero).alias("total_reviews_received"),
-        stable_avg(reviews_or_zero, 1, scale=0).alias("avg_reviews_per_listing"),
+        stable_avg(reviews_or_zero, 1, whole=True).alias("avg_reviews_per_listing"),
         days_between(F.min("first_review_date"), F.max("last_review_date")).alias("active_days"),
     )
     return stats.withColumns({
@@ -109,15 +138,16 @@ def host_performance(listings: DataFrame, reviews: DataFrame, host_keys: Sequenc
 
 
 def monthly_reviews(listings: DataFrame, reviews: DataFrame, min_year: int = REVIEW_YEAR_FLOOR,
-                    hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                    hot_key_rows: int = HOT_KEY_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Reviews joined N:1 to their listing, counted per (year, month, city,
     room type). The join splits listings with more than ``hot_key_rows``
-    reviews across tasks; the two exact distinct counts share one Expand."""
+    reviews across tasks (``hot``: those listings, known beforehand, so that reviews
+    are scanned once); the two exact distinct counts share one Expand."""
     r = reviews.filter(F.col("review_year") >= F.lit(min_year)).select(
         "review_id", "listing_id", "reviewer_id", "review_year", "review_month")
     l = listings.select("listing_id", "city", "room_type", "review_scores_rating",
                         "review_scores_cleanliness", "review_scores_value", "price")
-    joined = skew_safe_join(r, l, "listing_id", "inner", hot_key_rows)
+    joined = skew_safe_join(r, l, "listing_id", "inner", hot_key_rows, hot)
     return joined.groupBy("review_year", "review_month", "city", "room_type").agg(
         F.count("review_id").alias("review_count"),
         F.countDistinct("listing_id").alias("active_listings"),
@@ -130,10 +160,10 @@ def monthly_reviews(listings: DataFrame, reviews: DataFrame, min_year: int = REV
 
 
 def review_trends(listings: DataFrame, reviews: DataFrame, min_year: int = REVIEW_YEAR_FLOOR,
-                  run_ts=None, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                  run_ts=None, hot_key_rows: int = HOT_KEY_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Monthly review trend per (city, room type) with the previous present
     month's count and the growth against it."""
-    monthly = monthly_reviews(listings, reviews, min_year, hot_key_rows)
+    monthly = monthly_reviews(listings, reviews, min_year, hot_key_rows, hot)
     monthly = monthly.withColumn("month_start_date", month_start("review_year", "review_month"))
     trended = lag_growth(monthly, "review_count", ["city", "room_type"], ["review_year", "review_month"],
                          prev_name="prev_month_reviews", growth_name="review_growth_pct")

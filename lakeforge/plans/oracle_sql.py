@@ -97,7 +97,18 @@ def exact_sum(x: str, scale: int) -> str:
             f"AS BIGINT)) AS DOUBLE) / CAST({p} AS DOUBLE))")
 
 
-def avg2(x: str, digits: int, scale: int = 2) -> str:
+def exact_avg(x: str, digits: int) -> str:
+    """The exact mean of doubles, rounded once half away from zero: each value as a
+    128-bit whole number of 2**-72 (a scaling by a power of two, so exact)."""
+    total = f"SUM(CAST(trunc(CAST({x} AS DOUBLE) * 4722366482869645213696.0::DOUBLE) AS HUGEINT))::HUGEINT"
+    p, n = 10 ** digits, f"NULLIF(COUNT({x}), 0)::HUGEINT"
+    size = f"((2 * abs({total}) * {p} + {n} * 4722366482869645213696) // (2 * {n} * 4722366482869645213696))"
+    return f"(sign({total}) * CAST({size} AS DOUBLE) / CAST({p} AS DOUBLE) + CAST(0 AS DOUBLE))"
+
+
+def avg2(x: str, digits: int, scale: int | None = None) -> str:
+    if scale is None:
+        return exact_avg(x, digits)
     return rhu(f"({exact_sum(x, scale)} / NULLIF(COUNT({x}), 0))", digits)
 
 

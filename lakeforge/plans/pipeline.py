@@ -3,7 +3,9 @@ tables -> staging tables -> gold marts -> quality gate.
 
 Plain sequential calls; every layer is written to shared storage, which also
 cuts lineage between layers (a lost executor recomputes from the last
-written layer, not from the CSV).
+written layer, not from the CSV). Each step (``STEPS``) also runs on its own, with
+nothing but the root: it reads the layer that the step before wrote, and the
+ledger tells it what there is.
 """
 
 from __future__ import annotations
@@ -20,14 +22,17 @@ from pyspark.sql import types as T
 
 from lakeforge import schemas as S
 from lakeforge.operators.clean import clean_listings, clean_reviews
+from lakeforge.operators.joins import heavy_hitters, hot_keys_from
 from lakeforge.operators.quality import QualityError, assert_suite, default_suite, run_suite
 from lakeforge.operators.staging import stg_listings, stg_reviews
-from lakeforge.plans import marts
+from lakeforge.plans import ledger, marts
 from lakeforge.session import shared_root
 from lakeforge.sources.bronze import read_bronze
 from lakeforge.sources.csv import read_csv_records
-from lakeforge.sources.tables import create_namespace, read_table, write_table
+from lakeforge.sources.csv_split import read_csv_split
+from lakeforge.sources.tables import create_namespace, list_catalog, read_table, write_table
 from lakeforge.sources.topics import PublishResult, publish_records
+from lakeforge.streaming.flush import CountedLanding
 from lakeforge.streaming.ingest import StreamRun, land_topics
 
 R = TypeVar("R")
@@ -62,6 +67,13 @@ class PipelineConfig:
     cities: Sequence[str] = tuple(S.ACCEPTED_CITIES)
     room_types: Sequence[str] = tuple(S.ACCEPTED_ROOM_TYPES)
     fail_on_quality: bool = True
+    # Read CSV files as byte ranges, columns by each file's header, and send
+    # records that can't be read to the topics' errors. Else: one task a file,
+    # columns by position, no errors.
+    dead_letters: bool = False
+    # Land one bronze file for every so many records (log folder only); None: files
+    # as the micro-batches fall, of at most ``S.BRONZE_FILE_RECORDS`` records.
+    flush_records: int | None = None
     # When set, layers are also registered in the session catalog (created
     # with their folders under ``root``), so SQL can name them, e.g.
     # ``SELECT ... FROM gold.mart_city_pricing``.
@@ -78,17 +90,20 @@ class PipelineConfig:
 
 
 def _write_layer(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, layer: str, name: str,
-                 partition_by=(), sort_by=()) -> DataFrame:
-    """Write one layer table to its folder (and catalog name, if configured)
-    and return the scan of what was written, with the types it had."""
+                 partition_by=(), sort_by=(), **observed) -> tuple[DataFrame, dict]:
+    """Write one layer table to its folder (and catalog name, if configured); the
+    scan of what was written, with the types it had, and what was observed in the
+    write: ``rows`` and the aggregates given."""
     ns = cfg.silver_namespace if layer in ("silver", "staging") else cfg.gold_namespace
     path = cfg.path(layer, name)
+    obs = Observation(f"write_{layer}_{name}_{uuid.uuid4().hex[:8]}")
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in observed.items()])
     if ns:
         create_namespace(spark, ns, location=cfg.path(f"{ns}.db"))
         write_table(df, name=f"{ns}.{name}", path=path, partition_by=partition_by, sort_by=sort_by)
-        return _blank_city(read_table(spark, name=f"{ns}.{name}"), partition_by)
+        return _blank_city(read_table(spark, name=f"{ns}.{name}"), partition_by), obs.get
     write_table(df, path=path, partition_by=partition_by, sort_by=sort_by)
-    return _blank_city(read_table(spark, path=path, schema=df.schema), partition_by)
+    return _blank_city(read_table(spark, path=path, schema=df.schema), partition_by), obs.get
 
 
 def _blank_city(df: DataFrame, partition_by: Sequence[str] = ("city",)) -> DataFrame:
@@ -108,13 +123,17 @@ class PipelineResult:
 
 
 def ingest(spark: SparkSession, cfg: PipelineConfig) -> list[PublishResult]:
-    """CSV files -> keyed messages on the two topics (published concurrently)."""
+    """CSV files -> keyed messages on the two topics (published concurrently; with
+    dead letters one after the other, as both write into the log's root)."""
     def publish(csv_path: str, topic: str) -> PublishResult:
-        records = read_csv_records(spark, csv_path)
+        records = read_csv_split(spark, csv_path, keep_errors=True) if cfg.dead_letters else read_csv_records(spark, csv_path)
         return publish_records(records, topic, _key_for(topic, cfg), cfg.path("topics"), cfg.kafka_servers)
 
     sources = [(p, t) for p, t in ((cfg.listings_csv, cfg.listings_topic), (cfg.reviews_csv, cfg.reviews_topic)) if p]
-    return run_concurrently(*[(lambda p=p, t=t: publish(p, t)) for p, t in sources])
+    jobs = [(lambda p=p, t=t: publish(p, t)) for p, t in sources]
+    published = [j() for j in jobs] if cfg.dead_letters else run_concurrently(*jobs)
+    ledger.record(spark, cfg.root, "ingest", [x for r in published for x in (("topic", r.topic, r.sent), ("errors", r.topic, r.errors))])
+    return published
 
 
 def _key_for(topic: str, cfg: PipelineConfig) -> str:
@@ -122,12 +141,22 @@ def _key_for(topic: str, cfg: PipelineConfig) -> str:
 
 
 def land(spark: SparkSession, cfg: PipelineConfig) -> list[StreamRun]:
-    """Land every topic this run publishes (Kafka: both topics)."""
+    """Land the topics of this run, or those that the ledger says were published
+    (Kafka: both topics)."""
     topics = [t for t, src in ((cfg.listings_topic, cfg.listings_csv), (cfg.reviews_topic, cfg.reviews_csv))
               if src or cfg.kafka_servers]
-    return land_topics(spark, topics, cfg.path("bronze"),
-                       cfg.path("_checkpoints", "bronze"), log_path=cfg.path("topics"),
-                       kafka_servers=cfg.kafka_servers)
+    if not topics:
+        known = {r["entity"] for r in ledger.entries(spark, cfg.root).where("layer = 'topic'").select("entity").distinct().collect()}
+        topics = [t for t in (cfg.listings_topic, cfg.reviews_topic) if t in known]
+    checkpoints = cfg.path("_checkpoints", "bronze")
+    if cfg.flush_records and not cfg.kafka_servers:
+        landings = [CountedLanding(spark, t, cfg.path("topics"), cfg.path("bronze"), checkpoints, cfg.flush_records) for t in topics]
+        flushes = run_concurrently(*[x.drain for x in landings])
+        landed = [StreamRun(x.topic, n, x.landed_rows()) for x, n in zip(landings, flushes)]
+    else:
+        landed = land_topics(spark, topics, cfg.path("bronze"), checkpoints, log_path=cfg.path("topics"), kafka_servers=cfg.kafka_servers)
+    ledger.record(spark, cfg.root, "land", [("landed", r.topic, r.input_rows) for r in landed])
+    return landed
 
 
 def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
@@ -139,52 +168,116 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
     )
 
     def clean_one(name, topic, cols, cleaner, parts) -> dict[str, int]:
-        raw_obs, clean_obs = Observation(f"raw_{name}"), Observation(f"clean_{name}")
+        raw_obs = Observation(f"raw_{name}")
         raw = read_bronze(spark, cfg.path("bronze", topic), cols).observe(raw_obs, F.count(F.lit(1)).alias("n"))
-        silver = cleaner(raw, run_ts=cfg.run_ts).observe(clean_obs, F.count(F.lit(1)).alias("n"))
-        _write_layer(spark, cfg, silver, "silver", name, partition_by=parts)
-        return {f"bronze_{name}": int(raw_obs.get["n"]), f"silver_{name}": int(clean_obs.get["n"])}
+        _, seen = _write_layer(spark, cfg, cleaner(raw, run_ts=cfg.run_ts), "silver", name, partition_by=parts)
+        return {f"bronze_{name}": int(raw_obs.get["n"]), f"silver_{name}": int(seen["rows"])}
 
     counts: dict[str, int] = {}
     for c in run_concurrently(*[(lambda spec=spec: clean_one(*spec)) for spec in specs]):
         counts.update(c)
+    ledger.record(spark, cfg.root, "silver", [(*k.split("_", 1), n) for k, n in counts.items()])
     return counts
 
 
-def silver_table(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
-    """A silver table as written: partition columns keep their type and blanks."""
-    if cfg.silver_namespace:
-        df = read_table(spark, name=f"{cfg.silver_namespace}.{name}")
+def layer_table(spark: SparkSession, cfg: PipelineConfig, layer: str, name: str) -> DataFrame:
+    """A table of a layer as written: partition columns keep their type and blanks."""
+    ns = cfg.silver_namespace if layer in ("silver", "staging") else cfg.gold_namespace
+    if ns:
+        df = read_table(spark, name=f"{ns}.{name}")
     else:
-        path = cfg.path("silver", name)
+        path = cfg.path(layer, name)
         found = read_table(spark, path=path).schema
         # folder names such as city=007 would be read as numbers
         typed = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "city" else f for f in found])
         df = read_table(spark, path=path, schema=typed)
-    return _blank_city(df) if name == "listings" else df
+    return _blank_city(df) if name in ("listings", "mart_city_pricing") else df
 
 
-def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
-    """Staging tables, then the three marts (city pricing partitioned by
-    city), each written once and read back."""
-    l, r = run_concurrently(
-        lambda: _write_layer(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging",
-                             "stg_listings"),
-        lambda: _write_layer(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging",
-                             "stg_reviews"))
+def silver_table(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
+    return layer_table(spark, cfg, "silver", name)
+
+
+def silver_to_staging(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
+    """Both staging tables, and the listings with very many reviews, observed as
+    the reviews are written."""
+    (l, l_seen), (r, r_seen) = run_concurrently(
+        lambda: _write_layer(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging", "stg_listings"),
+        lambda: _write_layer(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging", "stg_reviews",
+                             heavy=heavy_hitters("listing_id")))
+    hot = hot_keys_from(r, "listing_id", r_seen["heavy"])
+    hot.coalesce(1).write.mode("overwrite").parquet(cfg.path("staging", "hot_listings"))
+    ledger.record(spark, cfg.root, "staging", [("staging", "listings", l_seen["rows"]), ("staging", "reviews", r_seen["rows"])])
+    return {"stg_listings": l, "stg_reviews": r}
+
+
+def mart_order(name: str) -> list:
+    """Order of rows in a mart's files."""
+    return {
+        "mart_city_pricing": ["city", "room_type"],
+        "mart_host_performance": [F.col("total_reviews_received").desc(), F.col("host_id")],
+        "mart_review_trends": ["city", "review_year", "review_month"],
+    }[name]
+
+
+def staging_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
+    """The three marts (city pricing partitioned by city) from the written staging
+    tables, each written once and read back."""
+    l, r = layer_table(spark, cfg, "staging", "stg_listings"), layer_table(spark, cfg, "staging", "stg_reviews")
+    hot = spark.read.parquet(cfg.path("staging", "hot_listings"))
     built = {
-        "mart_city_pricing": (marts.city_pricing(l, median=cfg.median, run_ts=cfg.run_ts), ["city"],
-                              ["city", "room_type"]),
-        "mart_host_performance": (marts.host_performance(l, r, run_ts=cfg.run_ts), [],
-                                  [F.col("total_reviews_received").desc(), "host_id"]),
-        "mart_review_trends": (marts.review_trends(l, r, cfg.min_year, run_ts=cfg.run_ts), [],
-                               ["city", "review_year", "review_month"]),
+        "mart_city_pricing": (marts.city_pricing(l, median=cfg.median, run_ts=cfg.run_ts), ["city"]),
+        "mart_host_performance": (marts.host_performance(l, r, run_ts=cfg.run_ts), []),
+        "mart_review_trends": (marts.review_trends(l, r, cfg.min_year, run_ts=cfg.run_ts, hot=hot), []),
     }
     written = run_concurrently(*[
-        (lambda name=name, df=df, parts=parts, order=order:
-         _write_layer(spark, cfg, df, "gold", name, partition_by=parts, sort_by=order))
-        for name, (df, parts, order) in built.items()])
-    return {"stg_listings": l, "stg_reviews": r, **dict(zip(built, written))}
+        (lambda name=name, df=df, parts=parts: _write_layer(spark, cfg, df, "gold", name, partition_by=parts, sort_by=mart_order(name)))
+        for name, (df, parts) in built.items()])
+    ledger.record(spark, cfg.root, "gold", [("gold", name, seen["rows"]) for name, (_, seen) in zip(built, written)])
+    return {name: df for name, (df, _) in zip(built, written)}
+
+
+def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
+    """Staging tables, then the three marts."""
+    staged = silver_to_staging(spark, cfg)
+    return {**staged, **staging_to_gold(spark, cfg)}
+
+
+def check_quality(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
+    """The quality suite over the written staging tables and marts; raises
+    :class:`QualityError` if a check fails."""
+    tables = {n: layer_table(spark, cfg, "staging", n) for n in ("stg_listings", "stg_reviews")}
+    tables |= {n: layer_table(spark, cfg, "gold", n) for n in ("mart_city_pricing", "mart_host_performance", "mart_review_trends")}
+    rows: list[dict] = []
+    try:
+        rows = assert_suite(run_suite(tables, default_suite(cfg.cities, cfg.room_types)))
+        return rows
+    except QualityError as e:
+        rows = e.rows
+        raise
+    finally:
+        ledger.record(spark, cfg.root, "test", [("quality", "failed_checks", sum(r["failures"] > 0 for r in rows))] if rows else [])
+
+
+#: The steps, in order; each takes (spark, cfg) and needs only what those before wrote.
+STEPS: dict[str, Callable[[SparkSession, PipelineConfig], object]] = {
+    "ingest": ingest, "land": land, "silver": bronze_to_silver, "staging": silver_to_staging, "gold": staging_to_gold, "test": check_quality,
+}
+
+
+def catalog(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """(layer, table_name, listed, row_count): the silver and gold tables that the
+    ledger knows, and whether ``SHOW NAMESPACES`` lists their namespace and ``SHOW
+    TABLES`` lists them; tables listed that the ledger doesn't know have no count."""
+    known = ledger.latest(spark, cfg.root).where("layer in ('silver', 'gold')").select("layer", F.col("entity").alias("table_name"), "row_count")
+    spaces = list_catalog(spark).select("namespace")
+    listed = None
+    for layer, ns in (("silver", cfg.silver_namespace), ("gold", cfg.gold_namespace)):
+        shown = list_catalog(spark, ns).where("not isTemporary and not startswith(tableName, 'stg_')")
+        part = shown.join(spaces, "namespace", "left_semi").select(F.lit(layer).alias("layer"), F.col("tableName").alias("table_name"), F.lit(True).alias("listed"))
+        listed = part if listed is None else listed.unionByName(part)
+    return known.join(listed, ["layer", "table_name"], "full_outer").select(
+        "layer", "table_name", F.coalesce("listed", F.lit(False)).alias("listed"), "row_count")
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
@@ -192,10 +285,9 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     res.published = ingest(spark, cfg)
     res.landed = land(spark, cfg)
     res.counts = bronze_to_silver(spark, cfg)
-    tables = silver_to_gold(spark, cfg)
-    summary = run_suite(tables, default_suite(cfg.cities, cfg.room_types))
+    silver_to_gold(spark, cfg)
     try:
-        res.quality = assert_suite(summary)
+        res.quality = check_quality(spark, cfg)
     except QualityError as e:
         res.quality_error, res.quality = str(e), e.rows
         if cfg.fail_on_quality:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,16 +12,21 @@ from lakeforge import schemas as S
 from lakeforge.operators import quality as Q
 from lakeforge.operators.clean import REVIEW_DEDUP_ORDER, review_projection
 from lakeforge.operators.dedup import dedup_by_key
-from lakeforge.plans import bi, marts
+from lakeforge.plans import bi, ledger, marts
 from lakeforge.plans import fixtures as FX
 from lakeforge.plans import oracle_sql as O
 from lakeforge.plans.layers import RUN_TS, FixtureLayers
-from lakeforge.plans.pipeline import PipelineConfig, ingest, land, new_run_root, run_concurrently, run_pipeline
+from lakeforge.plans.pipeline import (STEPS, PipelineConfig, bronze_to_silver, catalog, ingest, land, mart_order, new_run_root, run_concurrently,
+                                      run_pipeline, silver_to_staging)
 from lakeforge.plans.registry import register
 from lakeforge.sources import tables as TB
 from lakeforge.sources.bronze import read_bronze
 from lakeforge.sources.csv import read_csv_records, write_csv_records
-from lakeforge.sources.topics import ingest_counts, parse_messages, read_topic_log, to_topic_messages
+from lakeforge.sources.csv_split import read_csv_split
+from lakeforge.streaming.compact import compact, live_files, read_live
+from lakeforge.streaming.flush import CountedLanding
+from lakeforge.streaming.ingest import land_topics
+from lakeforge.sources.topics import ingest_accounting, ingest_counts, parse_messages, read_topic_log, to_topic_messages
 
 NO_TS = ("ingested_at", "updated_at")
 
@@ -29,8 +36,8 @@ def _layers(spark: SparkSession, sf_dir: str, **kw) -> FixtureLayers:
 
 
 def _gold(spark: SparkSession, sf_dir: str, **kw) -> FixtureLayers:
-    """Layers for the review-trend marts: staged reviews are written once,
-    since the skew-safe join scans them twice (hot-key count, join)."""
+    """Layers for the review-trend marts: staged reviews are written once, which
+    also finds the listings whose reviews the joins split over tasks."""
     return FixtureLayers(spark, sf_dir, materialize=("stg_reviews",), **kw)
 
 
@@ -39,6 +46,11 @@ def _gold_all(spark: SparkSession, sf_dir: str, **kw) -> FixtureLayers:
     return FixtureLayers(spark, sf_dir, materialize=("stg_listings", "stg_reviews"), **kw)
 
 
+def _gold_listings(spark: SparkSession, sf_dir: str, **kw) -> FixtureLayers:
+    """Layers whose staged listings are written once."""
+    return FixtureLayers(spark, sf_dir, materialize=("stg_listings",), **kw)
+
+
 def _drop_ts(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in NO_TS if c in df.columns])
 
@@ -80,6 +92,13 @@ def q_mart_review_trends(spark, sf_dir):
     return _drop_ts(_gold(spark, sf_dir).mart_review_trends)
 
 
+@register("trends_split_keys", O.over_marts("SELECT * FROM mart_review_trends"))
+def q_trends_split_keys(spark, sf_dir):
+    """The trends mart where a listing of more than 20 reviews is a hot key: its
+    join takes the salted path."""
+    return _drop_ts(_gold(spark, sf_dir, hot_key_rows=20).mart_review_trends)
+
+
 # ── scalar functions on raw records ─────────────────────────────────────────
 
 
@@ -198,7 +217,7 @@ def q_review_counts(spark, sf_dir):
     "FROM monthly_reviews"))
 def q_multi_distinct(spark, sf_dir):
     lay = _gold(spark, sf_dir)
-    return marts.monthly_reviews(lay.stg_listings, lay.stg_reviews, lay.min_year).select(
+    return marts.monthly_reviews(lay.stg_listings, lay.stg_reviews, lay.min_year, hot=lay.hot_listings).select(
         "review_year", "review_month", "city", "room_type", "review_count", "active_listings", "unique_reviewers")
 
 
@@ -207,9 +226,53 @@ def q_median_exact(spark, sf_dir):
     return _layers(spark, sf_dir, median="exact").mart_city_pricing.select("city", "room_type", "median_price")
 
 
-@register("median_approx")
+@register("median_approx", O.with_(O.ctes("stg_listings"), """
+SELECT 'room' AS level, city, room_type, COUNT(*) AS n, true AS approx_within, true AS sketch_within, true AS merge_within FROM stg_listings GROUP BY city, room_type
+UNION ALL SELECT 'city', city, NULL, COUNT(*), true, true, true FROM stg_listings GROUP BY city
+UNION ALL SELECT 'all', NULL, NULL, COUNT(*), true, true, true FROM stg_listings"""))
 def q_median_approx(spark, sf_dir):
-    return _layers(spark, sf_dir, median="approx").mart_city_pricing.select("city", "room_type", "median_price")
+    """The approximate medians against exact ranks, per room type, city and overall:
+    the mart's ``percentile_approx``, a sketch of the group's rows, and the sketch
+    merged from the stored ones per city and room type. True: the value's exact
+    rank is within the stated error."""
+    staged = _gold_listings(spark, sf_dir).stg_listings.select("city", "room_type", "price", F.lit("all").alias("everything"))
+    path = new_run_root(spark, "queries") + "/gold/price_sketches"
+    stored = TB.materialize(marts.price_sketches(staged, ("everything", "city", "room_type")), path=path)
+    bounds = {"approx": 1 / marts.MEDIAN_ACCURACY, "sketch": 2 * LF.rank_error(), "merge": 2 * LF.rank_error()}
+    out = None
+    for level, keys in (("room", ["city", "room_type"]), ("city", ["city"]), ("all", ["everything"])):
+        merged = marts.coarser_sketches(stored, keys).select(*[F.col(k).alias(f"m_{k}") for k in keys], LF.sketch_quantile("sketch").alias("merge"), LF.sketch_rows("sketch").alias("merged_rows"))
+        direct = staged.groupBy(*keys).agg(F.count("price").alias("n"), marts.median_expr("price", "approx").alias("approx"), marts.median_expr("price", "sketch").alias("sketch"))
+        found = direct.join(merged, [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys]).where(F.col("merged_rows") == F.col("n"))
+        for name, error in bounds.items():
+            found = marts.with_rank(found, staged, keys, "price", name)
+            # an observed value holds all ranks from below it to it; one row's share is the least step
+            slack = F.lit(error) + 1 / F.col("n")
+            found = found.withColumn(f"{name}_within", (F.col("share_below") <= 0.5 + slack) & (F.col("share_upto") >= 0.5 - slack)).drop("share_below", "share_upto")
+        rows = found.select(F.lit(level).alias("level"), *[F.col(c) if c in keys else F.lit(None).cast("string").alias(c) for c in ("city", "room_type")], "n", *[f"{b}_within" for b in bounds])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("exact_averages", O.with_(O.ctes("stg_listings", extra={"sevenths": """
+SELECT city, room_type, host_id, price / 7 AS x, CASE WHEN host_id % 2 = 0 THEN -price / 3 ELSE price / 7 END AS signed,
+  price / 7000000 AS small FROM stg_listings"""}), "\nUNION ALL\n".join(
+    f"SELECT '{level}' AS level, {key} AS key, COUNT(*) AS n, {O.exact_avg('x', 2)} AS avg_x, {O.exact_avg('x', 0)} AS avg_x_whole, "
+    f"{O.exact_avg('signed', 2)} AS avg_signed, {O.exact_avg('small', 4)} AS avg_small FROM sevenths GROUP BY ALL"
+    for level, key in (("city", "city"), ("room", "room_type"), ("host", "CAST(host_id AS VARCHAR)"), ("all", "'all'")))))
+def q_exact_averages(spark, sf_dir):
+    """Averages of values without a short decimal form, of both signs, at four
+    levels of grouping."""
+    price = F.col("price")
+    base = _layers(spark, sf_dir).stg_listings.select(
+        "city", "room_type", F.col("host_id").cast("string").alias("host"), F.lit("all").alias("all"), (price / 7).alias("x"),
+        F.when(F.col("host_id") % 2 == 0, -price / 3).otherwise(price / 7).alias("signed"), (price / 7000000).alias("small"))
+    keyed = base.select("x", "signed", "small", F.explode(F.create_map(
+        *[c for level, col in (("city", "city"), ("room", "room_type"), ("host", "host"), ("all", "all"))
+          for c in (F.lit(level), F.col(col))])).alias("level", "key"))
+    return keyed.groupBy("level", "key").agg(
+        F.count(F.lit(1)).alias("n"), LF.stable_avg("x", 2).alias("avg_x"), LF.stable_avg("x", 0).alias("avg_x_whole"),
+        LF.stable_avg("signed", 2).alias("avg_signed"), LF.stable_avg("small", 4).alias("avg_small"))
 
 
 @register("conditional_pct", O.over_marts(
@@ -331,6 +394,49 @@ def q_csv_scan(spark, sf_dir):
     return read_csv_records(spark, cfg.listings_csv)
 
 
+#: A listing's name in the split fixture: quotes, separators, newlines (one line
+#: empty, one that looks like a record), non-ASCII text.
+_SPLIT_NAME = {0: '"{}",\n\nsecond, "quoted"\n1,2,3\n', 1: "{}\r\n\u00e9\u4e16, ", 2: "{}"}
+
+
+def _split_fixture(spark, sf_dir):
+    b = FX.bronze_listings(spark, sf_dir)
+    kind, name = F.col("listing_id").cast("bigint") % 5, F.col("name")
+    texts = [F.concat(F.lit(t.split("{}")[0]), name, F.lit(t.split("{}")[1])) for t in _SPLIT_NAME.values()]
+    return b.withColumn("name", F.when(kind == 0, texts[0]).when(kind == 1, texts[1]).otherwise(texts[2]))
+
+
+@register("csv_split_scan", O.with_(_bl(), """SELECT * REPLACE (CASE CAST(listing_id AS BIGINT) % 5
+  WHEN 0 THEN '"' || name || '",' || chr(10) || chr(10) || 'second, "quoted"' || chr(10) || '1,2,3' || chr(10)
+  WHEN 1 THEN name || chr(13) || chr(10) || chr(233) || chr(19990) || ', ' ELSE name END AS name) FROM bronze_listings"""))
+def q_csv_split_scan(spark, sf_dir):
+    """Files in two column orders, with newlines inside quotes, read as byte ranges."""
+    root = new_run_root(spark, "queries")
+    rows, even = _split_fixture(spark, sf_dir), F.col("listing_id").cast("bigint") % 2 == 0
+    write_csv_records(rows.where(even), f"{root}/csv/a")
+    write_csv_records(rows.where(~even).select(*reversed(rows.columns)), f"{root}/csv/b")
+    return read_csv_split(spark, [f"{root}/csv/a", f"{root}/csv/b"], S.BRONZE_LISTING_COLUMNS)
+
+
+@register("dead_letters", O.with_(O.ctes("bronze_reviews"), f"""
+SELECT '{S.REVIEWS_TOPIC}' AS topic, CAST(count_if(k NOT IN (0, 1, 2)) AS BIGINT) AS sent_records, CAST(count_if(k IN (0, 1, 2)) AS BIGINT) AS error_records,
+  CAST(count_if(k IN (0, 1)) AS BIGINT) AS short_records, CAST(count_if(k = 2) AS BIGINT) AS long_records, CAST(0 AS BIGINT) AS quotes_records, CAST(0 AS BIGINT) AS utf8_records,
+  CAST(0 AS BIGINT) AS unknown_keys, COUNT(*) AS records
+FROM (SELECT CAST(review_id AS BIGINT) % 11 AS k FROM bronze_reviews)"""))
+def q_dead_letters(spark, sf_dir):
+    """Review lines of which some lack fields and some have too many: published in
+    one pass with the errors apart, then counted from the log."""
+    cfg = PipelineConfig(root=new_run_root(spark, "queries"), dead_letters=True)
+    cfg.reviews_csv = cfg.path("csv/reviews")
+    b, k = FX.bronze_reviews(spark, sf_dir), F.col("review_id").cast("bigint") % 11
+    line = F.when(k == 0, F.col("listing_id")).when(k == 1, F.concat_ws(",", "listing_id", "review_id", "date")).when(
+        k == 2, F.concat_ws(",", *b.columns, F.lit("more"))).otherwise(F.concat_ws(",", *b.columns))
+    # lines as they are, under the header's line
+    (b.select(line.alias(",".join(b.columns))).write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(cfg.reviews_csv))
+    ingest(spark, cfg)
+    return ingest_accounting(read_topic_log(spark, cfg.path("topics")))
+
+
 @register("to_topic_messages", O.with_(_bl(), _LISTING_MSG))
 def q_to_topic_messages(spark, sf_dir):
     return to_topic_messages(FX.bronze_listings(spark, sf_dir), S.LISTINGS_TOPIC, "listing_id")
@@ -396,16 +502,59 @@ UNION ALL SELECT 'bronze', 'reviews', COUNT(*) FROM bronze_reviews
 UNION ALL SELECT 'silver', 'reviews', COUNT(*) FROM silver_reviews
 UNION ALL SELECT 'staging', 'reviews', COUNT(*) FROM stg_reviews"""))
 def q_layer_counts(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
-    parts = [("bronze", "listings", lay.bronze_listings), ("silver", "listings", lay.silver_listings),
-             ("staging", "listings", lay.stg_listings), ("bronze", "reviews", lay.bronze_reviews),
-             ("silver", "reviews", lay.silver_reviews), ("staging", "reviews", lay.stg_reviews)]
-    out = None
-    for layer, entity, df in parts:
-        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"), F.lit(entity).alias("entity"), "row_count")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Rows per layer, observed while the layers are written from bronze on, as the
+    run's ledger keeps them: no layer is read for its count."""
+    cfg = PipelineConfig(root=new_run_root(spark, "queries"), run_ts=RUN_TS)
+    run_concurrently(lambda: FX.bronze_listings(spark, sf_dir).write.json(cfg.path("bronze", cfg.listings_topic)),
+                     lambda: FX.bronze_reviews(spark, sf_dir).write.json(cfg.path("bronze", cfg.reviews_topic)))
+    bronze_to_silver(spark, cfg)
+    silver_to_staging(spark, cfg)
+    return ledger.latest(spark, cfg.root).where("layer in ('bronze', 'silver', 'staging')")
+
+
+#: Records of a flush in the fixture's counted landing.
+FLUSH = 250
+
+
+@register("flush_batches", O.with_(_bl(), f"""SELECT CAST(i AS BIGINT) AS flush, CAST(least({FLUSH}, n - i * {FLUSH}) AS BIGINT) AS records
+FROM (SELECT COUNT(*) AS n FROM bronze_listings), LATERAL (SELECT unnest(range((n + {FLUSH - 1}) // {FLUSH})) AS i)"""))
+def q_flush_batches(spark, sf_dir):
+    """Listings landed by record count, some log files at a time, and landed again
+    (which adds nothing): records per flush, none over the limit, only the last
+    under it."""
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("listings",))
+    ingest(spark, cfg)
+    landing = CountedLanding(spark, cfg.listings_topic, cfg.path("topics"), cfg.path("bronze"), cfg.path("_checkpoints"), FLUSH)
+    landing.drain(files_per_trigger=3)
+    landing.drain()
+    return landing.flushes()
+
+
+@register("flushed_bronze", O.with_(_bl(), "SELECT * FROM bronze_listings"))
+def q_flushed_bronze(spark, sf_dir):
+    """The records that a landing by record count leaves in bronze."""
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("listings",), flush_records=FLUSH)
+    ingest(spark, cfg)
+    land(spark, cfg)
+    return read_bronze(spark, cfg.path("bronze", cfg.listings_topic), S.BRONZE_LISTING_COLUMNS).select(S.BRONZE_LISTING_COLUMNS)
+
+
+@register("bronze_compaction", O.with_(_bl(), "SELECT *, true AS landed_today, true AS fewer_files FROM bronze_listings"))
+def q_bronze_compaction(spark, sf_dir):
+    """Landed in small files, compacted, and read by the manifest: the same rows,
+    the UTC date of landing in year, month and day, and fewer files."""
+    cfg = _fixture_csv_run(spark, sf_dir, entities=("listings",))
+    ingest(spark, cfg)
+    path, manifest = cfg.path("bronze", cfg.listings_topic), cfg.path("manifests", cfg.listings_topic)
+    dates = [dt.datetime.now(dt.timezone.utc).date()]
+    land_topics(spark, [cfg.listings_topic], cfg.path("bronze"), cfg.path("_checkpoints"), log_path=cfg.path("topics"), records_per_file=FLUSH)
+    dates.append(dt.datetime.now(dt.timezone.utc).date())
+    before = live_files(spark, path, manifest).count()
+    compact(spark, path, manifest, closed_before=str(dates[-1] + dt.timedelta(days=1)), target_bytes=1 << 20)
+    after = live_files(spark, path, manifest).count()
+    rows = read_live(spark, path, manifest, S.BRONZE_LISTING_COLUMNS)
+    today = F.concat_ws("-", "year", "month", "day").isin([d.isoformat() for d in dates])
+    return rows.select(*S.BRONZE_LISTING_COLUMNS, today.alias("landed_today"), F.lit(after < before).alias("fewer_files"))
 
 
 # ── table sinks and scans ───────────────────────────────────────────────────
@@ -443,18 +592,20 @@ def q_silver_sample(spark, sf_dir):
     return _layers(spark, sf_dir).silver_listings.select(*_SAMPLE_COLS).orderBy("listing_id").limit(5)
 
 
-@register("catalog_listing", "SELECT 'listings' AS tableName, false AS isTemporary "
-                             "UNION ALL SELECT 'reviews', false")
+@register("catalog_listing", O.over_marts("\nUNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, true AS listed, COUNT(*) AS row_count FROM {cte}"
+    for layer, name, cte in (("silver", "listings", "silver_listings"), ("silver", "reviews", "silver_reviews"),
+                             ("gold", "mart_city_pricing", "mart_city_pricing"), ("gold", "mart_host_performance", "mart_host_performance"),
+                             ("gold", "mart_review_trends", "mart_review_trends")))))
 def q_catalog_listing(spark, sf_dir):
-    """Silver tables written into a fresh namespace, then ``SHOW TABLES``
-    (the per-run namespace name is dropped from the output)."""
-    lay = _layers(spark, sf_dir)
-    root = new_run_root(spark, "queries")
-    ns = "lf_" + root.rsplit("/", 1)[-1] + "_silver"
-    TB.create_namespace(spark, ns, location=f"{root}/{ns}.db")
-    TB.write_table(lay.silver_listings, name=f"{ns}.listings", partition_by=["city"])
-    TB.write_table(lay.silver_reviews, name=f"{ns}.reviews", partition_by=["review_year", "review_month"])
-    return TB.list_catalog(spark, ns).select("tableName", "isTemporary")
+    """Steps run one by one into fresh namespaces; the tables that the ledger knows,
+    with their rows, against ``SHOW NAMESPACES`` and ``SHOW TABLES``."""
+    cfg = _fixture_csv_run(spark, sf_dir)
+    tag = "lf_" + cfg.root.rsplit("/", 1)[-1]
+    cfg.silver_namespace, cfg.gold_namespace = f"{tag}_silver", f"{tag}_gold"
+    for step in ("ingest", "land", "silver", "staging", "gold"):
+        STEPS[step](spark, cfg)
+    return catalog(spark, cfg)
 
 
 _T1, _T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
@@ -499,6 +650,21 @@ def q_schema_evolution_union(spark, sf_dir):
     return TB.read_table(spark, path=path, merge_schema=True)
 
 
+@register("mart_ordering", O.over_marts("\nUNION ALL ".join(
+    f"SELECT '{m}' AS mart, COUNT(*) AS row_count, true AS files_in_order FROM {m}"
+    for m in ("mart_city_pricing", "mart_host_performance", "mart_review_trends"))))
+def q_mart_ordering(spark, sf_dir):
+    """The marts written in their order; whether every file's rows follow it."""
+    lay, root, out = _gold_all(spark, sf_dir), new_run_root(spark, "queries"), None
+    for mart, parts in (("mart_city_pricing", ["city"]), ("mart_host_performance", []), ("mart_review_trends", [])):
+        df, path = getattr(lay, mart), f"{root}/gold/{mart}"
+        TB.write_table(df, path=path, partition_by=parts, sort_by=mart_order(mart))
+        files = TB.file_order(spark, path, mart_order(mart), schema=df.schema)
+        row = files.agg(F.sum("rows").alias("row_count"), (F.sum("violations") == 0).alias("files_in_order")).select(F.lit(mart).alias("mart"), "row_count", "files_in_order")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ── data quality ────────────────────────────────────────────────────────────
 @register("dq_unique", O.with_(O.ctes("bronze_reviews"), """SELECT review_id, COUNT(*) AS n_records
 FROM bronze_reviews WHERE review_id IS NOT NULL GROUP BY review_id HAVING COUNT(*) > 1"""))
@@ -536,8 +702,8 @@ def q_dq_expression(spark, sf_dir):
 @register("dq_relationships", O.with_(O.ctes("stg_listings", "stg_reviews"), """SELECT r.* FROM stg_reviews r
 WHERE r.listing_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_listings l WHERE l.listing_id = r.listing_id)"""))
 def q_dq_relationships(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
-    return Q.relationships_failures(lay.stg_reviews, "listing_id", lay.stg_listings, "listing_id")
+    lay = _gold(spark, sf_dir)
+    return Q.relationships_failures(lay.stg_reviews, "listing_id", lay.stg_listings, "listing_id", hot=lay.hot_listings)
 
 
 def _dq_summary_sql() -> str:
@@ -594,6 +760,24 @@ def q_dq_summary(spark, sf_dir):
                        Q.default_suite(FX.FIXTURE_CITIES, FX.FIXTURE_ROOM_TYPES))
 
 
+@register("pipeline_steps", O.over_marts("SELECT * FROM mart_host_performance"))
+def q_pipeline_steps(spark, sf_dir):
+    """Every step on its own, each knowing nothing but the root (the first one also
+    the CSV files); returns a mart as written."""
+    first = _fixture_csv_run(spark, sf_dir, dead_letters=True)
+    STEPS["ingest"](spark, first)
+    for step in ("land", "silver", "staging", "gold", "test"):
+        cfg = PipelineConfig(root=first.root, run_ts=RUN_TS, min_year=FX.FIXTURE_YEAR_FLOOR, median="exact",
+                             cities=FX.FIXTURE_CITIES, room_types=FX.FIXTURE_ROOM_TYPES)
+        try:
+            STEPS[step](spark, cfg)
+        except Q.QualityError:  # the fixture has orphan reviews on purpose
+            assert step == "test"
+    failed = ledger.entries(spark, first.root).where("layer = 'quality'").count()
+    assert failed == 1, "the quality step left no entry"
+    return _drop_ts(TB.read_table(spark, path=first.path("gold", "mart_host_performance")))
+
+
 # ── end to end ──────────────────────────────────────────────────────────────
 @register("pipeline_end_to_end", O.over_marts("SELECT * FROM mart_review_trends"))
 def q_pipeline_end_to_end(spark, sf_dir):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,10 @@ def _prepare(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str],
         # AQE splits a value that holds a large share of the rows.
         df = df.hint("rebalance", *partition_by)
     if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
+        # the writer wants rows by partition value; unless the order begins with
+        # that, it sorts once more, by the value alone, and the order is lost
+        lead = [c for c in partition_by if c not in [s for s in sort_by if isinstance(s, str)][:len(partition_by)]]
+        df = df.sortWithinPartitions(*lead, *sort_by)
     return df
 
 
@@ -95,6 +98,18 @@ def list_catalog(spark: SparkSession, namespace: str | None = None) -> DataFrame
     return spark.sql("SHOW NAMESPACES")
 
 
+def file_order(spark: SparkSession, path: str, sort_by: Sequence[str | Column], schema: T.StructType | None = None) -> DataFrame:
+    """(file, rows, violations) of a Parquet table's written files: how often a row's
+    place in its file is not after that of a row that ``sort_by`` puts before it."""
+    rows = read_table(spark, path=path, schema=schema)
+    placed = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    by = [F.col(c) if isinstance(c, str) else c for c in sort_by]
+    ranked = placed.withColumn("__rank", F.dense_rank().over(Window.partitionBy("__file").orderBy(*by)))
+    before = F.lag("__rank").over(Window.partitionBy("__file").orderBy("__at"))
+    return ranked.withColumn("__before", before).groupBy(F.col("__file").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__before") > F.col("__rank")).alias("violations"))
+
+
 def as_of(history: DataFrame, keys: Sequence[str], version_column: str, timestamp) -> DataFrame:
     """Snapshot of an append-only history table as it was at ``timestamp``:
     per key, the newest version stamped at or before it."""

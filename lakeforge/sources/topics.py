@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge import schemas as S
+from lakeforge.sources.csv_split import ERROR, RECORD
 
 UNKNOWN_KEY = "unknown"
+#: Records that could not be read go to a topic of this suffix.
+ERRORS = ".errors"
 
 
 def message_key(df: DataFrame, key_field: str):
@@ -31,11 +34,26 @@ def to_topic_messages(df: DataFrame, topic: str, key_field: str) -> DataFrame:
     return df.select(F.lit(topic).alias("topic"), message_key(df, key_field).alias("key"), value.alias("value"))
 
 
+def with_dead_letters(df: DataFrame, topic: str, key_field: str) -> DataFrame:
+    """Like :func:`to_topic_messages`, for records with the columns that
+    ``read_csv_split(keep_errors=True)`` adds: a record with an error becomes a
+    message of the topic's errors, keyed by the kind, with the record's text."""
+    bad = F.col(ERROR).isNotNull()
+    fields = [c for c in df.columns if c not in (ERROR, RECORD)]
+    keep = {"ignoreNullFields": "false"}
+    value = F.to_json(F.struct(*fields), keep)
+    letter = F.to_json(F.struct(F.col(ERROR).alias("error"), F.col(RECORD).alias("record")), keep)
+    return df.select(F.when(bad, topic + ERRORS).otherwise(topic).alias("topic"),
+                     F.when(bad, F.col(ERROR)).otherwise(message_key(df, key_field)).alias("key"),
+                     F.when(bad, letter).otherwise(value).alias("value"))
+
+
 @dataclass
 class PublishResult:
     topic: str
     sent: int
     unknown_keys: int
+    errors: int = 0
 
 
 def write_topic_log(messages: DataFrame, path: str | None = None, mode: str = "append",
@@ -66,16 +84,21 @@ def write_topic_log(messages: DataFrame, path: str | None = None, mode: str = "a
 def publish_records(df: DataFrame, topic: str, key_field: str, path: str | None = None,
                     kafka_servers: str | None = None, key_partitions: int | None = None) -> PublishResult:
     """Records -> messages -> log in one pass, counting sent messages and
-    unknown keys with an observation (no second scan). The counts are
+    unknown keys with an observation (no second scan). Records that carry an error
+    (``read_csv_split(keep_errors=True)``) are counted apart and go to the topic's
+    errors in the same pass; such publishers share the log's commit folder, so run
+    them one after the other. The counts are
     reporting only: a stage that Spark re-executes after a lost executor
     may be counted again; ``ingest_counts`` gives exact counts from the log."""
     obs = Observation(f"publish_{topic}")
-    msgs = to_topic_messages(df, topic, key_field).observe(
-        obs, F.count(F.lit(1)).alias("sent"),
-        F.count_if(F.col("key") == F.lit(UNKNOWN_KEY)).alias("unknown_keys"))
-    write_topic_log(msgs, path, key_partitions=key_partitions, kafka_servers=kafka_servers, topic=topic)
+    split = ERROR in df.columns
+    messages = with_dead_letters(df, topic, key_field) if split else to_topic_messages(df, topic, key_field)
+    sent = F.col("topic") == F.lit(topic)
+    messages = messages.observe(obs, F.count_if(sent).alias("sent"), F.count_if(~sent).alias("errors"),
+                                F.count_if(sent & (F.col("key") == F.lit(UNKNOWN_KEY))).alias("unknown_keys"))
+    write_topic_log(messages, path, key_partitions=key_partitions, kafka_servers=kafka_servers, topic=None if split else topic)
     m = obs.get
-    return PublishResult(topic, int(m["sent"]), int(m["unknown_keys"]))
+    return PublishResult(topic, int(m["sent"]), int(m["unknown_keys"]), int(m["errors"]))
 
 
 def read_topic_log(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
@@ -95,3 +118,14 @@ def ingest_counts(messages: DataFrame) -> DataFrame:
     return messages.groupBy("topic").agg(
         F.count(F.lit(1)).alias("sent_records"),
         F.count_if(F.col("key") == F.lit(UNKNOWN_KEY)).alias("unknown_keys"))
+
+
+def ingest_accounting(messages: DataFrame) -> DataFrame:
+    """Per topic the records sent, those that went to its errors, by kind, and both
+    together."""
+    bad = F.endswith("topic", F.lit(ERRORS))
+    base = F.when(bad, F.substring("topic", F.lit(1), F.char_length("topic") - len(ERRORS))).otherwise(F.col("topic"))
+    kinds = [F.count_if(bad & (F.col("key") == kind)).alias(f"{kind}_records") for kind in ("short", "long", "quotes", "utf8")]
+    return messages.groupBy(base.alias("topic")).agg(
+        F.count_if(~bad).alias("sent_records"), F.count_if(bad).alias("error_records"), *kinds,
+        F.count_if(~bad & (F.col("key") == F.lit(UNKNOWN_KEY))).alias("unknown_keys"), F.count(F.lit(1)).alias("records"))

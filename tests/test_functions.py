@@ -91,6 +91,36 @@ def test_stable_avg_is_order_independent(spark):
     assert ra == rb == 20.72
 
 
+def test_exact_avg_keeps_every_decimal(spark):
+    avg = lambda vals, d: spark.createDataFrame([(v,) for v in vals], "x double").agg(LF.stable_avg("x", d)).first()[0]
+    # inputs cut to two decimals would give 0.01
+    assert avg([0.005, 0.005, 0.004, 0.004], 2) == 0.0
+    assert avg([1e15, 0.125, -1e15], 2) == 0.04 and avg([2.5], 0) == 3.0 and avg([-2.5], 0) == -3.0 and avg([-0.001], 2) == 0.0
+    assert avg([0.285], 2) == 0.28 and avg([0.125], 2) == 0.13 and avg([-0.125, -0.125], 2) == -0.13
+    # tiny bits decide a tie
+    assert avg([0.5, 0.5 + 2**-40], 0) == 1.0 and avg([0.5, 0.5 - 2**-40], 0) == 0.0
+    assert avg([float("nan"), 1.0], 2) is None and avg([2.0**63, 1.0], 2) is None
+
+
+def test_exact_avg_has_one_sum_a_unit(spark):
+    df = spark.range(5).select((F.col("id") / 7).alias("x"), (F.col("id") % 2).alias("g")).groupBy("g").agg(LF.stable_avg("x", 2).alias("a"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_sum") == 4 and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_sketches_merge(spark):
+    df = spark.range(40_000).select((F.col("id") % 7).alias("part"), F.col("id").cast("double").alias("x"))
+    whole = df.agg(LF.quantile_sketch("x").alias("s")).select(LF.sketch_quantile("s", 0.3).alias("q"), LF.sketch_rank("s", F.lit(12000.0)).alias("r"), LF.sketch_rows("s").alias("n")).first()
+    parts = df.groupBy("part").agg(LF.quantile_sketch("x").alias("s"))
+    merged = parts.agg(LF.merge_sketches("s").alias("s")).select(LF.sketch_quantile("s", 0.3).alias("q"), LF.sketch_rank("s", F.lit(12000.0)).alias("r"), LF.sketch_rows("s").alias("n")).first()
+    for got in (whole, merged):
+        assert got["n"] == 40_000
+        assert abs(got["q"] / 40_000 - 0.3) < 2 * LF.rank_error() and abs(got["r"] - 0.3) < 2 * LF.rank_error()
+    nothing = spark.createDataFrame([(None,)], "x double").agg(LF.quantile_sketch("x").alias("s"))
+    assert nothing.first()["s"] is None and nothing.select(LF.sketch_quantile("s")).first()[0] is None
+    assert nothing.agg(LF.merge_sketches("s")).first()[0] is None
+
+
 def test_stable_avg_nulls(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert df.agg(LF.stable_avg("x", 2)).first()[0] is None

@@ -1,5 +1,7 @@
 """Property tests: operators against a brute-force Python model on random input."""
 
+import math
+from fractions import Fraction
 from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -53,10 +55,30 @@ def test_stable_avg_matches_exact_decimal(spark, cents):
         return
     exact = sum(present) / len(present)
     want = half_up(exact, 2)
-    # The division is one IEEE operation on exact operands; only an average
-    # within 1e-9 of a rounding boundary may land on the other side.
+    # the mean of the binary values lies within 1e-9 of the decimal one, so only an
+    # average that near to a rounding boundary may land on the other side
     frac = (exact * 100) % 1
     if abs(frac - Decimal("0.5")) > Decimal("1e-9"):
         assert got == want
     else:
         assert abs(got - want) <= 0.010000001
+
+
+def exact_half_up(values, digits):
+    mean = sum(Fraction(v) for v in values) / len(values)
+    size = math.floor(abs(mean) * 10 ** digits + Fraction(1, 2))
+    return (-size if mean < 0 else size) / 10 ** digits + 0.0
+
+
+REAL = st.one_of(st.floats(-1e6, 1e6, allow_nan=False), st.integers(-2000, 2000).map(lambda i: i / 8), st.integers(-10**6, 10**6).map(lambda i: i / 1000),
+                 st.floats(1e12, 1e15)).map(lambda x: x if x == 0 or abs(x) >= 2.0**-20 else 0.0)
+
+
+@SETTINGS
+@given(st.lists(st.lists(REAL, min_size=1, max_size=12), min_size=1, max_size=60))
+def test_exact_avg_is_the_rounded_mean_of_the_binary_values(spark, groups):
+    rows = [(g, v) for g, values in enumerate(groups) for v in values]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(3)
+    got = df.groupBy("g").agg(*[LF.stable_avg("x", d).alias(f"d{d}") for d in range(4)]).collect()
+    for r in got:
+        assert [r[f"d{d}"] for d in range(4)] == [exact_half_up(groups[r["g"]], d) for d in range(4)]
