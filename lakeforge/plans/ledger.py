@@ -1,13 +1,16 @@
 """Run ledger: what each pipeline step wrote, and how many rows.
 
-An append-only table of a few rows per step under the pipeline's root. Counts are
-observed while a layer is written, so nothing is read again for them. Steps that
-run on their own find in it what earlier ones left.
+A few JSON lines per step in files of their own under the pipeline's root, each
+named when it is whole. Counts are observed while a layer is written, so nothing
+is read again for them. Steps that run on their own find in it what earlier ones
+left.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,23 +20,41 @@ SCHEMA = "step string, layer string, entity string, row_count bigint, recorded_a
 FOLDER = "_ledger"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _place(spark, path)
+    return fs.exists(place)
+
+
+def put_lines(spark: SparkSession, folder: str, rows: Iterable[dict]) -> None:
+    """Write a few rows as one JSON-lines file of the folder, without a Spark job."""
+    name = uuid.uuid4().hex[:16]
+    fs, staged = _place(spark, f"{folder}/.{name}")
+    out = fs.create(staged)
+    try:
+        out.write(bytearray("".join(json.dumps(r) + "\n" for r in rows).encode()))
+    finally:
+        out.close()
+    if not fs.rename(staged, _place(spark, f"{folder}/{name}.json")[1]):
+        raise OSError(f"could not name {folder}/{name}.json")
 
 
 def record(spark: SparkSession, root: str, step: str, counts: Iterable[tuple[str, str, int]]) -> None:
     """Append (layer, entity, rows) of a step."""
-    now = dt.datetime.now(dt.timezone.utc)
-    rows = [(step, layer, entity, int(n), now) for layer, entity, n in counts]
+    now = dt.datetime.now(dt.timezone.utc).isoformat()
+    rows = [{"step": step, "layer": layer, "entity": entity, "row_count": int(n), "recorded_at": now} for layer, entity, n in counts]
     if rows:
-        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{FOLDER}")
+        put_lines(spark, f"{root}/{FOLDER}", rows)
 
 
 def entries(spark: SparkSession, root: str) -> DataFrame:
     """All entries of a root; none before the first step."""
     path = f"{root}/{FOLDER}"
-    return spark.read.schema(SCHEMA).parquet(path) if _exists(spark, path) else spark.createDataFrame([], SCHEMA)
+    return spark.read.schema(SCHEMA).json(path) if exists(spark, path) else spark.createDataFrame([], SCHEMA)
 
 
 def latest(spark: SparkSession, root: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lakeforge import schemas as S
 from lakeforge.operators.clean import clean_listings, clean_reviews
-from lakeforge.operators.joins import heavy_hitters, hot_keys_from
+from lakeforge.operators.joins import HOT_KEY_ROWS, heavy_hitters, hot_keys_from
 from lakeforge.operators.quality import QualityError, assert_suite, default_suite, run_suite
 from lakeforge.operators.staging import stg_listings, stg_reviews
 from lakeforge.plans import ledger, marts
@@ -199,16 +199,27 @@ def silver_table(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFra
 
 
 def silver_to_staging(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
-    """Both staging tables, and the listings with very many reviews, observed as
-    the reviews are written."""
+    """Both staging tables, and the listings with very many reviews
+    (``hot_listings``), observed as the reviews are written."""
     (l, l_seen), (r, r_seen) = run_concurrently(
         lambda: _write_layer(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging", "stg_listings"),
         lambda: _write_layer(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging", "stg_reviews",
                              heavy=heavy_hitters("listing_id")))
-    hot = hot_keys_from(r, "listing_id", r_seen["heavy"])
-    hot.coalesce(1).write.mode("overwrite").parquet(cfg.path("staging", "hot_listings"))
+    heavy = [{"item": h["item"], "count": h["count"]} for h in r_seen["heavy"] or [] if h["count"] > HOT_KEY_ROWS]
+    ledger.put_lines(spark, cfg.path("staging", "_heavy_listings", uuid.uuid4().hex[:16]), [{"heavy": heavy}])
     ledger.record(spark, cfg.root, "staging", [("staging", "listings", l_seen["rows"]), ("staging", "reviews", r_seen["rows"])])
-    return {"stg_listings": l, "stg_reviews": r}
+    return {"stg_listings": l, "stg_reviews": r, "hot_listings": hot_keys_from(r, "listing_id", heavy)}
+
+
+def _hot_listings(spark: SparkSession, cfg: PipelineConfig, reviews: DataFrame) -> DataFrame:
+    """What earlier runs of the staging step observed; a few keys at most."""
+    found: dict[int, int] = {}
+    path = cfg.path("staging", "_heavy_listings")
+    if ledger.exists(spark, path):
+        rows = spark.read.schema("heavy array<struct<item: bigint, count: bigint>>").option("recursiveFileLookup", "true").json(path)
+        for h in rows.select(F.inline("heavy")).collect():
+            found[h["item"]] = max(h["count"], found.get(h["item"], 0))
+    return hot_keys_from(reviews, "listing_id", [{"item": k, "count": n} for k, n in found.items()])
 
 
 def mart_order(name: str) -> list:
@@ -220,11 +231,14 @@ def mart_order(name: str) -> list:
     }[name]
 
 
-def staging_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
+def staging_to_gold(spark: SparkSession, cfg: PipelineConfig, staged: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The three marts (city pricing partitioned by city) from the written staging
-    tables, each written once and read back."""
-    l, r = layer_table(spark, cfg, "staging", "stg_listings"), layer_table(spark, cfg, "staging", "stg_reviews")
-    hot = spark.read.parquet(cfg.path("staging", "hot_listings"))
+    tables, each written once and read back. ``staged``: what
+    :func:`silver_to_staging` returned, in the same run."""
+    if staged is None:
+        staged = {n: layer_table(spark, cfg, "staging", n) for n in ("stg_listings", "stg_reviews")}
+        staged["hot_listings"] = _hot_listings(spark, cfg, staged["stg_reviews"])
+    l, r, hot = staged["stg_listings"], staged["stg_reviews"], staged["hot_listings"]
     built = {
         "mart_city_pricing": (marts.city_pricing(l, median=cfg.median, run_ts=cfg.run_ts), ["city"]),
         "mart_host_performance": (marts.host_performance(l, r, run_ts=cfg.run_ts), []),
@@ -240,14 +254,16 @@ def staging_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataF
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
     """Staging tables, then the three marts."""
     staged = silver_to_staging(spark, cfg)
-    return {**staged, **staging_to_gold(spark, cfg)}
+    return {**staged, **staging_to_gold(spark, cfg, staged)}
 
 
-def check_quality(spark: SparkSession, cfg: PipelineConfig) -> list[dict]:
-    """The quality suite over the written staging tables and marts; raises
+def check_quality(spark: SparkSession, cfg: PipelineConfig, tables: dict[str, DataFrame] | None = None) -> list[dict]:
+    """The quality suite over the written staging tables and marts (``tables``:
+    what :func:`silver_to_gold` returned, in the same run); raises
     :class:`QualityError` if a check fails."""
-    tables = {n: layer_table(spark, cfg, "staging", n) for n in ("stg_listings", "stg_reviews")}
-    tables |= {n: layer_table(spark, cfg, "gold", n) for n in ("mart_city_pricing", "mart_host_performance", "mart_review_trends")}
+    if tables is None:
+        tables = {n: layer_table(spark, cfg, "staging", n) for n in ("stg_listings", "stg_reviews")}
+        tables |= {n: layer_table(spark, cfg, "gold", n) for n in ("mart_city_pricing", "mart_host_performance", "mart_review_trends")}
     rows: list[dict] = []
     try:
         rows = assert_suite(run_suite(tables, default_suite(cfg.cities, cfg.room_types)))
@@ -285,9 +301,9 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
     res.published = ingest(spark, cfg)
     res.landed = land(spark, cfg)
     res.counts = bronze_to_silver(spark, cfg)
-    silver_to_gold(spark, cfg)
+    tables = silver_to_gold(spark, cfg)
     try:
-        res.quality = check_quality(spark, cfg)
+        res.quality = check_quality(spark, cfg, tables)
     except QualityError as e:
         res.quality_error, res.quality = str(e), e.rows
         if cfg.fail_on_quality:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeforge import schemas as S
+from lakeforge.plans.ledger import exists
 from lakeforge.streaming.ingest import LOG_VALUE_SCHEMA, with_ingest_date
 
 STATE = "micro bigint, next_flush bigint, left_over bigint"
@@ -45,7 +46,7 @@ class CountedLanding:
 
     def _state(self) -> tuple[int, int, int]:
         """The latest (micro, next flush, rows left over); micro -1 before any."""
-        if not _exists(self.spark, f"{self.side}/state"):
+        if not exists(self.spark, f"{self.side}/state"):
             return -1, 0, 0
         r = self.spark.read.schema(STATE).parquet(f"{self.side}/state").orderBy(F.desc("micro")).first()
         return (r["micro"], r["next_flush"], r["left_over"]) if r else (-1, 0, 0)
@@ -117,7 +118,3 @@ class CountedLanding:
         rows = self.spark.read.schema("value string, micro string, year string, month string, day string, flush string").text(self.bronze)
         return rows.groupBy(F.col("flush").cast("bigint").alias("flush")).agg(F.count(F.lit(1)).alias("records"))
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
