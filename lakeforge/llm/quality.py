@@ -67,7 +67,7 @@ def feature_rows(texts: list[str | None]) -> np.ndarray:
         b, starts, ends = words.spans(raw)
         of = owners[np.searchsorted(bounds, starts, side="right")]
         edges = np.concatenate(([0], bounds - 1))
-        np.add.at(size, owners, np.diff(edges))
+        np.add.at(size, owners, np.diff(np.concatenate(([0], bounds))) - 1)
         per_word = {}
         for name, table in _TABLES.items():
             running = np.zeros(len(b) + 1, dtype=np.int32)
@@ -97,7 +97,8 @@ def feature_rows(texts: list[str | None]) -> np.ndarray:
     count = np.bincount(owner, minlength=n)
     some = np.maximum(count, 1)
     per = lambda values: np.bincount(owner, weights=values, minlength=n) / some
-    salt = words.mix(np.arange(1, n + 1).astype(np.uint64))
+    # not of small numbers, which the hashes of one-letter words are
+    salt = words.mix(np.arange(1, n + 1).astype(np.uint64) * np.uint64(words.SEEDS[1][0]))
     distinct = lambda keys, of: np.bincount(of[np.unique(keys, return_index=True)[1]], minlength=n)
     order = np.argsort(h ^ salt[owner])
     key = (h ^ salt[owner])[order]
@@ -149,10 +150,15 @@ class Model:
     cut: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip(x @ self.weights - self.threshold, -30, 30) + np.log(self.cut / (1 - self.cut))
+        z = np.clip(raw_scores(x, self.weights) - self.threshold, -30, 30) + np.log(self.cut / (1 - self.cut))
         return 1 / (1 + np.exp(-z))
 
 
+def raw_scores(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """w . x of each row, the same whatever rows are beside it."""
+    return (x * weights).sum(axis=1)
+
+
 def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, penalty: float = 3.0, seed: int = 7) -> np.ndarray | None:
     """Weights from feature rows and labels; None if a label is missing."""
     good, bad = x[y == 1], x[y == 0]
@@ -211,9 +217,32 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, cut: float = 0.7) -> Model:
+def _array(x: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+
+
+def _rows(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, len(FEATURES))
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """(doc_id, x) of every row, written: the only pass over texts. What follows
+    reads and joins these rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, size in words.pieces(batch.column(1)):
+                part = batch.slice(start, size)
+                yield pa.RecordBatch.from_arrays([part.column(0), _array(feature_rows(part.column(1).to_pylist()))], ["doc_id", "x"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return store.save(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, x array<double>"), "features")
+
+
+def train(found: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, cut: float = 0.7) -> Model:
     """Weights from a bounded sample of the labelled documents not held out, the
-    threshold from all of them."""
+    threshold from all of them. ``found``: :func:`features` of the documents. Of
+    rows that repeat an id of the sample, the least features are learned from."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(~held_out(F.col("doc_id")))
     known = store.save(known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").drop("z"), "known")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -223,42 +252,43 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, cut: f
     neutral = Model(np.zeros(len(FEATURES)), np.log(cut / (1 - cut)) - np.log((1 + cut) / (1 - cut)), cut)
     if not sample:
         return neutral
-    chosen = F.broadcast(docs.sparkSession.createDataFrame(sample, "doc_id bigint, y int"))  # at most 2 * per_class rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [x for at in range(0, batch.num_rows, 256) for x in feature_rows(batch.column(2).slice(at, 256).to_pylist()).tolist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "y", "x"])
-
-    found = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "y", "text").mapInArrow(run, "doc_id bigint, y int, x array<double>")
-    rows = sorted(found.collect(), key=lambda r: (r["doc_id"], r["x"]))
+    chosen = F.broadcast(found.sparkSession.createDataFrame(sample, "doc_id bigint, y int"))  # at most 2 * per_class rows
+    rows = sorted(found.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x")).collect(), key=lambda r: r["doc_id"])
     weights = fit(np.asarray([r["x"] for r in rows]).reshape(-1, len(FEATURES)), np.asarray([r["y"] for r in rows]))
     if weights is None:
         return neutral
 
-    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(feature_rows(part.column(1).to_pylist()) @ weights)], ["y", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw_scores(_rows(batch.column(1)), weights))], ["y", "s"])
 
-    scores = store.save(docs.select("doc_id", "text").join(known, "doc_id").select("y", "text").mapInArrow(raw, "y int, s double"), "scores")
+    scores = store.save(found.join(known, "doc_id").select("y", "x").mapInArrow(run, "y int, s double"), "scores")
     return Model(weights, threshold(scores, counts[0], counts[1]), cut)
 
 
-def score(docs: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, also, score) of every row; ``also`` are columns to carry along."""
-    carried = docs.select("doc_id", *also)
+def score(found: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score) of every row of :func:`features`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(_rows(batch.column(1))))], ["doc_id", "score"])
+
+    kind = found.schema["doc_id"].dataType.simpleString()
+    return found.mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """The documents, all columns, with their score: each row's from its own text."""
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                x = feature_rows(part.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(model.score(x))], ["doc_id", *also, "score"])
+            for start, size in words.pieces(batch.column(at)):
+                part = batch.slice(start, size)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(feature_rows(part.column(at).to_pylist())))], [*part.schema.names, name])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema)
-    return docs.select("text", "doc_id", *also).mapInArrow(run, f"{kinds}, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{kinds}, `{name}` double")
 
 
 def crc_held_out(doc_id: int) -> bool:

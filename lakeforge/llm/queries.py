@@ -90,7 +90,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_groups(documents(spark, sf_dir), k=3, percent=85).drop("text_sha256")
+    return minhash.near_groups(documents(spark, sf_dir), k=3, percent=85, distinct_texts=False).drop("text_sha256")
 
 
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,9 +107,9 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    model = quality.train(docs, store.read_table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= model.cut).cast("int").alias("predicted"))
+    found = quality.features(documents(spark, sf_dir))
+    model = quality.train(found, store.read_table(spark, sf_dir, "labels"))
+    return quality.score(found, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= model.cut).cast("int").alias("predicted"))
 
 
 def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 
 SEEDS = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))
 CHUNK = 1 << 19
@@ -104,6 +106,21 @@ def hash_spans(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, families: in
     return out
 
 
+def pieces(texts: pa.Array, most_bytes: int = 1 << 21, most_rows: int = 256) -> Iterator[tuple[int, int]]:
+    """Starts and lengths of stretches of texts that end where they pass a number of
+    bytes or rows, so that memory follows neither the rows of a batch nor their
+    texts' lengths, but for one text."""
+    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)).astype(np.int64)
+    start = held = 0
+    for i, n in enumerate(size.tolist()):
+        held += n
+        if held >= most_bytes or i + 1 - start >= most_rows:
+            yield start, i + 1 - start
+            start, held = i + 1, 0
+    if start < len(size):
+        yield start, len(size) - start
+
+
 def word_hashes(texts: list[str | None], lower: bool = False, families: int = 1) -> tuple[np.ndarray, list[np.ndarray]]:
     """Word counts per text, and per family the hashes of all their words, in
     order. ``lower``: A-Z count as a-z."""

@@ -3,10 +3,12 @@
 import collections
 import hashlib
 import itertools
+import math
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,57 @@ def test_near_groups(spark, docs, empty):
     assert minhash.near_groups(empty).count() == 0
 
 
+def test_parity_maps_bound_the_overlap(spark):
+    rng = np.random.default_rng(12)
+    rows, sizes = [], []
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) > rng.choice([0.0, 0.02, 0.1, 0.5])], rng.integers(0, 1 << 63, int(rng.integers(0, n // 5 + 2))).astype(np.uint64))))
+        if len(b):
+            both = len(np.intersect1d(a, b))
+            rows.append((len(rows), len(a), len(b), minhash.parity_map(a).tolist(), minhash.parity_map(b).tolist()))
+            sizes.append((both, len(a) + len(b) - both))
+    df = spark.createDataFrame(rows, "i int, n bigint, n_y bigint, map array<bigint>, map_y array<bigint>")
+    passed = {r["i"] for r in df.where(minhash.may_reach(80)).collect()}
+    linked = {i for i, (both, all_) in enumerate(sizes) if 100 * both >= 80 * all_}
+    far = {i for i, (both, all_) in enumerate(sizes) if 100 * both < 60 * all_}
+    assert linked <= passed and len(linked) > 50 and len(passed & far) < 0.2 * len(far)
+
+
+def test_last_pass_tests_few_pairs_that_are_no_links(spark, monkeypatch):
+    """Documents that differ from one text in two words each: most pairs are no
+    links, and few of those are read."""
+    rng = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for at in rng.choice(60, 2, replace=False):
+            w[at] = f"c{rng.integers(0, 40)}"
+        rows.append((i, " ".join(w)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tried, test = [], minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda pairs, *rest: tried.append(pairs.count()) or test(pairs, *rest))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(table).collect()}
+    sets = [{tuple(t.split()[k:k + 3]) for k in range(58)} for _, t in rows]
+    parent = list(range(300))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    links = 0
+    for a, b in itertools.combinations(range(300), 2):
+        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            links += 1
+            x, y = sorted((top(a), top(b)))
+            parent[y] = x
+    assert got == {i: top(i) for i in range(300)}
+    assert tried[-1] < 300 and links > 5
+
+
 def test_near_groups_of_repeated_ids(spark):
     one, two, three = (" ".join(f"{c}{i}" for i in range(80)) for c in "pqr")
     near = lambda t: t + " more"
@@ -323,11 +376,76 @@ def test_warc_payloads_of_one_page_id(spark):
 
 def test_quality_edges(spark, docs, empty):
     labels = spark.createDataFrame([(1, None, 0), (5, 1, 0), (5, 1, 0), (11, 0, 0), (99, 0, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
-    model = quality.train(docs, labels)
-    scores = quality.score(docs, model).collect()
-    assert len(scores) == len(EDGE) and all(0 <= r["score"] <= 1 for r in scores)
-    assert quality.score(empty, model).count() == 0
-    assert quality.score(docs, quality.train(docs, labels.where("false"))).where("score < 0.7").count() == 0
+    found = quality.features(docs.union(docs.where("doc_id = 5")))
+    model = quality.train(found, labels)
+    scores = quality.score(found, model).collect()
+    assert len(scores) == len(EDGE) + 1 and all(0 <= r["score"] <= 1 for r in scores)
+    assert quality.score(quality.features(empty), model).count() == 0
+    assert quality.score(found, quality.train(found, labels.where("false"))).where("score < 0.7").count() == 0
+    # a row's score is its own text's, and carries the row's columns
+    beside = quality.with_score(docs, model, "rank").collect()
+    assert beside[0].__fields__ == [*docs.columns, "rank"]
+    assert {(r["doc_id"], r["text"], r["rank"]) for r in beside} == {(r["doc_id"], t, r["score"]) for r in scores for i, t, *_ in EDGE if i == r["doc_id"]}
+
+
+def plain_features(text):
+    """The features by their definitions, one word at a time."""
+    raw = [w.encode() for w in words(text)]
+    if not raw:
+        return [0.0] * len(quality.FEATURES)
+    every = (text or "").encode()
+    share = lambda chars, among: sum(every.count(bytes([c])) for c in chars) / among
+    n, upper, lower = len(raw), range(0x41, 0x5B), range(0x61, 0x7B)
+    count = lambda w, chars: sum(c in chars for c in w)
+    caps = [count(w, upper) >= 2 and not count(w, lower) for w in raw]
+    symbols, bars = [count(w, b"#*$%&<>@^~+=_{}[]\\/") > 0 for w in raw], [b"|" in w for w in raw]
+    again = [k > 0 and w == raw[k - 1] for k, w in enumerate(raw)]
+    lines = [x for x in (WORD.findall(ln) for ln in (text or "").split("\n")) if x]
+    whole = [re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", ln) for ln in (text or "").split("\n")]
+    whole = [ln for ln in whole if ln]
+    mean = sum(map(len, raw)) / n
+    letters = max(1, sum(count(w, upper) + count(w, lower) + count(w, range(0x80, 0x100)) for w in raw))
+    pairs = list(zip(raw, raw[1:]))
+
+    def worst(marks):
+        parts = [marks[k:k + 24] for k in range(0, n, 24)]
+        return max(sum(p) / max(len(p), 12) for p in parts)
+
+    values = [
+        math.log1p(n) / 6, mean / 10, math.sqrt(max(sum(len(w) ** 2 for w in raw) / n - mean**2, 0)) / 6, sum(count(w, upper) for w in raw) / letters, sum(caps) / n,
+        share(range(0x30, 0x3A), len(every)), min(1, 4 * share(b"#*$%&<>@^~+=_{}[]\\/", len(every))), min(1, 4 * share(b"!?", len(every))), sum(bars) / n,
+        min(1, 4 * share(b".,;:'\"()-", len(every))), len(set(raw)) / n, max(collections.Counter(raw).values()) / n, sum(again) / n,
+        len(set(pairs)) / max(1, n - 1), min(1, n / len(lines) / 40), 1 - len(set(whole)) / len(whole), sum(ln[-1] in ".!?" for ln in whole) / len(whole),
+        share(range(0x80, 0x100), len(every)), sum(w[0] in upper for w in raw) / n, worst(caps), worst(symbols), worst(again), worst(bars),
+    ]
+    return [min(2, v) for v in values]
+
+
+def test_features_by_their_definitions(spark):
+    rng = np.random.default_rng(6)
+    pool = ["the", "The", "NASA", "x1", "7", "é", "a|b", "|", "#", "end.", "why?", "no!", "(so)", "\n", "\n\n", " ", "\t", "ÀB", "漢字", "{}", "the"]
+    texts = [t for _, t, *_ in EDGE] + [" ".join(rng.choice(pool, rng.integers(0, 120))) for _ in range(200)]
+    got = quality.feature_rows(texts)
+    for row, text in zip(got, texts, strict=True):
+        want = plain_features(text)
+        assert all(abs(a - b) < 1e-9 for a, b in zip(row, want, strict=True)), [(f, a, b) for f, a, b in zip(quality.FEATURES, row, want, strict=True) if abs(a - b) >= 1e-9]
+    # in pieces, as tasks do
+    parts = [quality.feature_rows(texts[s:s + n]) for s, n in quality.words.pieces(pa.array(texts), most_bytes=500, most_rows=7)]
+    assert np.abs(np.concatenate(parts) - got).max() < 1e-9 and len(parts) > 20
+
+
+def test_fit_against_slow_descent():
+    rng = np.random.default_rng(9)
+    x = rng.random((80, 3))
+    y = (x @ [2.0, -1.0, 0.5] + 0.3 * rng.normal(size=80) > 0.7).astype(int)
+    w = quality.fit(x, y, pairs=400)
+    again = np.random.default_rng(7)
+    good, bad = x[y == 1], x[y == 0]
+    d = good[again.integers(0, len(good), 400)] - bad[again.integers(0, len(bad), 400)]
+    slow = np.zeros(3)
+    for _ in range(20_000):
+        slow += 0.01 * (d.T @ (1 / (1 + np.exp(d @ slow))) - 3.0 * slow)
+    assert np.abs(w - slow).max() < 1e-6
 
 
 def test_quality_threshold_covers_all_labelled_rows(spark):
@@ -335,7 +453,7 @@ def test_quality_threshold_covers_all_labelled_rows(spark):
     rows = [(i, " ".join("WORD!" if rng.random() < (0.3 if i % 3 else 0.6) else f"w{j}" for j in range(rng.integers(20, 60)))) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)], "doc_id bigint, quality int")
-    model = quality.train(docs, labels, per_class=20)
+    model = quality.train(quality.features(docs), labels, per_class=20)
     mine = [i for i in range(600) if not quality.crc_held_out(i)]
     s = np.sort(quality.feature_rows([rows[i][1] for i in mine]) @ model.weights)
     low = sum(i % 3 == 0 for i in mine)
