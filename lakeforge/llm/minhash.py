@@ -22,7 +22,10 @@ Every link is confirmed on the full shingle sets:
    merged; twice.
 4. Of what is left, all members of a key that are in different components are
    compared if the threshold is within reach, by the sizes of their sets, the
-   rare shingles they share and their numbers of frequent ones. No candidate link
+   rare shingles they share, their numbers of frequent ones, and their parity maps.
+   A map has a bit for each value of a hash, flipped by each shingle of that hash;
+   bits that differ between two sets' maps are at most the shingles that only one
+   of them has, so the sets' overlap is bounded exactly. No candidate link
    between different components is left untested, and none is within one.
 
 A set of words is confirmed in streams: a center's set, then its candidates'.
@@ -43,7 +46,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.llm import store, words
@@ -114,14 +117,43 @@ def table_keys(subs: np.ndarray) -> np.ndarray:
     return words.mix((left[:, :, None] + right[:, None, :] + number[None]).reshape(len(subs), -1))
 
 
+def parity_map(shingles: np.ndarray) -> np.ndarray:
+    """The bits that an odd number of shingles hash to, four bits a shingle at
+    least; as numbers of 64 bits, a power of two of them, so that a longer map
+    becomes a shorter one by XOR of its halves."""
+    width = max(64, 1 << int(4 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def _differ(a: str, b: str) -> Column:
+    """Bits that differ between two maps, of which one may be twice as long."""
+
+    def folded(x: str, other: str) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        fold = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > F.size(other), fold).otherwise(F.col(x))
+
+    counts = F.zip_with(folded(a, b), folded(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("bigint"))
+    return F.aggregate(counts, F.lit(0).cast("bigint"), lambda total, c: total + c)
+
+
+def may_reach(percent: int) -> Column:
+    """Whether sets of sizes n, n_y with maps map, map_y can be similar enough: their
+    sizes are, and the overlap is (n + n_y - difference) / 2 at most."""
+    sizes = F.expr(f"100 * least(n, n_y) >= {percent} * greatest(n, n_y)")
+    d, both = _differ("map", "map_y"), F.col("n") + F.col("n_y")
+    return F.when(sizes, 100 * (both - d) >= percent * (both + d)).otherwise(False)
+
+
 def signatures(docs: DataFrame, k: int, side: int) -> DataFrame:
-    """(id, sha, n, f1, f2, subs) of (id, text, sha): set size, its 128-bit
-    fingerprint, sub-keys."""
+    """(id, sha, n, f1, f2, subs, map) of (id, text, sha): set size, its 128-bit
+    fingerprint, sub-keys, parity map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for start, size in words.pieces(batch.column(1)):
+                part = batch.slice(start, size)
                 sets = shingle_sets(part.column(1).to_pylist(), k)
                 n = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
                 f = [np.asarray([np.add.reduce(words.mix(s + np.uint64(c))) for s in sets], dtype=np.uint64) for c in (0x51, 0xA7)]
@@ -130,9 +162,10 @@ def signatures(docs: DataFrame, k: int, side: int) -> DataFrame:
                 if len(some):
                     for i, row in zip(some.tolist(), sub_keys([sets[i] for i in some], side), strict=True):
                         subs[i] = row.tobytes()
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n), pa.array(f[0].view(np.int64)), pa.array(f[1].view(np.int64)), pa.array(subs, pa.binary())], ["id", "sha", "n", "f1", "f2", "subs"])
+                maps = pa.array([parity_map(s) if len(s) else None for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n), pa.array(f[0].view(np.int64)), pa.array(f[1].view(np.int64)), pa.array(subs, pa.binary()), maps], ["id", "sha", "n", "f1", "f2", "subs", "map"])
 
-    return docs.select("id", "text", "sha").mapInArrow(run, "id bigint, sha string, n bigint, f1 bigint, f2 bigint, subs binary")
+    return docs.select("id", "text", "sha").mapInArrow(run, "id bigint, sha string, n bigint, f1 bigint, f2 bigint, subs binary, map array<bigint>")
 
 
 def keyed(nodes: DataFrame) -> DataFrame:
@@ -140,10 +173,11 @@ def keyed(nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                subs = np.stack([np.frombuffer(x, dtype=np.uint64) for x in batch.column(1).to_pylist()])
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                subs = np.stack([np.frombuffer(x, dtype=np.uint64) for x in part.column(1).to_pylist()])
                 found = table_keys(subs)
-                ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), found.shape[1])
+                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), found.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(found.reshape(-1).view(np.int64)), pa.array(ids)], ["key", "id"])
 
     return nodes.select("id", "subs").mapInArrow(run, "key bigint, id bigint")
@@ -162,8 +196,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
         center = np.zeros(0, dtype=np.uint64)
         for batch in batches:
             a, b = [], []
-            for at in range(0, batch.num_rows, 128):
-                ys, _, xs, texts_ = (c.to_pylist() for c in batch.slice(at, 128).columns)
+            for start, size in words.pieces(batch.column(3)):
+                ys, _, xs, texts_ = (c.to_pylist() for c in batch.slice(start, size).columns)
                 for y, x, own in zip(ys, xs, shingle_sets(texts_, k), strict=True):
                     if x is None:
                         center = own
@@ -196,8 +230,8 @@ def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, pe
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for start, size in words.pieces(batch.column(1)):
+                part = batch.slice(start, size)
                 sets = shingle_sets(part.column(1).to_pylist(), k)
                 own, family = (np.repeat(part.column(i).to_numpy(zero_copy_only=False), [len(s) for s in sets]) for i in (0, 2))
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.concatenate(sets).view(np.int64)), pa.array(family)], ["id", "h", "family"])
@@ -206,36 +240,40 @@ def _could_link(open_: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, pe
     counts = store.save(rows.groupBy("h", "family").agg(F.count("*").alias("times")).where("times > 1"), "shared")
     shared = store.save(rows.join(counts, ["h", "family"]), "shared")
     of_each = shared.groupBy("id").agg(F.count("*").alias("shared"), F.count_if(F.col("times") > RARE).alias("frequent"))
-    facts = members.join(nodes.select("id", "n"), F.col("of") == F.col("id")).drop("of").join(of_each, "id")
+    facts = members.join(nodes.select("id", "n", "map"), F.col("of") == F.col("id")).drop("of").join(of_each, "id")
     # a document that shares too few of its own shingles links with nothing
-    facts = store.save(facts.where(f"100 * shared >= {percent} * n").select(F.col("id").alias("x"), "component", "family", "n", "shared", "frequent"), "facts")
-    second = facts.select(F.col("x").alias("y"), F.col("component").alias("component_y"), "family", F.col("n").alias("n_y"), F.col("shared").alias("shared_y"), F.col("frequent").alias("frequent_y"))
+    facts = store.save(facts.where(f"100 * shared >= {percent} * n").select(F.col("id").alias("x"), "component", "family", "n", "shared", "frequent", "map"), "facts")
+    second = facts.select(F.col("x").alias("y"), F.col("component").alias("component_y"), "family", F.col("n").alias("n_y"), F.col("shared").alias("shared_y"), F.col("frequent").alias("frequent_y"), F.col("map").alias("map_y"))
 
     def reach(both: str) -> str:
         return f"100 * ({both}) >= {percent} * (n + n_y - ({both}))"
 
     rare = shared.where(f"times <= {RARE}").select("h", "family", "id")
-    one, two = rare.join(facts.drop("family"), F.col("id") == F.col("x")).drop("id"), rare.join(second.drop("family"), F.col("id") == F.col("y")).drop("id")
+    one = rare.join(facts.drop("family", "map"), F.col("id") == F.col("x")).drop("id")
+    two = rare.join(second.drop("family", "map_y"), F.col("id") == F.col("y")).drop("id")
     sized = ["x", "y", "n", "n_y", "frequent", "frequent_y"]
     by_rare = one.join(two, ["h", "family"]).where(f"component > component_y and {reach('least(shared, shared_y)')}").groupBy(*sized).agg(F.count("*").alias("common"))
-    by_rare = by_rare.where(reach("least(frequent, frequent_y) + common")).select("x", "y")
+    by_rare = by_rare.where(reach("least(frequent, frequent_y) + common"))
+    by_rare = by_rare.join(facts.select("x", "map"), "x").join(second.select("y", "map_y"), "y").where(may_reach(percent)).select("x", "y")
     able = facts.where(f"100 * frequent >= {percent} * n")
     main = able.groupBy("family", "component").agg(F.count("*").alias("size")).groupBy("family").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
     rest = able.join(main, "family").where("component <> main")
     by_family = rest.join(second.where(f"100 * frequent_y >= {percent} * n_y"), "family")
-    by_family = by_family.where(f"(component_y = main or component > component_y) and {reach('least(frequent, frequent_y)')}").select("x", "y")
+    by_family = by_family.where(f"(component_y = main or component > component_y) and {reach('least(frequent, frequent_y)')}").where(may_reach(percent)).select("x", "y")
     return by_rare.unionByName(by_family)
 
 
-def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", distinct_texts: bool = True) -> DataFrame:
     """(id, n_shingles, component_id, kept, text_sha256) of every row. The last
-    tells the texts of an id apart; a null text has an empty one's."""
+    tells the texts of an id apart; a null text has an empty one's. ``kept``: the
+    component's smallest document; without ``distinct_texts`` every row that has its
+    id, as where an id is taken for the document."""
     docs = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("id"), F.col(text_col).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"))
     signed = store.save(signatures(docs, k, sides(percent)), "signatures")
     equal = ["f1", "f2", "n"]
     # a node is a set, by a number of its own; (own, sha) is its smallest document
-    sets = signed.where("n > 0").groupBy(*equal).agg(F.min(F.struct("id", "sha")).alias("least"), F.first("subs").alias("subs"))
-    nodes = store.save(sets.select(F.monotonically_increasing_id().alias("id"), *equal, F.col("least.id").alias("own"), "least.sha", "subs"), "nodes")
+    sets = signed.where("n > 0").groupBy(*equal).agg(F.min(F.struct("id", "sha")).alias("least"), F.first("subs").alias("subs"), F.first("map").alias("map"))
+    nodes = store.save(sets.select(F.monotonically_increasing_id().alias("id"), *equal, F.col("least.id").alias("own"), "least.sha", "subs", "map"), "nodes")
     keys = keyed(nodes)
     groups = store.save(keys.groupBy("key").agg(F.min("id").alias("y"), F.count("*").alias("members")).where("members > 1").select("key", "y"), "keys")
     members = store.save(keys.join(groups, "key").select("key", F.col("id").alias("x"), "y"), "members")
@@ -275,5 +313,7 @@ def near_groups(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "d
     copies = placed.select(*equal, "component").join(heads.select("component", F.col("own").alias("head"), F.col("sha").alias("head_sha")), "component").drop("component")
     out = signed.join(copies, equal, "left").select("id", "n", "sha", F.coalesce("head", "id").alias("component"), F.coalesce("head_sha", "sha").alias("component_sha"))
     real = lambda c: F.when(F.col(c) != _NULL, F.col(c))
-    kept = (F.col("id") == F.col("component")) & (F.col("sha") == F.col("component_sha"))
+    kept = F.col("id") == F.col("component")
+    if distinct_texts:
+        kept = kept & (F.col("sha") == F.col("component_sha"))
     return out.select(real("id").alias(id_col), F.col("n").alias("n_shingles"), real("component").alias("component_id"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
