@@ -59,9 +59,9 @@ def _once(docs: DataFrame) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score below the classifier's threshold."""
     queries.ship(spark)
-    model = quality.train(docs, store.read_table(spark, sf_dir, "labels"))
-    scored = quality.score(_key(docs), model, also=("text_sha256",)).where(F.col("score") >= model.cut)
-    return _keep(docs, scored)
+    docs = docs.select(*COLUMNS)
+    model = quality.train(quality.features(docs), store.read_table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model).where(F.col("score") >= model.cut).select(*COLUMNS)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
