@@ -7,7 +7,6 @@ names. Run folders are removed when the session's JVM ends.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +14,14 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Unset is accepted in local mode only, where
-    driver and executors are one process; elsewhere it is an error."""
+    """The cluster's shared folder. Where it is unset, local mode, in which driver and
+    executors are one process, takes the warehouse's; elsewhere it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/") + "/llm"
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    root = "file://" + tempfile.mkdtemp(prefix="lakeforge-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root + "/llm"
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/") + "/llm"
 
 
 def new_dir(spark: SparkSession, tag: str) -> str:
