@@ -18,9 +18,9 @@ Keys are sorted with the page id, so a page or host that holds a large share of
 the rows is dealt over several ranges.
 
 Nulls: a null url, or one without ``://``, has an empty host and path; no rule
-fits, as a rule has a host. Very long urls are used whole. Repeated rows are
-each judged; rows that repeat a page id and url give the same result and count
-once. An empty rule table leaves the default verdict.
+fits, as a rule has a host. Very long urls are used whole. Each row of pages gives
+one row, also where rows repeat a page id and url, or differ after ``?`` or ``#``
+alone. An empty rule table leaves the default verdict.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from lakeforge.llm import store
 
 END = "\x01"
+#: Rows that one array makes where a page's row is repeated.
+COPIES = 10_000
 
 
 def _lower(text: Column) -> Column:
@@ -57,10 +59,10 @@ def _key(labels: Column, path: Column) -> Column:
     return F.concat(F.array_join(F.transform(labels, lambda x: F.concat(x, F.lit(END))), ""), path)
 
 
-def sweep(rows: Iterator[tuple], opened: dict[int, list[tuple[str, str, str]]]) -> Iterator[tuple[int, str, str]]:
+def sweep(rows: Iterator[tuple], opened: dict[int, list[tuple[str, str, str]]]) -> Iterator[tuple[int, str | None, str | None]]:
     """Over rows (range, key, kind, rule, verdict), each range sorted by key,
-    rules (kind 0) before pages: number, rule and verdict of the page rows that
-    an open rule holds. ``opened``: the first stack of each range, of rules
+    rules (kind 0) before pages: number, rule and verdict of every row, the last two
+    null but for page rows that an open rule holds. ``opened``: the first stack of each range, of rules
     (key, rule, verdict)."""
     stack: list[tuple[str, str, str]] = []
     seen = None
@@ -71,8 +73,7 @@ def sweep(rows: Iterator[tuple], opened: dict[int, list[tuple[str, str, str]]])
             stack.pop()
         if kind == 0:
             stack.append((key, rule, verdict))
-        elif stack:
-            yield i, stack[-1][1], stack[-1][2]
+        yield (i, stack[-1][1], stack[-1][2]) if kind and stack else (i, None, None)
 
 
 def _opened(placed: DataFrame, lengths: list[int]) -> dict[int, list[tuple[str, str, str]]]:
@@ -101,7 +102,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     # distinct numbers of labels and lengths of rules, not rules: no more than a host name has labels, and a url characters
     shape = rules.agg(F.sort_array(F.collect_set("labels")).alias("labels"), F.sort_array(F.collect_set(F.length("key"))).alias("lengths")).first()
     nothing = F.lit(None).cast("string")
-    plain = base.select("id", "host", "path", nothing.alias("rule"), nothing.alias("rule_verdict"))
+    # a row of each page row; what the sweep finds comes beside it
+    plain = base.select("id", "host", "path", nothing.alias("rule"), nothing.alias("rule_verdict"), F.lit(1).alias("rows"))
     if shape["labels"]:
         kinds = F.array(*map(F.lit, shape["labels"]))
         pages_ = base.where("host <> ''").select("id", "host", "path", F.explode(F.filter(kinds, lambda n: n <= F.size(_labels("host")))).alias("n"))
@@ -123,7 +125,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
                 while i >= at + held[0].num_rows:  # the row is in a later batch
                     yield from out(held[0], found, at)
                     at, found = at + held.pop(0).num_rows, []
-                found.append((i, rule, verdict))
+                if rule is not None:
+                    found.append((i, rule, verdict))
             for batch in held:
                 yield from out(batch, found, at)
                 at, found = at + batch.num_rows, []
@@ -134,6 +137,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
                 yield pa.RecordBatch.from_arrays([taken, pa.array([r for _, r, _ in found], pa.string()), pa.array([v for _, _, v in found], pa.string())], ["row", "rule", "rule_verdict"])
 
         swept = placed.repartition("range").sortWithinPartitions("range", "key", "kind", "row").mapInArrow(run, f"row {row_type}, rule string, rule_verdict string")
-        plain = plain.unionByName(swept.select("row.*", "rule", "rule_verdict"))
+        plain = plain.unionByName(swept.select("row.*", "rule", "rule_verdict", F.lit(0).alias("rows")))
     best = F.max(F.struct(F.length("rule").alias("a"), F.length(F.regexp_extract("rule", "^[^/]*", 0)).alias("b"), "rule", "rule_verdict")).alias("best")
-    return plain.groupBy("id", "host", "path").agg(best).select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"))
+    judged = plain.groupBy("id", "host", "path").agg(best, F.sum("rows").alias("rows"))
+    # as many rows as there were, a limited number from one array
+    judged = judged.withColumn("k", F.explode(F.sequence(F.lit(0), F.floor((F.col("rows") - 1) / COPIES))))
+    judged = judged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(COPIES), F.col("rows") - F.col("k") * COPIES))))
+    return judged.select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"))
