@@ -345,7 +345,9 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         if doc_ids:
             yield close()
 
-    ordered = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).repartitionByRange(id_col).sortWithinPartitions(id_col, text_col)
+    # rows of one id, or without one, are dealt over ranges by their texts' hashes
+    ordered = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, F.xxhash64(text_col).alias("__h"))
+    ordered = ordered.repartitionByRange(id_col, "__h").sortWithinPartitions(id_col, "__h", text_col).drop("__h")
     return store.save(ordered.mapInArrow(run, MANIFEST), "manifest")
 
 
