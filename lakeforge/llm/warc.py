@@ -11,7 +11,8 @@ are complete; the manifest, written last by Spark's own committer, lists them,
 and readers go by it alone, so leftovers of lost attempts are never read.
 
 Nulls: a null html counts as an empty payload, a null url as an empty URI; a
-null page id sorts first. Rows with the same page id, url and html count once.
+null page id sorts first. Each row has a record, also where rows repeat page id, url
+and html: of such the payload's largest page id has several responses.
 A page id with several payloads, null included, has a record for each; only those
 whose payload a larger page id has too are revisits.
 Payloads are never truncated. Other columns of the input don't matter.
@@ -129,8 +130,9 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: in
     pages = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     known = referrals(pages, min_bytes).select("page_id", F.lit("").alias("url"), F.lit("").alias("html"), "refers_to", F.lit(0).alias("kind"), "sha")
     rows = known.unionByName(pages.withColumns({"refers_to": F.lit(None).cast("bigint"), "kind": F.lit(1), "sha": _sha("html")}))
-    # a referral comes right before the rows of its page id and payload
-    ordered = rows.repartitionByRange("page_id").sortWithinPartitions("page_id", "sha", "kind", "url", "html")
+    # a referral comes right before the rows of its page id and payload; rows of one
+    # id, or without one, are dealt over ranges by their payloads
+    ordered = rows.repartitionByRange("page_id", "sha").sortWithinPartitions("page_id", "sha", "kind", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -138,7 +140,6 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: in
         members: list[bytes] = []
         size = 0
         revisit: tuple[bool, int | None, bytes, int | None] = (False, None, b"", None)
-        previous: tuple | None = None
 
         def close() -> pa.RecordBatch:
             nonlocal seq, size
@@ -157,9 +158,6 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: in
                     if kind == 0:
                         revisit = (True, page_id, sha, refers_to)
                         continue
-                    if previous == (page_id, url, html):
-                        continue
-                    previous = (page_id, url, html)
                     again = revisit[:3] == (True, page_id, sha)
                     member = gzip_member(make_record(page_id, url, html.encode("utf-8", "surrogatepass"), revisit[3] if again else None, again), level)
                     members.append(member)
