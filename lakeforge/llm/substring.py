@@ -1,4 +1,4 @@
-"""Substring dedup: seed and extend.
+"""Substring dedup: seeds, extended to the window that holds them.
 
 A repeat is a run of at least ``length`` words of a document whose words also
 stand in a document with a smaller id. Every such run is found, whatever its
@@ -13,7 +13,7 @@ Extension: a shared anchor is extended both ways to all stretches that have it a
 their anchor, and these are compared by a 96-bit hash of all their words.
 Neighbouring stretches that repeat make up the maximal repeat.
 
-Documents are dealt into groups of a few MB by a hash of their id. A group sums
+Documents are dealt into groups of a few MB by a hash of id and text. A group sums
 up what its documents hold (distinct anchors; for stretches the smallest id)
 before anything is shuffled, and gets back only what concerns it. So a passage
 that stands in a third of all documents is one entry per group, not per
@@ -93,7 +93,7 @@ def find_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text
     size = store.text_bytes(docs.select(F.col(text_col).alias("text")))
     groups = max(1, -(-size // GROUP_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets = max(1, -(-size // BUCKET_BYTES))
-    dealt = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(groups)).cast("int").alias("g"))
+    dealt = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col)), F.lit(groups)).cast("int").alias("g"))
 
     def seeds(table: pa.Table) -> pa.Table:
         """A group's distinct anchors, and whether two of its rows have one."""
