@@ -17,9 +17,10 @@ shuffled, and joined back from written tables, so that a large group of copies
 is split over tasks.
 
 Nulls: a null text counts as empty; empty texts are equal. A null doc_id is a
-document like others, and the smallest. Rows that repeat both doc_id and text
-count as one document; a doc_id with several texts is several documents. Texts
-are compared whole, after no change. Other columns of the input don't matter.
+document like others, and the smallest. Every row is returned and counts in its
+group's size, also where rows repeat both doc_id and text; a doc_id with several
+texts is several documents. Texts are compared whole, after no change. Other
+columns of the input don't matter.
 """
 
 from __future__ import annotations
@@ -33,11 +34,12 @@ FIRST, BLOCK = 256, 4096
 
 
 def name_sorted(rows: DataFrame, keys: list[str], repeated: bool = False) -> DataFrame:
-    """(keys, name): integers in sort order for the distinct keys, or for those
-    that stand in more than one row."""
+    """(keys, name): an integer for each distinct key, or for those that stand in
+    more than one row; in sort order within a task's part of the keys."""
     groups = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
     groups = groups.where("__n > 1") if repeated else groups
-    ordered = groups.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # grouping has dealt the keys by hash: no second exchange, and no sample of keys on the driver
+    ordered = groups.select(*keys).sortWithinPartitions(*keys)
     return store.save(ordered.withColumn("name", F.monotonically_increasing_id()), "names")
 
 
@@ -67,11 +69,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, keep_id, group_size, kept, text_sha256) of every document; of equal
     texts the one with the largest id stays."""
     named = store.save(identities(docs, id_col, text_col), "identities")
-    groups = named.groupBy("stem", "name").agg(F.max("id").alias("keep"), F.count("*").alias("size")).where("size > 1")
-    groups = store.save(groups, "groups")
-    copies = named.join(groups, ["stem", "name"]).select(F.col("id").alias("of"), F.col("sha").alias("of_sha"), "keep", "size")
-    every = docs.select(F.col(id_col).alias("id"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("sha")).distinct()
-    found = every.join(copies, F.col("id").eqNullSafe(F.col("of")) & (F.col("sha") == F.col("of_sha")), "left")
+    every = store.save(docs.select(F.col(id_col).alias("id"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("sha")), "rows")
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("sha") == F.col("of_sha"))
+    # rows of each document among those that may have copies
+    of_each = every.join(named.select(F.col("id").alias("of"), F.col("sha").alias("of_sha"), "stem", "name"), same)
+    counted = of_each.groupBy("of", "of_sha", "stem", "name").agg(F.count("*").alias("rows"))
+    counted = store.save(counted, "counted")
+    groups = counted.groupBy("stem", "name").agg(F.max("of").alias("keep"), F.sum("rows").alias("size")).where("size > 1")
+    copies = counted.join(store.save(groups, "groups"), ["stem", "name"]).select("of", "of_sha", "keep", "size")
+    found = every.join(copies, same, "left")
     keep = F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep"))
     return found.select(
         F.col("id").alias(id_col), keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),

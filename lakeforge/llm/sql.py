@@ -62,12 +62,12 @@ h AS (SELECT page_id, url,
 rules(rhost, rpath, rverdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
 m AS (SELECT page_id, host, path, rhost || rpath AS rule, rverdict, row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) AS k
   FROM h JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
-SELECT DISTINCT h.page_id, h.host, h.path, m.rule, coalesce(m.rverdict, 'allow') AS verdict
+SELECT h.page_id, h.host, h.path, m.rule, coalesce(m.rverdict, 'allow') AS verdict
 FROM h LEFT JOIN m ON h.page_id = m.page_id AND h.host = m.host AND h.path = m.path AND m.k = 1
 """
 
 OP6 = """
-WITH t AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS n FROM t GROUP BY text)
 SELECT doc_id, keep_id, n::BIGINT AS group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM t JOIN g USING (text)
 """
