@@ -278,17 +278,15 @@ def score(found: DataFrame, model: Model) -> DataFrame:
 
 
 def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """The documents, all columns, with their score: each row's from its own text."""
-    at = docs.columns.index("text")
+    """The documents, all columns, with their score: each row's from its own text,
+    which alone goes to Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, size in words.pieces(batch.column(at)):
-                part = batch.slice(start, size)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(feature_rows(part.column(at).to_pylist())))], [*part.schema.names, name])
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        parts = [model.score(feature_rows(texts.slice(start, size).to_pylist())) for start, size in words.pieces(texts)]
+        return pa.array(np.concatenate([np.zeros(0), *parts]))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, `{name}` double")
+    return docs.withColumn(name, scored(F.col("text").cast("string")))
 
 
 def crc_held_out(doc_id: int) -> bool:

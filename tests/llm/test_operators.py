@@ -6,6 +6,7 @@ import itertools
 import math
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -208,7 +209,7 @@ def test_exact_groups(docs, empty):
     groups = collections.defaultdict(list)
     for i, text, *_ in EDGE:
         groups[text or ""].append(i)
-    got = by_id(exact.exact_groups(docs.union(docs.where("doc_id = 12"))))  # a repeated row counts once
+    got = by_id(exact.exact_groups(docs))
     assert len(got) == len(EDGE)
     for text, ids in groups.items():
         keep = max(ids, key=lambda i: -1 if i is None else i)
@@ -287,6 +288,10 @@ def test_urls(spark, docs):
         want[page_id, host, path] = max(fits)[2:] if fits else (None, "allow")
     assert got == want
     assert {r["verdict"] for r in urls.judge(table, rule_table.where("false")).collect()} == {"allow"}
+    # a row for each row: repeated ones, and urls of one page that differ after ? or # alone
+    many = table.union(table).union(spark.createDataFrame([(1, "http://A.B.example.com/en/x?other", "v"), (1, "http://A.B.example.com/en/x#f", "v")], table.schema))
+    rows = collections.Counter((r["page_id"], r["host"], r["path"]) for r in urls.judge(many, rule_table).collect())
+    assert sum(rows.values()) == 2 * len(page_rows) + 2 and rows[1, "a.b.example.com", "/en/x"] == 4 and rows[7, "other.org", "/"] == 4
     assert urls.judge(table.where("false"), rule_table).count() == 0
 
 
@@ -307,6 +312,92 @@ def test_wavelet_round_trip(spark, docs, empty):
     assert wavelet.read_shards(spark, wavelet.write_shards(empty, store.new_dir(spark, "t"), path)).count() == 0
 
 
+def test_repeated_rows(spark, docs):
+    """Rows that repeat are rows of their own, with the same results."""
+    twice, path = docs.union(docs), queries.tokenizer_path(queries.PIECE_MODEL)
+    one, two = (collections.Counter((r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in piece_codec.decode(piece_codec.encode(d, path), path).collect()) for d in (docs, twice))
+    assert two == {k: 2 * n for k, n in one.items()}
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    one, two = (collections.Counter(tuple(r[c] for c in base) for r in rules.apply_rules(d).collect()) for d in (docs, twice))
+    assert two == {k: 2 * n for k, n in one.items()}
+    manifest = wavelet.write_shards(twice, store.new_dir(spark, "t"), queries.tokenizer_path(queries.WORD_MODEL), end_id=1)
+    read = wavelet.read_shards(spark, manifest).orderBy("start").collect()
+    assert len(read) == 2 * len(EDGE) and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(read, read[1:], strict=False))
+    assert collections.Counter(r["doc_id"] for r in read) == {i: 2 for i, *_ in EDGE}
+    domain, mix = queries.domain_of_source(), mixing.Mix(percent=50, max_epochs=2)
+    total = sum(len(words(t)) for _, t, *_ in EDGE)
+    for d, n in ((docs, total), (twice, 2 * total)):
+        assert mixing.mix_documents(d, domain, mix).agg(F.sum("take_tokens")).first()[0] == n * 50 // 100
+
+
+def test_budgets_by_filling_step_by_step(spark):
+    """Shares against a plain filling: all open children rise by weight until the
+    budget is gone or the next one is full."""
+    rng = np.random.default_rng(21)
+    rows, want = [], {}
+    for p in range(60):
+        caps, weights = rng.integers(0, 40, 6).tolist(), rng.integers(0, 5, 6).tolist()
+        budget = int(rng.integers(0, 150))
+        rows += [(p, c, cap, w, budget) for c, (cap, w) in enumerate(zip(caps, weights, strict=True))]
+        level = [Fraction(0)] * 6
+        left = Fraction(min(budget, sum(c for c, w in zip(caps, weights, strict=True) if w)))
+        while left:
+            open_ = [c for c in range(6) if weights[c] and level[c] < caps[c]]
+            step = min(left / sum(weights[c] for c in open_), *((caps[c] - level[c]) / weights[c] for c in open_))
+            for c in open_:
+                level[c] += step * weights[c]
+            left -= step * sum(weights[c] for c in open_)
+        want[p] = (level, caps, weights, budget)
+    df = spark.createDataFrame(rows, "p int, c int, cap bigint, weight bigint, budget bigint")
+    got = collections.defaultdict(dict)
+    for r in mixing.split_budget(df, ["p"], "c").collect():
+        got[r["p"]][r["c"]] = r["share"]
+    for p, (level, caps, weights, budget) in want.items():
+        assert all(abs(got[p][c] - level[c]) < 1 and 0 <= got[p][c] <= caps[c] for c in range(6)), (got[p], level)
+        assert sum(got[p].values()) == sum(level)
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    rows = [(1, PASSAGE), (1, PASSAGE + " x"), (2, PASSAGE), (2, "y " + PASSAGE), (None, "lead " + PASSAGE), (None, PASSAGE)]
+    got = collections.Counter((r["doc_id"], r["n_words"], r["kept"]) for r in substring.find_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    # a null id is smaller than others; rows of one id are no repeats of each other
+    assert got == {(1, 60, ""): 1, (1, 61, "x"): 1, (2, 60, ""): 1, (2, 61, "y"): 1, (None, 61, "lead " + PASSAGE): 1, (None, 60, PASSAGE): 1}
+    alone = collections.Counter((r["doc_id"], r["kept"]) for r in substring.find_repeats(spark.createDataFrame(rows[:3], "doc_id bigint, text string")).collect())
+    assert alone == {(1, PASSAGE): 1, (1, PASSAGE + " x"): 1, (2, ""): 1}
+
+
+def test_exact_groups_of_null_and_repeated_ids(spark):
+    rows = [(None, "a"), (None, "a"), (3, "a"), (None, "b"), (None, "b"), (4, "c"), (4, "c"), (4, "d"), (5, None), (6, ""), (7, "alone")]
+    got = collections.Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact.exact_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {(None, 3, 3, False, sha("a")): 2, (3, 3, 3, True, sha("a")): 1, (None, None, 2, True, sha("b")): 2, (4, 4, 2, True, sha("c")): 2, (4, 4, 1, True, sha("d")): 1,
+                   (5, 6, 2, False, sha("")): 1, (6, 6, 2, True, sha("")): 1, (7, 7, 1, True, sha("alone")): 1}
+
+
+@pytest.fixture
+def parts_stay(spark):
+    """Small partitions aren't merged, as large ones wouldn't be."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_many_rows_of_one_id_are_dealt_over_tasks(spark, parts_stay):
+    """No id, or one id, on most rows: several tasks write, and several groups are made."""
+    rows = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, 7).alias("doc_id"), F.concat(F.lit("text of row "), F.col("id").cast("string")).alias("text"))
+    manifest = wavelet.write_shards(rows, store.new_dir(spark, "t"), queries.tokenizer_path(queries.WORD_MODEL), end_id=1)
+    sizes = sorted(r["n"] for r in manifest.groupBy("part").agg(F.sum("n_docs").alias("n")).collect())
+    assert sum(sizes) == 20_000 and sizes[-1] < 6_000
+    read = wavelet.read_shards(spark, manifest)
+    starts = [(r["start"], r["n_tokens"]) for r in read.orderBy("start").collect()]
+    assert all(a[0] + a[1] == b[0] for a, b in zip(starts, starts[1:], strict=False)) and len(starts) == 20_000
+    pages = rows.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    files = warc.write_warc(pages, store.new_dir(spark, "w"))
+    sizes = sorted(r["n"] for r in files.groupBy("part").agg(F.sum("n_records").alias("n")).collect())
+    assert sum(sizes) == 20_000 and sizes[-1] < 6_000
+    assert substring.find_repeats(rows).agg(F.sum(F.size("starts"))).first()[0] == 0
+
+
 def test_wavelet_decomposed_capitals(spark):
     from tokenizers import Tokenizer
 
@@ -347,8 +438,9 @@ def test_warc_round_trip(spark):
     rows = [(1, "http://a/\nx", "<p>é</p>"), (2, None, None), (3, "u", ""), (4, "u", "<p>é</p>"), (5, "u", "z" * 200_000), (5, "u", "z" * 200_000), (None, "n", "<p>é</p>")]
     table = spark.createDataFrame([(*r, "t") for r in rows], "page_id bigint, url string, html string, record_type string")
     manifest = warc.write_warc(table, store.new_dir(spark, "w"), roll_bytes=300)
-    got = {r["page_id"]: r for r in warc.read_warc(spark, manifest).collect()}
-    assert len(got) == 6 and manifest.count() > 1
+    records = warc.read_warc(spark, manifest).collect()
+    got = {r["page_id"]: r for r in records}
+    assert len(records) == len(rows) and len(got) == 6 and manifest.count() > 1
     for i, url, html in rows:
         payload = (html or "").encode()
         assert got[i]["payload_bytes"] == len(payload) and got[i]["payload_digest"] == warc.sha1_base32(payload) and got[i]["url"] == (url or "")

@@ -1,5 +1,7 @@
 """The corpus pipeline's stages on a small table, and the queries' SQL."""
 
+import hashlib
+
 import numpy as np
 
 import corpus_pipeline
@@ -51,6 +53,20 @@ def test_rows_are_told_apart(spark, monkeypatch):
     assert pairs(corpus_pipeline.mix_stage(spark, near.union(near), SF)) == sorted([k for k in kept if k[1]] * 2, key=str)
 
 
+def test_encode_stage_of_null_and_empty_texts(spark):
+    queries.ship(spark)
+    docs = spark.createDataFrame([(1, None, "en", "s", 0), (2, "", "en", "s", 0), (None, " a b", "en", "s", 4)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r["doc_id"]: r for r in corpus_pipeline.encode_stage(spark, docs, SF).collect()}
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert {(got[i]["n_tokens"], got[i]["ids_sha256"], got[i]["decoded_sha256"]) for i in (1, 2)} == {(0, nothing, nothing)}
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.tokenizer_path(queries.PIECE_MODEL))
+    ids = library.encode(" a b")
+    assert got[None]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert got[None]["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
 def test_empty_table(spark):
     docs = store.read_table(spark, SF, "documents").where("false")
     for _, stage in corpus_pipeline.STAGES:
