@@ -16,11 +16,10 @@ def spark():
     builder = (SparkSession.builder.master("local[*]").appName("lakeforge-tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.ui.enabled", "false")
-               .config("spark.sql.session.timeZone", "UTC"))
+               .config("spark.sql.session.timeZone", "UTC")
+               # what is written where the environment names no spark.checkpoint.dir
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakeforge-tests-")))
     s = builder.getOrCreate()
-    # Tests only: give the session a shared folder when the environment names none.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakeforge-tests-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
