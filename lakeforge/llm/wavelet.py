@@ -9,8 +9,8 @@ Token access, rank, select, counting and occurrence lookup work on the planes
 as they are, without unpacking the shard.
 
 Nulls: a null text counts as empty; it, like an empty text, has the end id
-alone. A null doc_id sorts first. Repeated rows are all written, in the order
-of their texts. Texts are never truncated; a document larger than a shard makes
+alone. A null doc_id sorts first. Rows of one id are all written, in the order
+they are read in. Texts are never truncated; a document larger than a shard makes
 one larger shard. Other columns of the input don't matter.
 """
 
@@ -345,9 +345,10 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         if doc_ids:
             yield close()
 
-    # rows of one id, or without one, are dealt over ranges by their texts' hashes
-    ordered = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, F.xxhash64(text_col).alias("__h"))
-    ordered = ordered.repartitionByRange(id_col, "__h").sortWithinPartitions(id_col, "__h", text_col).drop("__h")
+    # rows of one id, or without one, are dealt over ranges in the order they are read in;
+    # a key made of texts would have to be read for the ranges' sample too
+    ordered = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, F.monotonically_increasing_id().alias("__k"))
+    ordered = ordered.repartitionByRange(id_col, "__k").sortWithinPartitions(id_col, "__k").drop("__k")
     return store.save(ordered.mapInArrow(run, MANIFEST), "manifest")
 
 
