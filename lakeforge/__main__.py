@@ -50,9 +50,9 @@ def main(argv=None) -> int:
             report["quality_error"], done = str(e), e.rows
             status = 0 if a.no_gate else 1
         if step in ("ingest", "land"):
-            report[step] = [asdict(r) for r in done]
+            report[{"ingest": "published", "land": "landed"}[step]] = [asdict(r) for r in done]
         elif step in ("silver", "test"):
-            report[step] = done
+            report[{"silver": "counts", "test": "quality"}[step]] = done
     print(json.dumps(report, default=str))
     return status
 
