@@ -89,8 +89,8 @@ class PipelineConfig:
         return "/".join([self.root, *parts])
 
 
-def _write_layer(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, layer: str, name: str,
-                 partition_by=(), sort_by=(), **observed) -> tuple[DataFrame, dict]:
+def _write_counted(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, layer: str, name: str,
+                   partition_by=(), sort_by=(), **observed) -> tuple[DataFrame, dict]:
     """Write one layer table to its folder (and catalog name, if configured); the
     scan of what was written, with the types it had, and what was observed in the
     write: ``rows`` and the aggregates given."""
@@ -106,6 +106,12 @@ def _write_layer(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, layer:
     return _blank_city(read_table(spark, path=path, schema=df.schema), partition_by), obs.get
 
 
+def _write_layer(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, layer: str, name: str,
+                 partition_by=(), sort_by=()) -> DataFrame:
+    """:func:`_write_counted`, without what was observed."""
+    return _write_counted(spark, cfg, df, layer, name, partition_by, sort_by)[0]
+
+
 def _blank_city(df: DataFrame, partition_by: Sequence[str] = ("city",)) -> DataFrame:
     """Folder names can't tell an empty city from NULL. Cleaned listings and the
     pricing mart have no NULL city, so one that is read back was empty. Filters on
@@ -170,7 +176,7 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
     def clean_one(name, topic, cols, cleaner, parts) -> dict[str, int]:
         raw_obs = Observation(f"raw_{name}")
         raw = read_bronze(spark, cfg.path("bronze", topic), cols).observe(raw_obs, F.count(F.lit(1)).alias("n"))
-        _, seen = _write_layer(spark, cfg, cleaner(raw, run_ts=cfg.run_ts), "silver", name, partition_by=parts)
+        _, seen = _write_counted(spark, cfg, cleaner(raw, run_ts=cfg.run_ts), "silver", name, partition_by=parts)
         return {f"bronze_{name}": int(raw_obs.get["n"]), f"silver_{name}": int(seen["rows"])}
 
     counts: dict[str, int] = {}
@@ -202,8 +208,8 @@ def silver_to_staging(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Dat
     """Both staging tables, and the listings with very many reviews
     (``hot_listings``), observed as the reviews are written."""
     (l, l_seen), (r, r_seen) = run_concurrently(
-        lambda: _write_layer(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging", "stg_listings"),
-        lambda: _write_layer(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging", "stg_reviews",
+        lambda: _write_counted(spark, cfg, stg_listings(silver_table(spark, cfg, "listings")), "staging", "stg_listings"),
+        lambda: _write_counted(spark, cfg, stg_reviews(silver_table(spark, cfg, "reviews")), "staging", "stg_reviews",
                              heavy=heavy_hitters("listing_id")))
     heavy = [{"item": h["item"], "count": h["count"]} for h in r_seen["heavy"] or [] if h["count"] > HOT_KEY_ROWS]
     ledger.put_lines(spark, cfg.path("staging", "_heavy_listings", uuid.uuid4().hex[:16]), [{"heavy": heavy}])
@@ -245,7 +251,7 @@ def staging_to_gold(spark: SparkSession, cfg: PipelineConfig, staged: dict[str,
         "mart_review_trends": (marts.review_trends(l, r, cfg.min_year, run_ts=cfg.run_ts, hot=hot), []),
     }
     written = run_concurrently(*[
-        (lambda name=name, df=df, parts=parts: _write_layer(spark, cfg, df, "gold", name, partition_by=parts, sort_by=mart_order(name)))
+        (lambda name=name, df=df, parts=parts: _write_counted(spark, cfg, df, "gold", name, partition_by=parts, sort_by=mart_order(name)))
         for name, (df, parts) in built.items()])
     ledger.record(spark, cfg.root, "gold", [("gold", name, seen["rows"]) for name, (_, seen) in zip(built, written)])
     return {name: df for name, (df, _) in zip(built, written)}
