@@ -332,8 +332,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             return row
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                piece = batch.slice(at, 128)
+            for start, rows in words.pieces(batch.column(1), most_rows=512):
+                piece = batch.slice(start, rows)
                 ids, counts = own.encode_all(piece.column(1).to_pylist())
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 doc_ids.extend(piece.column(0).to_pylist())
