@@ -5,7 +5,9 @@ they lie; a range is summed up to three numbers (is its count of quotes odd, and
 how many records end in it if it begins outside or inside quotes). A prefix sum
 over a file's ranges gives the state in which each begins and the number of its
 first record. From then on a line knows its record by itself. Nearly all records
-are one line; only those of several lines are grouped.
+are one line; only those of several lines are grouped. Counts run along the lines
+in the order in which a task reads them, so lines are neither shuffled nor sorted;
+what is broadcast is a row for each range and each file.
 
 Records are parsed as arrays of text, and a file's own header gives the arrays'
 places their names, so the files of a folder may order their columns differently.
@@ -19,8 +21,10 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,48 +47,95 @@ def _odd(line: Column) -> Column:
     return F.pmod(F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit(""))), F.lit(2))
 
 
-def line_states(lines: DataFrame) -> DataFrame:
-    """Adds what holds within the range: ``odd``; ``upto``, the quotes' parity up to
-    the line's end if the range begins outside quotes; and the records that end
-    before the line, if it begins outside (``out_ends``) or inside (``in_ends``)."""
-    upto = Window.partitionBy(*_RANGE).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (lines.withColumn("odd", _odd(F.col("line")))
-            .withColumn("upto", F.pmod(F.sum("odd").over(upto), F.lit(2)))
-            .withColumn("out_ends", F.sum(1 - F.col("upto")).over(upto) - (1 - F.col("upto")))
-            .withColumn("in_ends", F.sum("upto").over(upto) - F.col("upto")))
+def line_states(lines: DataFrame, *keep: str) -> DataFrame:
+    """(file, start, odd), the columns of ``keep``, and what holds within the range:
+    ``odd``, whether the line has an odd number of quotes; ``upto``, the quotes'
+    parity up to the line's end if the range begins outside quotes; and the records
+    that end before the line, if it begins outside (``out_ends``) or inside
+    (``in_ends``). ``lines``: whole ranges, as :func:`file_lines` reads them."""
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches (file, start, odd, ...) of a task's lines in their order, with
+        ``upto``, ``out_ends`` and ``in_ends`` behind."""
+        key, carried = None, np.zeros(3, dtype=np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, start, odd = batch.column(0).dictionary_encode(), batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64)
+            index, names = file.indices.to_numpy(), file.dictionary
+            here = (names[int(index[0])].as_py(), int(start[0]))
+            new = np.concatenate(([here != key], (index[1:] != index[:-1]) | (start[1:] != start[:-1])))
+            first = np.maximum.accumulate(np.where(new, np.arange(len(odd)), 0))  # of the line's range, in this batch
+            going_on = ~np.logical_or.accumulate(new)  # in the range that the batch before ended with
+
+            def count(values: np.ndarray, k: int) -> np.ndarray:
+                total = np.cumsum(values)
+                return total - (total - values)[first] + going_on * carried[k]
+
+            upto = count(odd, 0) % 2
+            outside, inside = count(1 - upto, 1), count(upto, 2)
+            key, carried = (names[int(index[-1])].as_py(), int(start[-1])), np.array([upto[-1], outside[-1], inside[-1]])
+            more = [pa.array(x) for x in (upto, outside - (1 - upto), inside - upto)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "upto", "out_ends", "in_ends"])
+
+    rows = lines.select(*_RANGE, _odd(F.col("line")).cast("int").alias("odd"), *keep)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(running, f"{kinds}, upto bigint, out_ends bigint, in_ends bigint")
 
 
 def range_states(states: DataFrame) -> DataFrame:
-    """(file, start, inside, first): whether each byte range begins inside quotes,
-    and the number in its file of the record that is open there. One row per
-    range, so a window over a file is small."""
+    """(file, start, inside, first, several): whether each byte range begins inside
+    quotes, the number in its file of the record that is open there, and whether it
+    has lines of records of several lines. One row per range, so a window over a
+    file is small."""
     ranges = states.groupBy(*_RANGE).agg(
-        F.pmod(F.sum("odd"), F.lit(2)).alias("turns"), F.sum(1 - F.col("upto")).alias("out_ends"), F.sum("upto").alias("in_ends"))
+        F.sum("odd").alias("odds"), F.sum(1 - F.col("upto")).alias("out_ends"), F.sum("upto").alias("in_ends"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
-    ranges = ranges.withColumn("inside", F.pmod(F.coalesce(F.sum("turns").over(before), zero), F.lit(2)))
+    ranges = ranges.withColumn("inside", F.pmod(F.coalesce(F.sum("odds").over(before), zero), F.lit(2)))
     ends = F.when(F.col("inside") == 1, F.col("in_ends")).otherwise(F.col("out_ends"))
-    return ranges.withColumn("ends", ends).select(*_RANGE, "inside", F.coalesce(F.sum("ends").over(before), zero).alias("first"))
+    several = (F.col("inside") == 1) | (F.col("odds") > 0)
+    return ranges.withColumn("ends", ends).select(*_RANGE, "inside", F.coalesce(F.sum("ends").over(before), zero).alias("first"), several.alias("several"))
 
 
-def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file, number, record): every record's text, headers (number 0) included.
-    A quote that is never closed makes the rest of its file one record."""
-    states = line_states(file_lines(spark, paths))
-    ranges = range_states(states).withColumnsRenamed({"file": "r_file", "start": "r_start"})
-    known = states.join(ranges, (F.col("file") == F.col("r_file")) & (F.col("start") == F.col("r_start")))
+def _placed(lines: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(file, start, at, line, number, whole): the lines of ``ranges`` with the number
+    of their record and whether they are all of it."""
+    ranges = ranges.select(F.col("file").alias("r_file"), F.col("start").alias("r_start"), "inside", "first")
+    known = lines.join(F.broadcast(ranges), (F.col("file") == F.col("r_file")) & (F.col("start") == F.col("r_start")))
+    known = line_states(known, "at", "line", "inside", "first")
     ends = F.when(F.col("inside") == 1, F.col("in_ends")).otherwise(F.col("out_ends"))
     after = F.pmod(F.col("upto") + F.col("inside"), F.lit(2))
     before = F.pmod(F.col("upto") - F.col("odd") + F.col("inside"), F.lit(2))
-    placed = known.select("file", "start", "at", "line", (F.col("first") + ends).alias("number"), ((after == 0) & (before == 0)).alias("whole"))
-    single = placed.where("whole").select("file", "number", F.col("line").alias("record"))
-    lines = F.array_sort(F.collect_list(F.struct("start", "at", "line")))
-    several = placed.where("not whole").groupBy("file", "number").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("record"))
+    return known.select("file", "start", "at", "line", (F.col("first") + ends).alias("number"), ((after == 0) & (before == 0)).alias("whole"))
+
+
+def _records(lines: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(file, number, record) of the records in ``ranges``. Only the ranges that have
+    lines of longer records are read for these."""
+    single = _placed(lines, ranges).where("whole").select("file", "number", F.col("line").alias("record"))
+    of_record = F.array_sort(F.collect_list(F.struct("start", "at", "line")))
+    several = _placed(lines, ranges.where("several")).where("not whole").groupBy("file", "number").agg(
+        F.array_join(F.transform(of_record, lambda x: x["line"]), "\n").alias("record"))
     # not by a regular expression, which would replace bytes that aren't UTF-8
     bare = F.when(F.endswith("record", F.lit("\r")), F.left("record", F.char_length("record") - 1)).otherwise(F.col("record"))
     return single.unionByName(several).withColumn("record", bare)
 
 
+def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, number, record): every record's text, headers (number 0) included.
+    A quote that is never closed makes the rest of its file one record."""
+    lines = file_lines(spark, paths)
+    return _records(lines, range_states(line_states(lines)))
+
+
+def header_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Like :func:`split_records`, the headers alone: only the ranges in which a
+    file's first record begins or goes on are numbered."""
+    lines = file_lines(spark, paths)
+    return _records(lines, range_states(line_states(lines)).where("first = 0")).where("number = 0")
+
+
 def _header_names(text: str) -> list[str]:
     return next(csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")), [])
 
@@ -103,13 +154,14 @@ def read_csv_split(spark: SparkSession, paths: str | Sequence[str], columns: Seq
     The distinct header lines come to the driver, one row for each layout.
     """
     records = split_records(spark, paths)
-    headers = records.where("number = 0").select(F.col("file").alias("h_file"), F.col("record").alias("header"))
+    headers = header_records(spark, paths).select(F.col("file").alias("h_file"), F.col("record").alias("header"))
     layouts = headers.groupBy("header").agg(F.min("h_file").alias("h_file")).orderBy("h_file").collect()
     names = {r["header"]: _header_names(r["header"]) for r in layouts}
     columns = list(columns) if columns is not None else list(dict.fromkeys(n for layout in names.values() for n in layout))
     width = max([len(n) for n in names.values()], default=0) + 1
     fields = [f"c{i}" for i in range(width)]
-    body = records.where((F.col("number") > 0) & (F.col("record") != "")).join(headers, F.col("file") == F.col("h_file"))
+    body = records.where((F.col("number") > 0) & (F.col("record") != "")).join(
+        F.broadcast(headers), F.col("file") == F.col("h_file"))
     valid = F.is_valid_utf8("record")
     options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "maxCharsPerColumn": "-1", "emptyValue": "", "nullValue": "\u0000",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}

@@ -198,3 +198,25 @@ def test_counts_of_layers_are_observed_in_their_writes(spark):
     from lakeforge.plans.queries import q_layer_counts
     plan = q_layer_counts(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1 and "json" in plan and "parquet" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_counted_without_a_shuffle(spark, tmp_root, small_ranges):
+    texts = ["plain", "two\nlines", '"', "a,b", "\n\n", "é" * 30]
+    rows = [[str(i), texts[i % len(texts)]] for i in range(60)]
+    put(f"{tmp_root}/in/a.csv", csv_text([["id", "p"], *rows]))
+    lines = csv_split.file_lines(spark, f"{tmp_root}/in")
+    states = csv_split.line_states(lines)
+    assert "Exchange" not in plan_of(states) and "Window" not in plan_of(states)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"  # counts go on from one batch of a range to the next
+    old = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "2")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        got = csv_split.read_csv_split(spark, f"{tmp_root}/in", ["id", "p"])
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows))
+    finally:
+        spark.conf.set(name, old)
