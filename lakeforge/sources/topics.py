@@ -16,6 +16,8 @@ from lakeforge import schemas as S
 from lakeforge.sources.csv_split import ERROR, RECORD
 
 UNKNOWN_KEY = "unknown"
+#: The log's files are compressed, so a file is read by one task: this bounds it.
+LOG_FILE_RECORDS, LOG_COMPRESSION = 200_000, "gzip"
 #: Records that could not be read go to a topic of this suffix.
 ERRORS = ".errors"
 
@@ -59,7 +61,8 @@ class PublishResult:
 def write_topic_log(messages: DataFrame, path: str | None = None, mode: str = "append",
                     key_partitions: int | None = None, kafka_servers: str | None = None,
                     topic: str | None = None) -> None:
-    """Append messages to the log.
+    """Append messages to the log, as gzipped JSON lines of at most
+    ``LOG_FILE_RECORDS`` records a file.
 
     ``key_partitions`` hash-partitions by key first, so all messages of a
     key land in one file per batch (the broker's key affinity); it is off by
@@ -75,10 +78,11 @@ def write_topic_log(messages: DataFrame, path: str | None = None, mode: str = "a
          .option("kafka.bootstrap.servers", kafka_servers).option("kafka.acks", "all")
          .option("kafka.retries", "3").save())
         return
+    files = {"compression": LOG_COMPRESSION, "maxRecordsPerFile": LOG_FILE_RECORDS}
     if topic is not None:
-        messages.drop("topic").write.mode(mode).json(f"{path}/topic={topic}")
+        messages.drop("topic").write.mode(mode).options(**files).json(f"{path}/topic={topic}")
         return
-    messages.write.mode(mode).partitionBy("topic").json(path)
+    messages.write.mode(mode).options(**files).partitionBy("topic").json(path)
 
 
 def publish_records(df: DataFrame, topic: str, key_field: str, path: str | None = None,

@@ -2,7 +2,7 @@
 
 One query per topic lands the raw message values verbatim (schema-free
 bronze) under ``year=YYYY/month=MM/day=DD`` folders of the UTC processing
-date, at most ``records_per_file`` lines per file. The checkpoint makes the
+date, gzipped, at most ``records_per_file`` lines per file. The checkpoint makes the
 landing exactly-once: a rerun resumes after the last committed batch and
 adds nothing for files it has already seen.
 """
@@ -87,6 +87,7 @@ def start_landing(spark: SparkSession, topic: str, bronze_root: str, checkpoint_
             .option("path", f"{bronze_root}/{topic}")
             .option("checkpointLocation", f"{checkpoint_root}/{topic}")
             .option("maxRecordsPerFile", records_per_file)
+            .option("compression", "gzip")
             .queryName(f"land_{topic.replace('.', '_')}_{uuid.uuid4().hex[:8]}")
             .trigger(**({"processingTime": trigger_interval} if trigger_interval else {"availableNow": True}))
             .start())

@@ -220,3 +220,15 @@ def test_lines_are_counted_without_a_shuffle(spark, tmp_root, small_ranges):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows))
     finally:
         spark.conf.set(name, old)
+
+
+def test_log_and_bronze_are_compressed_in_bounded_files(spark, tmp_root, monkeypatch):
+    from lakeforge.sources import topics
+    monkeypatch.setattr(topics, "LOG_FILE_RECORDS", 4, raising=False)
+    publish(spark, tmp_root, range(30))
+    land_topic(spark, S.REVIEWS_TOPIC, f"{tmp_root}/bronze", f"{tmp_root}/ckpt", log_path=f"{tmp_root}/topics", records_per_file=5)
+    for folder, most in ((f"{tmp_root}/topics", 4), (f"{tmp_root}/bronze/{S.REVIEWS_TOPIC}", 5)):
+        files = [r[0] for r in spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(folder).select("path").collect()]
+        assert files and all(f.endswith(".gz") for f in files if "_spark_metadata" not in f)
+        per_file = spark.read.option("recursiveFileLookup", "true").text([f for f in files if f.endswith(".gz")]).groupBy(F.col("_metadata.file_path")).count()
+        assert per_file.agg(F.max("count"), F.sum("count")).first()[:] == (most, 30)
