@@ -25,12 +25,13 @@ STATE = "micro bigint, next_flush bigint, left_over bigint"
 
 def _numbered(rows: DataFrame) -> DataFrame:
     """(seq, value) of rows (file, start, at, value), numbered from 0 by file and
-    place. Counts of files make each file's first number, so rows are only ordered
-    within a file."""
-    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    files = files.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")))
-    place = F.row_number().over(Window.partitionBy("file").orderBy("start", "at")) - 1
-    return rows.withColumn("place", place).join(files.select("file", "first"), "file").select((F.col("first") + F.col("place")).alias("seq"), "value")
+    place. Counts of files' byte ranges make each range's first number, so rows are
+    only ordered within a range, however large its file is."""
+    part = ("file", "start")
+    ranges = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("n"))
+    ranges = ranges.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")))
+    place = F.row_number().over(Window.partitionBy(*part).orderBy("at")) - 1
+    return rows.withColumn("place", place).join(ranges.select(*part, "first"), [*part]).select((F.col("first") + F.col("place")).alias("seq"), "value")
 
 
 class CountedLanding:

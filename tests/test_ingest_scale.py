@@ -232,3 +232,12 @@ def test_log_and_bronze_are_compressed_in_bounded_files(spark, tmp_root, monkeyp
         assert files and all(f.endswith(".gz") for f in files if "_spark_metadata" not in f)
         per_file = spark.read.option("recursiveFileLookup", "true").text([f for f in files if f.endswith(".gz")]).groupBy(F.col("_metadata.file_path")).count()
         assert per_file.agg(F.max("count"), F.sum("count")).first()[:] == (most, 30)
+
+
+def test_flushes_number_rows_within_ranges_of_a_file(spark):
+    from lakeforge.streaming.flush import _numbered
+    rows = spark.createDataFrame([(f, s, a, f"{f}{s}-{a:02d}") for f in "ab" for s in (0, 90, 700) for a in range(4)], "file string, start bigint, at bigint, value string")
+    got = [r["value"] for r in _numbered(rows.repartition(5)).orderBy("seq").collect()]
+    assert got == [f"{f}{s}-{a:02d}" for f in "ab" for s in (0, 90, 700) for a in range(4)]
+    windows = [ln for ln in plan_of(_numbered(rows)).splitlines() if "row_number" in ln and "Window" in ln]
+    assert windows and all("start#" in ln.rsplit("[file#", 1)[1] for ln in windows)
