@@ -75,7 +75,7 @@ def _decimal(number: int) -> Column:
     return F.lit(Decimal(number)).cast("decimal(38,0)")
 
 
-def exact_avg(c: Column | str, digits: int) -> Column:
+def exact_avg(c: Column | str, digits: int, weight: Column | str | None = None) -> Column:
     """Aggregate: the exact mean of doubles, rounded once to ``digits`` (0 to 4)
     decimals, half away from zero; DOUBLE.
 
@@ -83,17 +83,20 @@ def exact_avg(c: Column | str, digits: int) -> Column:
     and the result has the same bits in any input order and partitioning. NULLs
     are ignored; no value, NaN or a size of 2**62 or more among the values give
     NULL. A group may have up to 2**39 rows, its total must stay below 9.2e18.
+    ``weight``: how many rows (BIGINT, 1 or more) each value stands for.
     """
     x = as_col(c).cast("double")
+    times = (lambda u: u) if weight is None else (lambda u: u * as_col(weight))
+    n = F.count(x) if weight is None else F.sum(F.when(x.isNotNull(), as_col(weight)))
     whole = lambda c: c.cast("decimal(38,0)")
     named = lambda **columns: F.struct(*[c.alias(k) for k, c in columns.items()])
     power, one, unit, zero = _decimal(10 ** digits), _decimal(1 << (UNIT_BITS * UNITS)), _decimal(1 << UNIT_BITS), _decimal(0)
-    top, *lower = [whole(F.sum(u)) for u in exact_units(x)]
+    top, *lower = [whole(F.sum(times(u))) for u in exact_units(x)]
     below = lower[0]
     for s in lower[1:]:
         below = whole(whole(below * unit) + s)
     # total * 10**digits = top + below / 2**72; then below from 0 on
-    start = named(n=whole(F.count(x)), most=F.max(F.abs(x)), top=whole(top * power), below=whole(below * power))
+    start = named(n=whole(n), most=F.max(F.abs(x)), top=whole(top * power), below=whole(below * power))
     carry = lambda v: named(n=v["n"], most=v["most"], top=v["top"], below=v["below"], rest=whole(F.pmod(v["below"], one)))
     signed = lambda v: named(n=v["n"], most=v["most"], top=whole(v["top"] + whole((v["below"] - v["rest"]) / one)), below=v["rest"])
     size = lambda v: named(
@@ -104,20 +107,20 @@ def exact_avg(c: Column | str, digits: int) -> Column:
     up = lambda v: (v["rest"] * _decimal(2) >= v["n"]) | ((v["rest"] * _decimal(2) + _decimal(1) == v["n"]) & (v["part"] * _decimal(2) >= one))
     rounded = lambda v: named(most=v["most"], negative=v["negative"], mean=whole((v["size"] - v["rest"]) / v["n"]) + F.when(up(v), _decimal(1)).otherwise(zero))
     result = lambda v: F.when(v["most"] < F.lit(2.0 ** 62), F.when(v["negative"], F.lit(-1.0)).otherwise(F.lit(1.0)) * (v["mean"] / power).cast("double") + F.lit(0.0))
-    out = F.when(F.count(x) > 0, start)
+    out = F.when(n > 0, start)
     for step in (carry, signed, size, divide, rounded, result):
         out = _let(out, step)
     return out
 
 
-def stable_avg(c: Column | str, digits: int, whole: bool = False) -> Column:
+def stable_avg(c: Column | str, digits: int, whole: bool = False, weight: Column | str | None = None) -> Column:
     """Aggregate: ``round(avg(c), digits)`` over an exact sum.
 
     NULLs are ignored; an all-NULL group gives NULL. ``whole``: the values are
-    whole numbers, so that one sum is enough.
+    whole numbers, so that one sum is enough. ``weight``: see :func:`exact_avg`.
     """
-    if not whole:
-        return exact_avg(c, digits)
+    if not whole or weight is not None:
+        return exact_avg(c, digits, weight)
     n = F.count(as_col(c))
     return round_half_up(exact_sum(c, 0) / F.nullif(n, F.lit(0)), digits)
 

@@ -75,9 +75,15 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[SortKey | s
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
-    row = F.struct(*order_terms(df, order), *[F.col(c) for c in payload])
+    # a column that is a term as it stands isn't held a second time
+    held: dict[str, str] = {}
+    for i, key in enumerate(order):
+        key = SortKey(key) if isinstance(key, str) else key
+        if key.column in payload and not key.descending:
+            held.setdefault(key.column, f"__o{i}")
+    row = F.struct(*order_terms(df, order), *[F.col(c) for c in payload if c not in held])
     kept = df.groupBy(*keys).agg(F.min(row).alias("__row"))
-    return kept.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+    return kept.select(*[F.col(c) if c in keys else F.col("__row")[held.get(c, c)].alias(c) for c in df.columns])
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], version_column: str, as_of=None) -> DataFrame:

@@ -101,3 +101,19 @@ def test_marts_invariant_to_partitioning(spark):
         x = getattr(a, name).drop("updated_at")
         y = getattr(b, name).drop("updated_at")
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+
+
+def test_monthly_reviews_group_in_parts_and_hold_no_sums_a_row(spark):
+    l = listings(spark, [{"listing_id": 1, "price": 0.1}, {"listing_id": 1, "price": 0.3}, {"listing_id": 2, "price": None},
+                         {"listing_id": 3, "city": None}, {"listing_id": 3, "city": None, "price": float("nan")}])
+    day = dt.date(2020, 5, 1)
+    r = reviews(spark, [(1, 7, day), (1, 7, day), (1, None, day), (2, 8, day), (3, 7, day), (None, 9, day)])
+    r = r.unionByName(r.where("reviewer_id = 8").withColumn("review_id", F.lit(None).cast("int")))
+    out = {x["city"]: x for x in marts.monthly_reviews(l, r).collect()}
+    paris, other = out["Paris"], out[None]
+    # three reviews meet two rows of listing 1, one of the two of listing 2 has no id
+    assert (paris["review_count"], paris["active_listings"], paris["unique_reviewers"], paris["avg_price"]) == (7, 2, 2, 0.2)
+    assert (other["review_count"], other["active_listings"], other["unique_reviewers"], other["avg_price"]) == (2, 1, 1, None)
+    plan = marts.monthly_reviews(l, r)._jdf.queryExecution().optimizedPlan().toString()
+    narrow = [ln for ln in plan.splitlines() if "Aggregate" in ln and "grouping_id" in ln]
+    assert "RebalancePartitions" in plan and len(narrow) == 1 and "sum(" not in narrow[0]
