@@ -336,12 +336,17 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
                 piece = batch.slice(start, rows)
                 ids, counts = own.encode_all(piece.column(1).to_pylist())
                 ids = np.insert(ids, np.cumsum(counts), end_id)
-                doc_ids.extend(piece.column(0).to_pylist())
-                lengths.append(counts + 1)
-                tokens.append(ids)
-                size += len(ids)
-                if size >= shard_tokens:
-                    yield close()
+                found, ends, done, used = piece.column(0).to_pylist(), np.cumsum(counts + 1), 0, 0
+                while done < rows:
+                    # up to the document that fills the shard, or all
+                    upto = min(int(np.searchsorted(ends, used + shard_tokens - size)) + 1, rows)
+                    doc_ids.extend(found[done:upto])
+                    lengths.append(counts[done:upto] + 1)
+                    tokens.append(ids[used:ends[upto - 1]])
+                    size += int(ends[upto - 1]) - used
+                    done, used = upto, int(ends[upto - 1])
+                    if size >= shard_tokens:
+                        yield close()
         if doc_ids:
             yield close()
 
