@@ -89,9 +89,11 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row. Ids are written
+    first: one Python worker for each running task, not an encoder's and a
+    decoder's, of which the next stages would keep both."""
     queries.ship(spark)
-    return queries.piece_digests(docs)
+    return queries.piece_digests(store.save(queries.piece_ids(docs), "ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lakeforge.llm import worker
 from lakeforge.llm.automaton import Automaton, IntTable
 from lakeforge.llm.segments import SegmentTable
 
@@ -302,6 +303,9 @@ def codec(model_path: str) -> PieceCodec:
     return PieceCodec(model_path)
 
 
+worker.droppable(codec.cache_clear)
+
+
 def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
@@ -318,6 +322,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 ids, counts = own.encode_all(part.column(1).to_pylist())
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], [id_col, "ids"])
+            worker.trim()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 

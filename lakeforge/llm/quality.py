@@ -33,9 +33,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm import store, words
+from lakeforge.llm import store, words, worker
 
 PER_CLASS, PAIRS, BINS = 3000, 30_000, 4096
+#: Bytes of texts whose words are held at a time.
+PIECE = 1 << 18
 FEATURES = [
     "log_words", "word_length", "word_length_sd", "upper_share", "caps_words", "digit_share", "symbol_share", "bang_share",
     "bar_words", "punct_share", "distinct_words", "top_word", "repeated_neighbours", "distinct_pairs", "words_per_line",
@@ -225,15 +227,23 @@ def _rows(column: pa.ListArray) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, len(FEATURES))
 
 
+def feature_parts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """First rows and features of stretches of texts, in tasks: a reused worker
+    drops what other steps kept in it, and keeps nothing of this one."""
+    worker.drop_kept()
+    for start, size in words.pieces(texts, most_bytes=PIECE):
+        yield start, feature_rows(texts.slice(start, size).to_pylist())
+    worker.trim()
+
+
 def features(docs: DataFrame) -> DataFrame:
     """(doc_id, x) of every row, written: the only pass over texts. What follows
     reads and joins these rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, size in words.pieces(batch.column(1)):
-                part = batch.slice(start, size)
-                yield pa.RecordBatch.from_arrays([part.column(0), _array(feature_rows(part.column(1).to_pylist()))], ["doc_id", "x"])
+            for start, x in feature_parts(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(x)), _array(x)], ["doc_id", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return store.save(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, x array<double>"), "features")
@@ -283,7 +293,7 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        parts = [model.score(feature_rows(texts.slice(start, size).to_pylist())) for start, size in words.pieces(texts)]
+        parts = [model.score(x) for _, x in feature_parts(texts)]
         return pa.array(np.concatenate([np.zeros(0), *parts]))
 
     return docs.withColumn(name, scored(F.col("text").cast("string")))

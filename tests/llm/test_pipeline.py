@@ -3,9 +3,10 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
-from lakeforge.llm import queries, store
+from lakeforge.llm import piece_codec, quality, queries, store
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,3 +78,20 @@ def test_empty_table(spark):
 def test_every_operator_has_a_query():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [*(f"op{k}" for k in range(1, 14)), "pipeline"]
+
+
+def test_workers_hold_one_steps_tables(spark):
+    """A worker that scored texts keeps no encoder; encoding and decoding don't run side by side."""
+    codec = piece_codec.codec(queries.tokenizer_path(queries.PIECE_MODEL))
+    texts = ["one two three", None, "", "x" * quality.PIECE, " ".join(f"w{i}" for i in range(300))] * 2
+    ids = [codec.encode(t).tolist() for t in texts]
+    parts = list(quality.feature_parts(pa.array(texts)))
+    assert piece_codec.codec.cache_info().currsize == 0
+    assert [start for start, _ in parts] == [0, 4, 9] and np.array_equal(np.concatenate([x for _, x in parts]), quality.feature_rows(texts))
+    again = piece_codec.codec(queries.tokenizer_path(queries.PIECE_MODEL))
+    assert again is not codec and [again.encode(t).tolist() for t in texts] == ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = corpus_pipeline.encode_stage(spark, docs, SF)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    rows = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"]) for r in out.collect()}
+    assert rows == {i: (len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for i, x in enumerate(ids)}
